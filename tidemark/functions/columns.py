@@ -23,7 +23,6 @@ def event_time(millis: str | Column = "cdc_timestamp_ms") -> Column:
     return F.timestamp_millis(millis)
 
 
-
 def now_or(as_of) -> Column:
     """``current_timestamp()``, or a given instant where a run must be repeatable."""
     if as_of is None:

@@ -45,7 +45,7 @@ POLICY = SkewPolicy()
 
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of a frame."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def key_hash(keys: Sequence[str]) -> Column:

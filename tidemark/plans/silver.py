@@ -105,6 +105,7 @@ def apply_customers(
     if tables.is_committed(spark, layout.customer_last, batch_id):
         return False
     known = customer_last_events(spark, layout, before=batch_id)
+    events = events.persist()
     timeline, late = customers.advance(known, events, policy)
     timeline = timeline.persist()
     try:
@@ -115,6 +116,7 @@ def apply_customers(
         return tables.write_batch(last, layout.customer_last, batch_id)
     finally:
         timeline.unpersist()
+        events.unpersist()
 
 
 def _committed(spark: SparkSession, layout: Layout, path: str) -> list[str]:

@@ -324,10 +324,12 @@ def write_slices(messages: DataFrame, path: str, slices: int, files: int) -> int
     A file stream that takes ``files`` files per trigger then reads one slice per micro-batch.
     Returns the number of slices written.
     """
-    times = messages.select(F.unix_millis("timestamp").cast("double").alias("t"))
-    first = times.agg(F.min("t")).first()[0]
-    cuts = times.approxQuantile("t", [i / slices for i in range(1, slices)], 0.01)
-    bounds = sorted({b for b in cuts if b > first})
+    bounds: list[float] = []
+    if slices > 1:
+        times = messages.select(F.unix_millis("timestamp").cast("double").alias("t"))
+        first = times.agg(F.min("t")).first()[0]
+        cuts = times.approxQuantile("t", [i / slices for i in range(1, slices)], 0.01)
+        bounds = sorted({b for b in cuts if b > first})
     t = F.unix_millis("timestamp")
     edges = [None, *[int(b) for b in bounds], None]
     written = 0

@@ -41,6 +41,12 @@ def create_if_missing(
     return True
 
 
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Makes the folder of a table that takes batches, so that a stream can be started on it."""
+    hadoop_path, fs = _path(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """Numbers of the committed ``<prefix>=<n>`` folders, ascending. Names only, no data."""
     hadoop_path, fs = _path(spark, path)

@@ -143,7 +143,7 @@ def start_metrics(
     spark: SparkSession, layout: Layout, trigger: dict = GOLD_TRIGGER
 ) -> StreamingQuery:
     """Closed account windows, appended once the watermark has passed them."""
-    tables.create_if_missing(spark, layout.transactions, silver.transaction_state_schema())
+    tables.ensure_folder(spark, layout.transactions)
     tables.create_if_missing(spark, layout.metrics, ddl(GOLD_METRICS))
     rows = metrics.metrics_table(metrics.account_windows(insert_log(spark, layout)))
     return _sink(rows, "gold-metrics", layout.metrics, layout, trigger).start()
