@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import clean_code, clean_text, event_time, now_or
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.skew import POLICY, SkewPolicy, join_unique, with_neighbour
+from tidemark.operators.skew import POLICY, LargeKeys, SkewPolicy, join_unique, with_neighbour
 from tidemark.spec import SILVER_CUSTOMERS, ddl
 
 KEY = "customer_id"
@@ -61,10 +61,12 @@ def order() -> list[Column]:
     return [F.col(c) for c in POSITION]
 
 
-def with_next(events: DataFrame, policy: SkewPolicy = POLICY) -> DataFrame:
+def with_next(
+    events: DataFrame, policy: SkewPolicy = POLICY, found: LargeKeys | None = None
+) -> DataFrame:
     """Adds ``_next_ts_ms``, the time of the customer's following event."""
     return with_neighbour(
-        events, [KEY], order(), "_next_ts_ms", F.col("_source_ts_ms"), 1, policy
+        events, [KEY], order(), "_next_ts_ms", F.col("_source_ts_ms"), 1, policy, found
     )
 
 
@@ -134,22 +136,16 @@ def valid_at(versions: DataFrame, instant: Column) -> DataFrame:
     )
 
 
-def advance(
-    open_events: DataFrame, events: DataFrame, policy: SkewPolicy = POLICY
-) -> tuple[DataFrame, DataFrame]:
-    """One step of the incremental history: ``(timeline, late)``.
+def late_keys(
+    events: DataFrame,
+    last_events: DataFrame,
+    policy: SkewPolicy = POLICY,
+    found: LargeKeys | None = None,
+) -> DataFrame:
+    """Customers with an event that precedes what is already their last one.
 
-    ``open_events`` holds the last event of each customer so far (deletes included), ``events``
-    the new ones. ``timeline`` has both for the customers touched, with ``_next_ts_ms``: rows
-    that have one are closed for good, the others are the new last events. ``late`` events
-    precede what is already the customer's last event; closed intervals are not reopened for
-    them, :func:`history` over Bronze takes them in.
+    ``last_events`` has one row per customer.
     """
-    touched = events.select(KEY).distinct()
-    before = open_events.join(touched, KEY, "left_semi")
-    last = before.select(KEY, F.struct(*POSITION).alias("_last"))
-    placed = join_unique(events, last, KEY, "left", policy)
-    is_late = F.coalesce(F.struct(*POSITION) < F.col("_last"), F.lit(False))
-    fresh = placed.where(~is_late).select(*EVENT_COLUMNS)
-    timeline = with_next(before.select(*EVENT_COLUMNS).unionByName(fresh), policy)
-    return timeline, placed.where(is_late).select(*EVENT_COLUMNS)
+    last = last_events.select(KEY, F.struct(*POSITION).alias("_last"))
+    placed = join_unique(events.select(KEY, *POSITION), last, KEY, "inner", policy, found)
+    return placed.where(F.struct(*POSITION) < F.col("_last")).select(KEY).distinct()

@@ -52,15 +52,25 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def large_keys(
-    df: DataFrame, keys: Sequence[str], policy: SkewPolicy = POLICY
-) -> tuple[list[int], int]:
+@dataclass(frozen=True)
+class LargeKeys:
     """Hashes of the keys to split (at most ``policy.max_keys``) and the rows they hold.
 
     A hash collision only makes a small key be split too, which changes no result.
     """
+
+    hashes: tuple[int, ...] = ()
+    rows: int = 0
+
+    def __bool__(self) -> bool:
+        return bool(self.hashes)
+
+
+def find_large_keys(
+    df: DataFrame, keys: Sequence[str], policy: SkewPolicy = POLICY
+) -> LargeKeys:
     if planned_bytes(df) < policy.skip_bytes:
-        return [], 0
+        return LargeKeys()
     # The sketch's error is below rows * 3.5 / tracked, a small part of the share asked for.
     tracked = min(1_000_000, max(1024, 32 * policy.max_keys))
     found = (
@@ -73,15 +83,16 @@ def large_keys(
     )
     limit = max(policy.rows, found.n * policy.share)
     large = [item for item in (found.top or []) if item["count"] > limit]
-    return [item["item"] for item in large], sum(item["count"] for item in large)
+    return LargeKeys(
+        tuple(item["item"] for item in large), sum(item["count"] for item in large)
+    )
 
 
 def _ranges(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    hashes: list[int],
-    rows: int,
+    found: LargeKeys,
     policy: SkewPolicy,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys, and rows of large keys cut into ranges numbered in ``CHUNK``.
@@ -90,8 +101,8 @@ def _ranges(
     large rows are checkpointed to the shared folder.
     """
     shared_dir(df.sparkSession)
-    is_large = key_hash(keys).isin(hashes)
-    pieces = max(2, math.ceil(rows / policy.rows))
+    is_large = key_hash(keys).isin(*found.hashes)
+    pieces = max(2, math.ceil(found.rows / policy.rows))
     large = (
         df.where(is_large)
         .repartitionByRange(pieces, *keys, *order)
@@ -121,14 +132,19 @@ def with_neighbour(
     value: Column,
     step: int,
     policy: SkewPolicy = POLICY,
+    found: LargeKeys | None = None,
 ) -> DataFrame:
-    """Adds ``value`` of the following (``step=1``) or preceding (``step=-1``) row of the key."""
+    """Adds ``value`` of the following (``step=1``) or preceding (``step=-1``) row of the key.
+
+    ``found`` spares the search for large keys where it has been made already.
+    """
     shift = F.lead if step > 0 else F.lag
-    hashes, rows = large_keys(df, keys, policy)
-    if not hashes:
+    if found is None:
+        found = find_large_keys(df, keys, policy)
+    if not found:
         return df.withColumn(name, shift(value).over(Window.partitionBy(*keys).orderBy(*order)))
 
-    small, large = _ranges(df, keys, order, hashes, rows, policy)
+    small, large = _ranges(df, keys, order, found, policy)
     at_edge = F.min_by if step > 0 else F.max_by
     edges = (
         large.groupBy(*keys, CHUNK)
@@ -159,14 +175,14 @@ def with_running_before(
     def before(window):
         return window.rowsBetween(Window.unboundedPreceding, -1)
 
-    hashes, rows = large_keys(df, keys, policy)
-    if not hashes:
+    found = find_large_keys(df, keys, policy)
+    if not found:
         window = before(Window.partitionBy(*keys).orderBy(*order))
         return df.withColumns(
             {n: F.coalesce(F.sum(c).over(window), F.lit(0)) for n, c in sums.items()}
         )
 
-    small, large = _ranges(df, keys, order, hashes, rows, policy)
+    small, large = _ranges(df, keys, order, found, policy)
     totals = large.groupBy(*keys, CHUNK).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     earlier = before(Window.partitionBy(*keys).orderBy(CHUNK))
     edges = totals.withColumn(EDGE, F.struct(*[F.sum(n).over(earlier).alias(n) for n in sums]))
@@ -194,6 +210,7 @@ def join_unique(
     on: str,
     how: str = "inner",
     policy: SkewPolicy = POLICY,
+    found: LargeKeys | None = None,
 ) -> DataFrame:
     """Joins rows to a relation with at most one row per ``on``, whatever the spread of ``on``.
 
@@ -203,10 +220,11 @@ def join_unique(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join kind: {how!r}")
-    hashes, _ = large_keys(facts, [on], policy)
-    if not hashes:
+    if found is None:
+        found = find_large_keys(facts, [on], policy)
+    if not found:
         return facts.join(lookup, on, how)
-    large = key_hash([on]).isin(hashes)
+    large = key_hash([on]).isin(*found.hashes)
     few = lookup.where(large)
     return (
         facts.where(large)

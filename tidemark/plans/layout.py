@@ -30,11 +30,13 @@ class Layout:
 
     @property
     def customer_closed(self) -> str:
+        """Events that have a following one, with its time, in batches."""
         return self._at("silver", "customers_closed")
 
     @property
-    def customer_late(self) -> str:
-        return self._at("silver", "customers_late")
+    def customer_reopened(self) -> str:
+        """Customers whose closed events a batch replaces, in the batches that do so."""
+        return self._at("silver", "customers_reopened")
 
     @property
     def metrics(self) -> str:

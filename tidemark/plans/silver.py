@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import customers, transactions
-from tidemark.operators.skew import POLICY, SkewPolicy
+from tidemark.operators.skew import POLICY, SkewPolicy, find_large_keys
 from tidemark.plans.layout import Layout
 from tidemark.sources import tables
 from tidemark.spec import CUSTOMERS, INSERT_OPS, SILVER_TRANSACTIONS, ddl
@@ -40,12 +40,10 @@ def customer_event_schema() -> T.StructType:
     return T.StructType([T.StructField(c, types[c]) for c in customers.EVENT_COLUMNS])
 
 
-def customer_version_schema() -> T.StructType:
-    added = ddl(
-        "effective_from timestamp, effective_to timestamp, is_current boolean, "
-        "_created_at timestamp, _updated_at timestamp, _silver_processed_at timestamp"
+def closed_event_schema() -> T.StructType:
+    return T.StructType(
+        [*customer_event_schema().fields, T.StructField("_next_ts_ms", T.LongType())]
     )
-    return T.StructType(customer_event_schema().fields + added.fields)
 
 
 # --- transactions ------------------------------------------------------------------------------
@@ -92,54 +90,91 @@ def customer_last_events(
     )
 
 
+def _batch_folders(
+    spark: SparkSession, layout: Layout, path: str, schema: T.StructType, before: int | None
+) -> DataFrame | None:
+    """Rows of the batches that count, with their ``batch_id``; None if no folder is there."""
+    done = tables.committed_batches(spark, layout.customer_last)
+    limit = min(done[-1] + 1 if done else 0, before if before is not None else 2**63)
+    paths = [f"{path}/batch_id={n}" for n in tables.numbered(spark, path) if n < limit]
+    if not paths:
+        return None
+    with_id = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(with_id).option("basePath", path).parquet(*paths)
+
+
+def customer_closed_events(
+    spark: SparkSession, layout: Layout, before: int | None = None
+) -> DataFrame:
+    """Closed events as they now count: a scan, unless some batch brought late events."""
+    schema = closed_event_schema()
+    closed = _batch_folders(spark, layout, layout.customer_closed, schema, before)
+    if closed is None:
+        return spark.createDataFrame([], schema)
+    key_schema = T.StructType([T.StructField(customers.KEY, T.StringType())])
+    reopened = _batch_folders(spark, layout, layout.customer_reopened, key_schema, before)
+    if reopened is not None:
+        since = reopened.groupBy(customers.KEY).agg(F.max("batch_id").alias("_since"))
+        closed = closed.join(since, customers.KEY, "left").where(
+            F.col("_since").isNull() | (F.col("batch_id") >= F.col("_since"))
+        )
+    return closed.select(*schema.fieldNames())
+
+
 def apply_customers(
     events: DataFrame, batch_id: int, layout: Layout, policy: SkewPolicy = POLICY
 ) -> bool:
     """Adds cleaned events to the history as one batch.
 
-    Closed versions are written once and never touched again. The last events are written
-    after them, and their marker is what makes the whole batch count, so readers see both or
-    neither, and a replay starts from the same rows as the first attempt.
+    Closed events are appended and not touched again. Only where an event comes after a later
+    one of the same customer has been stored are the customer's closed events read back and
+    replaced, so the history does not depend on how the feed was cut.
+
+    The last events are written at the end and their marker is what makes the whole batch
+    count: readers see all of a batch or nothing, and a replay starts from the same rows as the
+    first attempt.
     """
     spark = events.sparkSession
     if tables.is_committed(spark, layout.customer_last, batch_id):
         return False
-    known = customer_last_events(spark, layout, before=batch_id)
-    events = events.persist()
-    timeline, late = customers.advance(known, events, policy)
-    timeline = timeline.persist()
+    key = customers.KEY
+    columns = customers.EVENT_COLUMNS
+    kept = [events.persist()]
     try:
-        closed = customers.as_versions(timeline.where(F.col("_next_ts_ms").isNotNull()))
-        last = timeline.where(F.col("_next_ts_ms").isNull()).select(*customers.EVENT_COLUMNS)
-        for rows, path in ((closed, layout.customer_closed), (late, layout.customer_late)):
-            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        found = find_large_keys(events, [key], policy)
+        known = customer_last_events(spark, layout, before=batch_id)
+        known = known.join(events.select(key).distinct(), key, "left_semi")
+        timeline = known.select(*columns).unionByName(events.select(*columns))
+
+        late = customers.late_keys(events, known, policy, found).persist()
+        kept.append(late)
+        if not late.isEmpty():
+            closed = customer_closed_events(spark, layout, before=batch_id)
+            timeline = timeline.unionByName(
+                closed.join(late, key, "left_semi").select(*columns)
+            )
+            found = None
+            late.write.mode("overwrite").parquet(
+                f"{layout.customer_reopened}/batch_id={batch_id}"
+            )
+        followed = customers.with_next(timeline, policy, found).persist()
+        kept.append(followed)
+        has_next = F.col("_next_ts_ms").isNotNull()
+        followed.where(has_next).write.mode("overwrite").parquet(
+            f"{layout.customer_closed}/batch_id={batch_id}"
+        )
+        last = followed.where(~has_next).select(*columns)
         return tables.write_batch(last, layout.customer_last, batch_id)
     finally:
-        timeline.unpersist()
-        events.unpersist()
-
-
-def _committed(spark: SparkSession, layout: Layout, path: str) -> list[str]:
-    return [f"{path}/batch_id={n}" for n in tables.committed_batches(spark, layout.customer_last)]
+        for frame in kept:
+            frame.unpersist()
 
 
 def read_customers(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The whole history: closed versions as stored, and the open ones."""
-    closed = tables.read_folders(
-        spark, customer_version_schema(), _committed(spark, layout, layout.customer_closed)
-    )
-    still_open = customers.as_versions(
-        customer_last_events(spark, layout).withColumn(
-            "_next_ts_ms", F.lit(None).cast("bigint")
-        )
-    )
-    return closed.unionByName(still_open)
-
-
-def read_late_customers(spark: SparkSession, layout: Layout) -> DataFrame:
-    return tables.read_folders(
-        spark, customer_event_schema(), _committed(spark, layout, layout.customer_late)
-    )
+    """The whole history: closed versions and the open ones."""
+    no_next = F.lit(None).cast("bigint").alias("_next_ts_ms")
+    last = customer_last_events(spark, layout).select("*", no_next)
+    return customers.as_versions(customer_closed_events(spark, layout).unionByName(last))
 
 
 def compact_customers(spark: SparkSession, layout: Layout) -> int | None:

@@ -21,6 +21,7 @@ from tidemark.spec import entity
 from tidemark.streaming import jobs, run
 
 SLICES = 3
+FILES_PER_SLICE = 3
 
 _OPEN: dict[tuple[str, str], "Workspace"] = {}
 
@@ -46,25 +47,34 @@ class Workspace:
 
     # --- topics ----------------------------------------------------------------------------
 
+    def _source_rows(self, name: str) -> DataFrame:
+        """A source table, spread out if it came as fewer pieces than there are cores."""
+        rows = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
     def _messages(self, topic: str) -> tuple[DataFrame, int]:
-        """The messages of a topic and about how many files one slice of it needs."""
-        if topic == "transactions":
-            messages = derived.transaction_messages(self.table("events"))
-        elif topic == "envelopes":
-            messages = derived.transaction_envelopes(self.table("events"))
-        elif topic == "customers":
-            messages = derived.customer_messages(self.table("customer"), self.table("orders"))
-        else:
-            messages = derived.account_messages(self.table("customer"))
-        source = "orders" if topic == "customers" else "events"
-        rows = self.table(source).count()
-        return messages, max(1, rows // (SLICES * derived.ROWS_PER_FILE) + 1)
+        """The messages of a topic and about how many source rows they come from."""
+        if topic == "customers":
+            orders = self._source_rows("orders")
+            messages = derived.customer_messages(self.table("customer"), orders)
+            return messages, self.table("orders").count()
+        if topic == "accounts":
+            messages = derived.account_messages(self._source_rows("customer"))
+            return messages, self.table("customer").count()
+        make = (
+            derived.transaction_messages
+            if topic == "transactions"
+            else derived.transaction_envelopes
+        )
+        return make(self._source_rows("events")), self.table("events").count()
 
     def _topic(self, topic: str) -> str:
         path = f"{self.root}/topics/{topic}"
         if topic not in self._feeds:
-            messages, files = self._messages(topic)
+            messages, rows = self._messages(topic)
             slices = SLICES if topic in ("transactions", "customers") else 1
+            files = max(FILES_PER_SLICE, rows // (slices * derived.ROWS_PER_FILE))
             derived.write_slices(messages, f"{path}/messages", slices, files)
             self._feeds[topic] = files
         return path

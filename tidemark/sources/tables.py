@@ -47,21 +47,26 @@ def ensure_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
-def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers of the committed ``<prefix>=<n>`` folders, ascending. Names only, no data."""
+def numbered(spark: SparkSession, path: str, prefix: str = "batch_id") -> list[int]:
+    """Numbers of the ``<prefix>=<n>`` folders, ascending: one listing of names."""
     hadoop_path, fs = _path(spark, path)
     if not fs.exists(hadoop_path):
         return []
-    found = []
-    for status in fs.listStatus(hadoop_path):
-        match = re.fullmatch(rf"{prefix}=(\d+)", status.getPath().getName())
-        if match and exists(spark, f"{path}/{match.group(0)}/{COMMIT_MARKER}"):
-            found.append(int(match.group(1)))
-    return sorted(found)
+    names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+    found = [re.fullmatch(rf"{prefix}=(\d+)", name) for name in names]
+    return sorted(int(match.group(1)) for match in found if match)
+
+
+def _committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Batches come one after the other, so only the newest can be unfinished."""
+    found = numbered(spark, path, prefix)
+    while found and not exists(spark, f"{path}/{prefix}={found[-1]}/{COMMIT_MARKER}"):
+        found.pop()
+    return found
 
 
 def committed_batches(spark: SparkSession, path: str) -> list[int]:
-    return _numbered(spark, path, "batch_id")
+    return _committed(spark, path, "batch_id")
 
 
 def is_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
@@ -97,7 +102,7 @@ def read_parts(
     def usable(n: int) -> bool:
         return before is None or n < before
 
-    done = [n for n in _numbered(spark, compacted_path(path), "upto") if usable(n)]
+    done = [n for n in _committed(spark, compacted_path(path), "upto") if usable(n)]
     upto = done[-1] if done else -1
     batches = [n for n in committed_batches(spark, path) if n > upto and usable(n)]
     base = (
