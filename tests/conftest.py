@@ -16,6 +16,8 @@ def spark():
         "spark.sql.shuffle.partitions": 4,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.sql.maxMetadataStringLength": 100000,
+        "spark.sql.debug.maxToStringFields": 1000,
     }
     session = build_session("tests", "local[8]", **settings)
     session.sparkContext.setLogLevel("OFF")

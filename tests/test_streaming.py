@@ -1,0 +1,241 @@
+import pytest
+from pyspark.sql import functions as F
+from rows import MINUTE_US, T0_US, customer, messages, same_rows, transaction
+
+from tidemark.operators import bronze, customers, metrics, transactions
+from tidemark.plans import silver
+from tidemark.sources import feed
+from tidemark.spec import ACCOUNTS, CUSTOMERS, GOLD_METRICS, TRANSACTIONS, ddl
+from tidemark.streaming import jobs, run
+
+HOUR_US = 60 * MINUTE_US
+
+
+class Topic:
+    """A topic in a folder: each ``send`` appends one file."""
+
+    def __init__(self, spark, path, topic=TRANSACTIONS.topic):
+        self.spark, self.path, self.topic, self.sent = spark, path, topic, 0
+
+    def send(self, *rows):
+        messages(self.spark, list(rows), self.topic, self.sent).coalesce(1).write.mode(
+            "append"
+        ).parquet(self.path)
+        self.sent += len(rows)
+
+    def batch(self):
+        return feed.read_files(self.spark, self.path)
+
+    def stream(self, files=None):
+        return feed.stream_files(self.spark, self.path, files)
+
+
+@pytest.fixture
+def topic(spark, run_dir):
+    return Topic(spark, f"{run_dir}/topic")
+
+
+def catch_up(spark, topic, layout):
+    run.catch_up_bronze(lambda _: topic.stream(1), layout, ["transactions"])
+    run.await_all([jobs.start_silver_transactions(spark, layout, jobs.CATCH_UP)])
+
+
+def gold(spark, layout):
+    run.catch_up_gold(spark, layout)
+    stored = spark.read.schema(ddl(GOLD_METRICS)).parquet(layout.metrics)
+    return {
+        (r.account_id, r.hour): r.transaction_count
+        for r in stored.select("*", F.hour("window_start").alias("hour")).collect()
+    }
+
+
+def at(n, minutes, **fields):
+    return transaction(n, transaction_timestamp=T0_US + minutes * MINUTE_US, **fields)
+
+
+def beat(minutes):
+    return at(10**6 + minutes, minutes, account_id="BEAT")
+
+
+def test_bronze_stream_equals_batch_and_resumes(spark, topic, layout):
+    topic.send(transaction(1), None, "{bad")
+    run.catch_up_bronze(lambda _: topic.stream(), layout, ["transactions"])
+    topic.send(transaction(2), transaction(3, "u"))
+    run.catch_up_bronze(lambda _: topic.stream(), layout, ["transactions"])
+    run.catch_up_bronze(lambda _: topic.stream(), layout, ["transactions"])
+    stored = spark.read.parquet(layout.bronze("transactions"))
+    clock = ["_ingestion_timestamp", "_ingestion_date"]
+    same_rows(
+        stored.drop(*clock), bronze.parse_events(topic.batch(), TRANSACTIONS).drop(*clock)
+    )
+
+
+def test_rejected_messages_have_a_stream_of_their_own(spark, topic, layout):
+    topic.send(transaction(1), None, "{bad")
+    run.await_all(
+        [jobs.start_quarantine(topic.stream(), "transactions", layout, jobs.CATCH_UP)]
+    )
+    out = spark.read.parquet(layout.quarantine("transactions"))
+    same_rows(out, bronze.rejected_messages(topic.batch(), TRANSACTIONS))
+
+
+def test_admission_takes_a_number_of_files_per_batch(spark, topic, layout):
+    for i in range(4):
+        topic.send(transaction(i))
+    query = jobs.start_bronze(topic.stream(2), "transactions", layout, jobs.CATCH_UP)
+    query.awaitTermination()
+    report = run.progress_report(query)
+    assert [r["input_rows"] for r in report if r["input_rows"]] == [2, 2]
+    assert report[0]["observed"]["bronze_transactions"]["rows"] == 2
+
+
+def test_silver_transactions_equal_the_batch_form_however_cut(spark, topic, layout):
+    rows = [
+        transaction(1, "c", 1),
+        transaction(2, "u", 1),
+        transaction(1, "u", 5, amount=3.0),
+        transaction(2, "c", 3),
+        transaction(1, "u", 4, amount=2.0),
+        transaction(3, "c", 1),
+        transaction(3, "d", 2),
+        transaction(4, "u", 2),
+    ]
+    for row in rows:
+        topic.send(row)
+        catch_up(spark, topic, layout)
+    want = transactions.upsert(bronze.parse_events(topic.batch(), TRANSACTIONS))
+    clock = "_silver_processed_at"
+    same_rows(silver.read_transactions(spark, layout).drop(clock), want.drop(clock))
+
+    assert silver.compact_transactions(spark, layout) is not None
+    same_rows(silver.read_transactions(spark, layout).drop(clock), want.drop(clock))
+    topic.send(transaction(4, "c", 1), transaction(5))
+    catch_up(spark, topic, layout)
+    want = transactions.upsert(bronze.parse_events(topic.batch(), TRANSACTIONS))
+    same_rows(silver.read_transactions(spark, layout).drop(clock), want.drop(clock))
+
+
+def test_silver_customers_equal_the_batch_form(spark, run_dir, layout):
+    topic = Topic(spark, f"{run_dir}/topic", CUSTOMERS.topic)
+    for rows in (
+        [customer(1, "r", 10), customer(2, "r", 10)],
+        [customer(1, "u", 30, risk_score=3)],
+        [customer(1, "u", 20, risk_score=2), customer(2, "d", 15)],
+    ):
+        topic.send(*rows)
+        run.catch_up_bronze(lambda _: topic.stream(), layout, ["customers"])
+        run.await_all([jobs.start_silver_customers(spark, layout, jobs.CATCH_UP)])
+    want = customers.history(bronze.parse_events(topic.batch(), CUSTOMERS))
+    clock = ["_silver_processed_at", "_ingestion_timestamp"]
+    same_rows(silver.read_customers(spark, layout).drop(*clock), want.drop(*clock))
+
+
+def test_windows_wait_for_the_watermark(spark, topic, layout):
+    topic.send(at(1, 0), at(2, 59))
+    catch_up(spark, topic, layout)
+    assert gold(spark, layout) == {}
+    topic.send(beat(69))
+    catch_up(spark, topic, layout)
+    assert gold(spark, layout) == {}
+    topic.send(beat(71))
+    catch_up(spark, topic, layout)
+    assert gold(spark, layout) == {("A1", 0): 2}
+
+
+def test_late_rows_count_until_the_window_is_closed(spark, topic, layout):
+    topic.send(at(1, 0))
+    topic.send(beat(65))
+    topic.send(at(2, 58))
+    catch_up(spark, topic, layout)
+    gold(spark, layout)
+    topic.send(beat(200))
+    catch_up(spark, topic, layout)
+    assert gold(spark, layout)[("A1", 0)] == 2
+    topic.send(at(3, 30))
+    topic.send(beat(400))
+    catch_up(spark, topic, layout)
+    assert gold(spark, layout)[("A1", 0)] == 2
+
+
+def test_a_transaction_delivered_again_counts_once(spark, topic, layout):
+    topic.send(at(1, 0), at(1, 0), at(2, 1))
+    catch_up(spark, topic, layout)
+    gold(spark, layout)
+    topic.send(at(1, 0))
+    catch_up(spark, topic, layout)
+    gold(spark, layout)
+    topic.send(beat(200))
+    catch_up(spark, topic, layout)
+    assert gold(spark, layout)[("A1", 0)] == 2
+    topic.send(at(1, 0))
+    topic.send(beat(400))
+    catch_up(spark, topic, layout)
+    assert gold(spark, layout)[("A1", 0)] == 2
+
+
+def test_alert_stream_equals_the_batch_form(spark, topic, layout):
+    topic.send(*[at(i, i, amount=60000.0) for i in range(12)])
+    topic.send(at(50, 70, amount=60000.0), beat(500))
+    catch_up(spark, topic, layout)
+    gold(spark, layout)
+    stored = spark.read.parquet(layout.alerts)
+    inserted = transactions.upsert(bronze.parse_events(topic.batch(), TRANSACTIONS))
+    want = metrics.alerts(metrics.account_windows(inserted))
+    clock = ["alert_timestamp", "_gold_processed_at"]
+    same_rows(stored.drop(*clock), want.drop(*clock))
+    assert [r.alert_id for r in stored.collect()] == [f"AML-A1-{T0_US // 1_000_000}"]
+
+
+def test_all_layers_in_order(spark, run_dir, layout):
+    topics = {
+        "transactions": Topic(spark, f"{run_dir}/t", TRANSACTIONS.topic),
+        "customers": Topic(spark, f"{run_dir}/c", CUSTOMERS.topic),
+    }
+    topics["transactions"].send(at(1, 0), beat(300))
+    topics["customers"].send(customer(1))
+    run.catch_up(spark, lambda e: topics[e].stream(), layout, ["transactions", "customers"])
+    assert spark.read.parquet(layout.metrics).count() == 1
+    assert silver.read_customers(spark, layout).count() == 1
+    assert spark.read.parquet(layout.alerts).count() == 0
+
+
+def test_queries_run_side_by_side_and_stop_together(spark, run_dir, layout):
+    """All jobs start on empty tables and pick up what the layer before them brings."""
+    topics = {
+        "transactions": Topic(spark, f"{run_dir}/t", TRANSACTIONS.topic),
+        "customers": Topic(spark, f"{run_dir}/c", CUSTOMERS.topic),
+        "accounts": Topic(spark, f"{run_dir}/a", ACCOUNTS.topic),
+    }
+    for topic in topics.values():
+        topic.send(None)
+    queries = run.start_all(spark, lambda e: topics[e].stream(), layout)
+    try:
+        assert len(queries) == 7
+        topics["customers"].send(customer(1))
+        topics["transactions"].send(*[at(i, i, amount=60000.0) for i in range(12)])
+        topics["transactions"].send(beat(300))
+        for query in queries:
+            query.processAllAvailable()
+        assert all(q.isActive for q in queries)
+        assert silver.read_customers(spark, layout).count() == 1
+        assert silver.read_transactions(spark, layout).count() == 13
+        assert spark.read.schema(ddl(GOLD_METRICS)).parquet(layout.metrics).count() == 1
+    finally:
+        run.stop_all(queries)
+    assert not any(q.isActive for q in queries)
+
+
+def test_failure_of_one_query_stops_the_others_and_is_raised(spark, topic, layout, run_dir):
+    topic.send(transaction(1))
+    fine = jobs.start_bronze(topic.stream(), "transactions", layout)
+    broken = (
+        topic.stream()
+        .select(F.raise_error(F.lit("boom")).cast("string").alias("x"))
+        .writeStream.format("noop")
+        .option("checkpointLocation", f"{run_dir}/broken")
+        .start()
+    )
+    with pytest.raises(Exception, match="boom"):
+        run.await_any(spark, [fine, broken])
+    assert not fine.isActive
+    spark.streams.resetTerminated()

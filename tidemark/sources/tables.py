@@ -41,6 +41,14 @@ def create_if_missing(
     return True
 
 
+def folders_last(schema: T.StructType, folder_column: str) -> T.StructType:
+    """The schema with the column that folder names carry at its end, where Spark puts it once
+    it sees such folders. A stream started on an empty table then keeps its schema."""
+    own = [f for f in schema.fields if f.name == folder_column]
+    rest = [f for f in schema.fields if f.name != folder_column]
+    return T.StructType([*rest, *(own or [T.StructField(folder_column, T.LongType())])])
+
+
 def ensure_folder(spark: SparkSession, path: str) -> None:
     """Makes the folder of a table that takes batches, so that a stream can be started on it."""
     hadoop_path, fs = _path(spark, path)

@@ -29,9 +29,14 @@ SILVER_TRIGGER = {"processingTime": "15 seconds"}
 GOLD_TRIGGER = {"processingTime": "10 seconds"}
 
 
+def _name(job: str, layout: Layout) -> str:
+    """A session refuses a second query of the same name: one job per installation."""
+    return f"{job}@{layout.root}"
+
+
 def _sink(df: DataFrame, name: str, path: str, layout: Layout, trigger: dict):
     return (
-        df.writeStream.queryName(name)
+        df.writeStream.queryName(_name(name, layout))
         .format("parquet")
         .outputMode("append")
         .option("checkpointLocation", layout.checkpoint(name))
@@ -71,7 +76,8 @@ def start_quarantine(
 
 def stream_bronze_table(spark: SparkSession, spec: str | Entity, layout: Layout) -> DataFrame:
     spec = entity(spec)
-    return spark.readStream.schema(spec.bronze_schema).parquet(layout.bronze(spec.name))
+    schema = tables.folders_last(spec.bronze_schema, "_ingestion_date")
+    return spark.readStream.schema(schema).parquet(layout.bronze(spec.name))
 
 
 def start_silver_transactions(
@@ -89,7 +95,7 @@ def start_silver_transactions(
             silver.apply_transactions(batch, batch_id, layout, insert_ops)
 
     return (
-        events.writeStream.queryName("silver-transactions")
+        events.writeStream.queryName(_name("silver-transactions", layout))
         .foreachBatch(apply)
         .outputMode("update")
         .option("checkpointLocation", layout.checkpoint("silver-transactions"))
@@ -113,7 +119,7 @@ def start_silver_customers(
             silver.apply_customers(batch, batch_id, layout, policy)
 
     return (
-        events.writeStream.queryName("silver-customers")
+        events.writeStream.queryName(_name("silver-customers", layout))
         .foreachBatch(apply)
         .outputMode("update")
         .option("checkpointLocation", layout.checkpoint("silver-customers"))
@@ -129,9 +135,8 @@ def insert_log(spark: SparkSession, layout: Layout) -> DataFrame:
     either meets the first one within the watermark and is dropped as a duplicate, or comes
     after it and is dropped as late. State is bounded by the watermark, not by the table.
     """
-    state = spark.readStream.schema(silver.transaction_state_schema()).option(
-        "ignoreMissingFiles", "true"
-    )
+    schema = tables.folders_last(silver.transaction_state_schema(), "batch_id")
+    state = spark.readStream.schema(schema).option("ignoreMissingFiles", "true")
     return (
         transactions.first_inserts(state.parquet(layout.transactions))
         .withWatermark("transaction_timestamp", metrics.LATENESS)
