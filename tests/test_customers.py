@@ -152,9 +152,10 @@ def test_interrupted_batch_does_not_count_and_is_replaced(spark, layout):
     first, second = batches(spark, rows, 2, ordered=True)
     silver.apply_customers(first, 0, layout)
     before = intervals(silver.read_customers(spark, layout))
-    # The closed events of batch 1 arrive, then the job dies.
-    junk = silver.customer_closed_events(spark, layout)
-    junk.write.parquet(f"{layout.customer_closed}/batch_id=1")
+    # Some files of batch 1 arrive, then the job dies.
+    spark.read.parquet(f"{layout.customers}/batch_id=0").write.partitionBy("is_last").option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(f"{layout.customers}/batch_id=1")
     assert intervals(silver.read_customers(spark, layout)) == before
     silver.apply_customers(second, 1, layout)
     want = intervals(customers.history(parsed_customers(spark, rows)))

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_dir
+from tidemark.session import new_run_dir
 
 CHUNK = "_chunk"
 EDGE = "_edge"
@@ -32,7 +32,7 @@ class SkewPolicy:
     """
 
     share: float = 1 / 2000
-    rows: int = 2_000_000
+    rows: int = 1_000_000
     skip_bytes: int = 128 << 20
 
     @property
@@ -98,17 +98,19 @@ def _ranges(
     """Rows of ordinary keys, and rows of large keys cut into ranges numbered in ``CHUNK``.
 
     The range numbers must not move when a lost executor makes Spark run a stage again, so the
-    large rows are checkpointed to the shared folder.
+    large rows are written to the shared folder.
     """
-    shared_dir(df.sparkSession)
     is_large = key_hash(keys).isin(*found.hashes)
     pieces = max(2, math.ceil(found.rows / policy.rows))
-    large = (
+    spark, path = df.sparkSession, new_run_dir(df.sparkSession, "ranges")
+    (
         df.where(is_large)
         .repartitionByRange(pieces, *keys, *order)
         .withColumn(CHUNK, F.spark_partition_id())
-        .checkpoint()
+        .write.parquet(path)
     )
+    schema = df.withColumn(CHUNK, F.lit(0)).schema
+    large = spark.read.schema(schema).parquet(path)
     return df.where(~is_large).withColumn(CHUNK, F.lit(-1)), large
 
 

@@ -24,14 +24,10 @@ class Layout:
         return self._at("silver", "transactions")
 
     @property
-    def customer_last(self) -> str:
-        """Last event per customer, in batches; its marker commits a history batch."""
-        return self._at("silver", "customers_last")
-
-    @property
-    def customer_closed(self) -> str:
-        """Events that have a following one, with its time, in batches."""
-        return self._at("silver", "customers_closed")
+    def customers(self) -> str:
+        """Customer events with the time of the following one, in batches. In each batch
+        ``is_last`` tells the last events of the customers it touched from the closed ones."""
+        return self._at("silver", "customers")
 
     @property
     def customer_reopened(self) -> str:

@@ -40,7 +40,7 @@ def customer_event_schema() -> T.StructType:
     return T.StructType([T.StructField(c, types[c]) for c in customers.EVENT_COLUMNS])
 
 
-def closed_event_schema() -> T.StructType:
+def followed_event_schema() -> T.StructType:
     return T.StructType(
         [*customer_event_schema().fields, T.StructField("_next_ts_ms", T.LongType())]
     )
@@ -76,43 +76,64 @@ def compact_transactions(spark: SparkSession, layout: Layout) -> int | None:
 # --- customers ---------------------------------------------------------------------------------
 
 
+def _folders(
+    spark: SparkSession, path: str, schema: T.StructType, numbers: list[int], *partitions
+) -> DataFrame | None:
+    """Rows of the numbered batches with their ``batch_id``; None if there are no batches."""
+    if not numbers:
+        return None
+    whole = T.StructType([*schema.fields, *partitions, T.StructField("batch_id", T.LongType())])
+    paths = [f"{path}/batch_id={n}" for n in numbers]
+    return spark.read.schema(whole).option("basePath", path).parquet(*paths)
+
+
+def _stored_events(
+    spark: SparkSession, layout: Layout, is_last: bool, after: int = -1, before: int | None = None
+) -> DataFrame | None:
+    numbers = [
+        n
+        for n in tables.committed_batches(spark, layout.customers)
+        if n > after and (before is None or n < before)
+    ]
+    flag = T.StructField("is_last", T.BooleanType())
+    rows = _folders(spark, layout.customers, followed_event_schema(), numbers, flag)
+    # A filter on folder names: the other half is not read.
+    return None if rows is None else rows.where(F.col("is_last") == is_last)
+
+
 def customer_last_events(
     spark: SparkSession, layout: Layout, before: int | None = None
 ) -> DataFrame:
-    base, recent = tables.read_parts(spark, layout.customer_last, customer_event_schema(), before)
-    if base is None:
+    """The last event of each customer, deletes included."""
+    key, columns = customers.KEY, customers.EVENT_COLUMNS
+    upto, base = tables.newest_compaction(
+        spark, layout.customers, customer_event_schema(), before
+    )
+    recent = _stored_events(spark, layout, True, upto, before)
+    if recent is None:
+        return base
+    recent = recent.select(*columns)
+    if upto < 0:
         return customers.latest_events(recent)
-    touched = recent.select(customers.KEY).distinct()
-    return base.join(touched, customers.KEY, "left_anti").unionByName(
-        customers.latest_events(
-            base.join(touched, customers.KEY, "left_semi").unionByName(recent)
-        )
+    touched = recent.select(key).distinct()
+    return base.join(touched, key, "left_anti").unionByName(
+        customers.latest_events(base.join(touched, key, "left_semi").unionByName(recent))
     )
 
 
-def _batch_folders(
-    spark: SparkSession, layout: Layout, path: str, schema: T.StructType, before: int | None
-) -> DataFrame | None:
-    """Rows of the batches that count, with their ``batch_id``; None if no folder is there."""
-    done = tables.committed_batches(spark, layout.customer_last)
-    limit = min(done[-1] + 1 if done else 0, before if before is not None else 2**63)
-    paths = [f"{path}/batch_id={n}" for n in tables.numbered(spark, path) if n < limit]
-    if not paths:
-        return None
-    with_id = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(with_id).option("basePath", path).parquet(*paths)
-
-
 def customer_closed_events(
     spark: SparkSession, layout: Layout, before: int | None = None
 ) -> DataFrame:
     """Closed events as they now count: a scan, unless some batch brought late events."""
-    schema = closed_event_schema()
-    closed = _batch_folders(spark, layout, layout.customer_closed, schema, before)
+    schema = followed_event_schema()
+    closed = _stored_events(spark, layout, False, before=before)
     if closed is None:
         return spark.createDataFrame([], schema)
+    done = tables.committed_batches(spark, layout.customers)
+    limit = done[-1] + 1 if before is None else before
+    numbers = [n for n in tables.numbered(spark, layout.customer_reopened) if n < limit]
     key_schema = T.StructType([T.StructField(customers.KEY, T.StringType())])
-    reopened = _batch_folders(spark, layout, layout.customer_reopened, key_schema, before)
+    reopened = _folders(spark, layout.customer_reopened, key_schema, numbers)
     if reopened is not None:
         since = reopened.groupBy(customers.KEY).agg(F.max("batch_id").alias("_since"))
         closed = closed.join(since, customers.KEY, "left").where(
@@ -124,50 +145,37 @@ def customer_closed_events(
 def apply_customers(
     events: DataFrame, batch_id: int, layout: Layout, policy: SkewPolicy = POLICY
 ) -> bool:
-    """Adds cleaned events to the history as one batch.
+    """Adds cleaned events to the history as one batch, in one write.
 
     Closed events are appended and not touched again. Only where an event comes after a later
     one of the same customer has been stored are the customer's closed events read back and
-    replaced, so the history does not depend on how the feed was cut.
+    replaced, so the history does not depend on how the feed was cut. A replay starts from the
+    same rows as the first attempt.
 
-    The last events are written at the end and their marker is what makes the whole batch
-    count: readers see all of a batch or nothing, and a replay starts from the same rows as the
-    first attempt.
+    The batch is not cached: it is a scan of Bronze files, cheaper to repeat than to keep.
     """
     spark = events.sparkSession
-    if tables.is_committed(spark, layout.customer_last, batch_id):
+    if tables.is_committed(spark, layout.customers, batch_id):
         return False
-    key = customers.KEY
-    columns = customers.EVENT_COLUMNS
-    kept = [events.persist()]
-    try:
-        found = find_large_keys(events, [key], policy)
-        known = customer_last_events(spark, layout, before=batch_id)
-        known = known.join(events.select(key).distinct(), key, "left_semi")
-        timeline = known.select(*columns).unionByName(events.select(*columns))
-
-        late = customers.late_keys(events, known, policy, found).persist()
-        kept.append(late)
-        if not late.isEmpty():
-            closed = customer_closed_events(spark, layout, before=batch_id)
-            timeline = timeline.unionByName(
-                closed.join(late, key, "left_semi").select(*columns)
-            )
-            found = None
-            late.write.mode("overwrite").parquet(
-                f"{layout.customer_reopened}/batch_id={batch_id}"
-            )
-        followed = customers.with_next(timeline, policy, found).persist()
-        kept.append(followed)
-        has_next = F.col("_next_ts_ms").isNotNull()
-        followed.where(has_next).write.mode("overwrite").parquet(
-            f"{layout.customer_closed}/batch_id={batch_id}"
-        )
-        last = followed.where(~has_next).select(*columns)
-        return tables.write_batch(last, layout.customer_last, batch_id)
-    finally:
-        for frame in kept:
-            frame.unpersist()
+    key, columns = customers.KEY, customers.EVENT_COLUMNS
+    events = events.select(*columns)
+    found = find_large_keys(events, [key], policy)
+    known = customer_last_events(spark, layout, before=batch_id)
+    known = known.join(events.select(key).distinct(), key, "left_semi")
+    timeline = known.select(*columns).unionByName(events)
+
+    late = customers.late_keys(events, known, policy, found)
+    if not late.isEmpty():
+        path = f"{layout.customer_reopened}/batch_id={batch_id}"
+        late.write.mode("overwrite").parquet(path)
+        closed = customer_closed_events(spark, layout, before=batch_id)
+        late = spark.read.schema(late.schema).parquet(path)
+        timeline = timeline.unionByName(closed.join(late, key, "left_semi").select(*columns))
+        found = None
+    followed = customers.with_next(timeline, policy, found).withColumn(
+        "is_last", F.col("_next_ts_ms").isNull()
+    )
+    return tables.write_batch(followed, layout.customers, batch_id, "is_last")
 
 
 def read_customers(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -178,4 +186,4 @@ def read_customers(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def compact_customers(spark: SparkSession, layout: Layout) -> int | None:
-    return tables.compact(spark, layout.customer_last, customer_last_events(spark, layout))
+    return tables.compact(spark, layout.customers, customer_last_events(spark, layout))

@@ -21,7 +21,6 @@ from tidemark.spec import entity
 from tidemark.streaming import jobs, run
 
 SLICES = 3
-FILES_PER_SLICE = 3
 
 _OPEN: dict[tuple[str, str], "Workspace"] = {}
 
@@ -74,7 +73,8 @@ class Workspace:
         if topic not in self._feeds:
             messages, rows = self._messages(topic)
             slices = SLICES if topic in ("transactions", "customers") else 1
-            files = max(FILES_PER_SLICE, rows // (slices * derived.ROWS_PER_FILE))
+            cores = self.spark.sparkContext.defaultParallelism
+            files = max(cores, rows // (slices * derived.ROWS_PER_FILE))
             derived.write_slices(messages, f"{path}/messages", slices, files)
             self._feeds[topic] = files
         return path

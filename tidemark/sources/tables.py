@@ -2,8 +2,8 @@
 
 A table that takes batches is a folder of ``batch_id=<n>`` folders. A batch is in the table
 once its folder holds Spark's ``_SUCCESS`` marker; writing it again is then a no-op, so a
-replayed micro-batch changes nothing. ``compacted/upto=<n>`` folders next to it hold the
-combined content of all batches up to ``n``. The batch ids are those of the streaming query, so
+replayed micro-batch changes nothing. ``upto=<n>`` folders beside the table hold the combined
+content of all batches up to ``n``. The batch ids are those of the streaming query, so
 a table and the checkpoint of the query that fills it belong together.
 """
 
@@ -81,11 +81,16 @@ def is_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
     return exists(spark, f"{path}/batch_id={batch_id}/{COMMIT_MARKER}")
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> bool:
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, partition_by: str | None = None
+) -> bool:
     """Writes one batch unless it is committed. What an interrupted attempt left is replaced."""
     if is_committed(df.sparkSession, path, batch_id):
         return False
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(f"{path}/batch_id={batch_id}")
     return True
 
 
@@ -99,6 +104,20 @@ def compacted_path(path: str) -> str:
     return f"{path.rstrip('/')}_compacted"
 
 
+def newest_compaction(
+    spark: SparkSession, path: str, schema: T.StructType, before: int | None = None
+) -> tuple[int, DataFrame]:
+    """The last batch in the newest compaction and its rows; -1 and no rows if there is none."""
+    done = [
+        n
+        for n in _committed(spark, compacted_path(path), "upto")
+        if before is None or n < before
+    ]
+    if not done:
+        return -1, spark.createDataFrame([], schema)
+    return done[-1], read_folders(spark, schema, [f"{compacted_path(path)}/upto={done[-1]}"])
+
+
 def read_parts(
     spark: SparkSession, path: str, schema: T.StructType, before: int | None = None
 ) -> tuple[DataFrame | None, DataFrame]:
@@ -106,17 +125,14 @@ def read_parts(
 
     With ``before``, only what was committed before that batch.
     """
-
-    def usable(n: int) -> bool:
-        return before is None or n < before
-
-    done = [n for n in _committed(spark, compacted_path(path), "upto") if usable(n)]
-    upto = done[-1] if done else -1
-    batches = [n for n in committed_batches(spark, path) if n > upto and usable(n)]
-    base = (
-        read_folders(spark, schema, [f"{compacted_path(path)}/upto={upto}"]) if done else None
-    )
-    return base, read_folders(spark, schema, [f"{path}/batch_id={n}" for n in batches])
+    upto, base = newest_compaction(spark, path, schema, before)
+    batches = [
+        n
+        for n in committed_batches(spark, path)
+        if n > upto and (before is None or n < before)
+    ]
+    recent = read_folders(spark, schema, [f"{path}/batch_id={n}" for n in batches])
+    return (None if upto < 0 else base), recent
 
 
 def compact(spark: SparkSession, path: str, combined: DataFrame) -> int | None:
