@@ -208,7 +208,8 @@ def test_queries_run_side_by_side_and_stop_together(spark, run_dir, layout):
     }
     for topic in topics.values():
         topic.send(None)
-    queries = run.start_all(spark, lambda e: topics[e].stream(), layout)
+    quick = {"processingTime": "500 milliseconds"}
+    queries = run.start_all(spark, lambda e: topics[e].stream(), layout, quick)
     try:
         assert len(queries) == 7
         topics["customers"].send(customer(1))

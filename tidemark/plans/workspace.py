@@ -73,8 +73,7 @@ class Workspace:
         if topic not in self._feeds:
             messages, rows = self._messages(topic)
             slices = SLICES if topic in ("transactions", "customers") else 1
-            cores = self.spark.sparkContext.defaultParallelism
-            files = max(cores, rows // (slices * derived.ROWS_PER_FILE))
+            files = max(1, rows // (slices * derived.ROWS_PER_FILE))
             derived.write_slices(messages, f"{path}/messages", slices, files)
             self._feeds[topic] = files
         return path

@@ -24,7 +24,7 @@ CLOSED_MS = 1009843200000
 HEARTBEAT_ACCOUNT = "ACC_SENTINEL"
 HEARTBEAT_ID = "TXN_SENTINEL"
 TOPIC_PARTITIONS = 3
-ROWS_PER_FILE = 4_000_000
+ROWS_PER_FILE = 100_000
 
 
 def _pick(values: list[str], index: Column) -> Column:

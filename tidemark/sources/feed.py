@@ -70,25 +70,6 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ddl(KAFKA_RECORD)).parquet(path)
 
 
-def stream_json_files(
-    spark: SparkSession, path: str, spec: str | Entity, max_files_per_trigger: int | None = None
-) -> DataFrame:
-    """A topic dumped as text, one JSON message per line. Such a dump has no offsets: the
-    position in time is all there is, so ties within one millisecond keep no order."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.load(path)
-    return lines.select(
-        F.lit(None).cast("binary").alias("key"),
-        F.col("value").cast("binary").alias("value"),
-        F.lit(entity(spec).topic).alias("topic"),
-        F.lit(0).alias("partition"),
-        F.lit(0).cast("bigint").alias("offset"),
-        F.current_timestamp().alias("timestamp"),
-    )
-
-
 def feed_counts(feed: DataFrame) -> DataFrame:
     """Messages per topic, and the offsets spanned over all of its partitions."""
     per_partition = feed.groupBy("topic", "partition").agg(

@@ -70,16 +70,21 @@ def catch_up(
     catch_up_gold(spark, layout)
 
 
-def start_all(spark: SparkSession, feed: Feed, layout: Layout) -> list[StreamingQuery]:
-    """All layers at once, on their own triggers."""
-    queries = [
-        jobs.start_bronze(feed(e), e, layout) for e in ("transactions", "customers", "accounts")
+def start_all(
+    spark: SparkSession, feed: Feed, layout: Layout, trigger: dict | None = None
+) -> list[StreamingQuery]:
+    """All layers at once, each on its own trigger or all on the one given."""
+    chosen = {"trigger": trigger} if trigger else {}
+    return [
+        *[
+            jobs.start_bronze(feed(e), e, layout, **chosen)
+            for e in ("transactions", "customers", "accounts")
+        ],
+        jobs.start_silver_transactions(spark, layout, **chosen),
+        jobs.start_silver_customers(spark, layout, **chosen),
+        jobs.start_metrics(spark, layout, **chosen),
+        jobs.start_alerts(spark, layout, **chosen),
     ]
-    queries.append(jobs.start_silver_transactions(spark, layout))
-    queries.append(jobs.start_silver_customers(spark, layout))
-    queries.append(jobs.start_metrics(spark, layout))
-    queries.append(jobs.start_alerts(spark, layout))
-    return queries
 
 
 def progress_report(query: StreamingQuery) -> list[dict]:
