@@ -4,15 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import circulant_minhash
+from tidemark.llm import best_fit_packing, circulant_minhash, naive_bayes_langid
 from tidemark.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file is; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack_documents(
+        table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")
+    )
+
+
+def op9_naive_bayes_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return naive_bayes_langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 QUERIES = {
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_naive_bayes_langid": op9_naive_bayes_langid,
     "op10_circulant_minhash": op10_circulant_minhash,
 }
 
