@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import best_fit_packing, circulant_minhash, naive_bayes_langid
+from tidemark.llm import (
+    best_fit_packing,
+    bloom_lm,
+    bm25_decontamination,
+    circulant_minhash,
+    naive_bayes_langid,
+)
 from tidemark.llm.common import table
 
 
@@ -15,6 +21,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25_decontamination.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op5_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack_documents(
         table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")
@@ -30,6 +46,8 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_bm25_decontamination": op3_bm25_decontamination,
+    "op5_bloom_lm": op5_bloom_lm,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_naive_bayes_langid": op9_naive_bayes_langid,
     "op10_circulant_minhash": op10_circulant_minhash,

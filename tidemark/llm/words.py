@@ -21,6 +21,8 @@ _GRAM = np.uint64(0xD6E8FEB86659FD93)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# Spaces and all other ASCII characters that are neither letters nor digits.
+_MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -81,12 +83,13 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
 
-def words_of(texts: pa.Array) -> Words:
+def words_of(texts: pa.Array, split_at_marks: bool = False) -> Words:
+    """The words of every row; ``split_at_marks`` cuts at ASCII punctuation as well."""
     data, offsets = text_bytes(texts)
     n = len(data)
     if n == 0:
         return Words(np.empty(0, np.uint64), np.zeros(len(offsets), np.int64))
-    inside = ~_SPACE[data]
+    inside = ~(_MARKS if split_at_marks else _SPACE)[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = offsets[(offsets > 0) & (offsets < n)]
