@@ -9,6 +9,7 @@ from tidemark.llm import (
     bloom_lm,
     bm25_decontamination,
     circulant_minhash,
+    cover_tree_dedup,
     naive_bayes_langid,
 )
 from tidemark.llm.common import table
@@ -27,6 +28,10 @@ def op3_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_cover_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree_dedup.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op5_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score_documents(table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_cover_tree_dedup": op4_cover_tree_dedup,
     "op3_bm25_decontamination": op3_bm25_decontamination,
     "op5_bloom_lm": op5_bloom_lm,
     "op8_best_fit_packing": op8_best_fit_packing,
