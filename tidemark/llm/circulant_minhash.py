@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
@@ -36,6 +36,7 @@ from tidemark.llm.components import connected_components
 SLICE_BYTES = 1 << 20
 CHUNK = 256
 """Members of a bucket that a task compares with as many others."""
+MARKS = 1 << 26
 
 # Multipliers of the two permutations, and the step of the circular shift; all odd.
 _SCATTER = (np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
@@ -123,11 +124,19 @@ def _describe(width: int, bands: int, rows: int):
     return work
 
 
-def _set_rows(width: int):
+def _set_rows(width: int, wanted):
+    """Shingle sets of the documents whose id is marked in the bitmap ``wanted``."""
     schema = pa.schema([("member", pa.int64()), ("shingles", pa.binary())])
 
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            yes = (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+            yield batch.filter(pa.array(yes))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, SLICE_BYTES, "text"):
+        for part in slices(marked(batches), SLICE_BYTES, "text"):
             flat, first = _sets(part.column("text"), width)
             data = [flat[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
             yield pa.record_batch(
@@ -232,6 +241,27 @@ def _compare(percent: int):
     return work
 
 
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """A bitmap of ``MARKS`` hashed places with the bits of these ids (one column) set.
+
+    It has the same size whatever the data. Documents marked by chance only cost their set, as
+    sets are joined by id later.
+    """
+    rows = (
+        ids.select(_place(ids.columns[0]).alias("place"))
+        .groupBy(F.shiftright("place", 6).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))").alias("bits"))
+        .toArrow()
+    )
+    out = np.zeros(MARKS >> 6, np.uint64)
+    out[rows.column(0).to_numpy()] = rows.column(1).to_numpy().view(np.uint64)
+    return out
+
+
+def _place(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(MARKS))
+
+
 def _tasks(members: DataFrame, within_chunks: bool) -> DataFrame:
     """Who is compared where: rows (bucket, i, j, member, component, asks).
 
@@ -340,10 +370,10 @@ def near_duplicates(
     members = stored(
         banded.select("member", "bucket").join(stored(unlike, "buckets"), "bucket"), "members"
     )
-    wanted = members.select(F.col("member").alias("doc_id")).distinct()
+    wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(members.select("member")))
+    marked = docs.where("doc_id IS NOT NULL").withColumn("place", _place("doc_id"))
     sets = stored(
-        map_batches(docs.join(wanted, "doc_id"), _set_rows(width), "member long, shingles binary"),
-        "sets",
+        map_batches(marked, _set_rows(width, wanted), "member long, shingles binary"), "sets"
     )
     alone = members.withColumn("component", F.col("member"))
     near = stored(
