@@ -8,8 +8,11 @@ from tidemark.llm import (
     best_fit_packing,
     bloom_lm,
     bm25_decontamination,
+    chat_grammar,
     circulant_minhash,
     cover_tree_dedup,
+    dom_tree_model,
+    host_reputation,
     naive_bayes_langid,
 )
 from tidemark.llm.common import table
@@ -22,6 +25,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_dom_tree_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dom_tree_model.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25_decontamination.find_leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -36,6 +43,16 @@ def op5_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op7_chat_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(chat_grammar.hard_conversation(spark))
+    return chat_grammar.digests(chat_grammar.format_conversations(rows))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack_documents(
         table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")
@@ -51,6 +68,9 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_dom_tree_model": op2_dom_tree_model,
+    "op6_host_reputation": op6_host_reputation,
+    "op7_chat_grammar": op7_chat_grammar,
     "op4_cover_tree_dedup": op4_cover_tree_dedup,
     "op3_bm25_decontamination": op3_bm25_decontamination,
     "op5_bloom_lm": op5_bloom_lm,
@@ -59,4 +79,7 @@ QUERIES = {
     "op10_circulant_minhash": op10_circulant_minhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op6_host_reputation": host_reputation.ORACLE_SQL,
+    "op7_chat_grammar": chat_grammar.ORACLE_SQL,
+}
