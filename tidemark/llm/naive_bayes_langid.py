@@ -180,6 +180,19 @@ def predict(docs: DataFrame, model: LanguageModel, columns: list[str]) -> DataFr
     )
 
 
+def accepted(docs: DataFrame, model: LanguageModel, least_score: float) -> DataFrame:
+    """The rows of ``docs``, all columns, with a language whose score is ``least_score`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, SLICE_BYTES, "text"):
+            names, scores = shared.value.score(part.column("text"))
+            known = np.array([n != UNDETERMINED for n in names], bool)
+            yield part.filter(pa.array(known & (scores >= least_score)))
+
+    return map_batches(docs, work, docs.schema)
+
+
 def training_rows(held_out: Column, docs: DataFrame) -> DataFrame:
     return docs.where(~held_out).select("text", F.col("lang").alias("label"))
 

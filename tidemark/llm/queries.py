@@ -14,6 +14,7 @@ from tidemark.llm import (
     dom_tree_model,
     host_reputation,
     naive_bayes_langid,
+    warc_derivatives,
 )
 from tidemark.llm.common import table
 
@@ -25,6 +26,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = warc_derivatives.page_responses(table(spark, sf_dir, "pages"))
+    return warc_derivatives.derivatives(responses, ("page_id",))
+
+
 def op2_dom_tree_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dom_tree_model.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -68,6 +74,7 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_derivatives": op1_warc_derivatives,
     "op2_dom_tree_model": op2_dom_tree_model,
     "op6_host_reputation": op6_host_reputation,
     "op7_chat_grammar": op7_chat_grammar,
