@@ -8,9 +8,8 @@ not widen the passages for short ones.
 An item's threshold is a share of the score it gets from its own text. Impacts are divided by the
 threshold of their item, so an item is above its threshold if its impacts sum to 1 or more.
 Retrieval is exact: every item at or above 1 is found. First, for a whole run of passages in
-numpy, an upper bound per passage and block of items (frequent terms by their list maximum,
-others by their block maximum) sorts out passages that no block can satisfy. Block-max WAND then
-runs for the passages that remain.
+numpy, the block maxima of a passage's distinct terms are summed per block of items, which sorts
+out passages that no block can satisfy. Block-max WAND then runs for the passages that remain.
 
 A hit counts as contamination if of both halves of the item, question and answer, a share of the
 word 5-grams stands in the passage. An item has one text: the question ends with the sentence
@@ -41,7 +40,7 @@ from tidemark.llm import words as W
 from tidemark.llm.common import map_batches, slices
 
 ITEMS = 50_000
-BLOCK = 16
+BLOCK = 4
 K1, B = 1.2, 0.75
 GRAM = 5
 SHORTEST_WINDOW = 32
@@ -117,14 +116,13 @@ class ItemIndex:
         self.begin = np.concatenate(([0], np.cumsum(df)))
         self.items, self.impacts = item, impact
         self.most = np.maximum.reduceat(impact, self.begin[:-1])
-        # Block maxima of each term, and the same for WAND as plain lists per term.
+        # Block maxima of each term, and the postings and maxima for WAND as plain lists.
         block = term * (n // BLOCK + 1) + item // BLOCK
         edge = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
         self.block_of = (item // BLOCK)[edge]
         self.block_most = np.maximum.reduceat(impact, edge)
         self.block_begin = np.searchsorted(edge, self.begin)
         self.blocks = n // BLOCK + 1
-        self.heavy = df > max(4, n // 8)
         self.postings = [
             (item[a:b].tolist(), impact[a:b].tolist())
             for a, b in zip(self.begin[:-1], self.begin[1:], strict=True)
@@ -142,35 +140,29 @@ class ItemIndex:
         begin = first[row] + nth * self.stride
         return row, begin, np.minimum(begin + 2 * self.stride, first[row + 1])
 
-    def possible(self, term: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Passages with a block whose upper bound reaches 1; ``term`` is -1 for other words."""
-        known = term >= 0
-        safe = np.where(known, term, 0)
-        bound = np.where(known, self.most[safe], 0.0)
-        heavy = known & self.heavy[safe]
-        total = np.concatenate(([0.0], np.cumsum(bound)))
-        common = np.concatenate(([0.0], np.cumsum(np.where(heavy, bound, 0.0))))
-        live = np.flatnonzero(total[end] - total[begin] >= 1 - 1e-9)
-        if not len(live):
-            return live
-        light = np.flatnonzero(known & ~heavy)
-        lo, hi = np.searchsorted(light, begin[live]), np.searchsorted(light, end[live])
-        out = []
-        step = max(1, 2_000_000 // (64 + self.blocks))
-        for a in range(0, len(live), step):
+    def possible(self, term: np.ndarray, begin: np.ndarray, end: np.ndarray):
+        """Passages with a block whose upper bound reaches 1, each with its distinct terms.
+
+        ``term`` is -1 for words that are in no item.
+        """
+        known = np.flatnonzero(term >= 0)
+        lo, hi = np.searchsorted(known, begin), np.searchsorted(known, end)
+        step = max(1, 4_000_000 // (256 + self.blocks))
+        for a in range(0, len(begin), step):
             n = (hi - lo)[a : a + step]
             passage = np.repeat(np.arange(len(n)), n)
             at = np.arange(n.sum()) + np.repeat(lo[a : a + step] - (np.cumsum(n) - n), n)
-            t = term[light[at]]
-            m = self.block_begin[t + 1] - self.block_begin[t]
-            entry = np.arange(m.sum()) + np.repeat(self.block_begin[t] - (np.cumsum(m) - m), m)
+            passage, own = np.divmod(
+                np.unique(passage * len(self.terms) + term[known[at]]), len(self.terms)
+            )
+            m = self.block_begin[own + 1] - self.block_begin[own]
+            entry = np.arange(m.sum()) + np.repeat(self.block_begin[own] - (np.cumsum(m) - m), m)
             cell = np.repeat(passage, m) * self.blocks + self.block_of[entry]
             sums = np.bincount(cell, self.block_most[entry], minlength=len(n) * self.blocks)
             most = sums.reshape(len(n), self.blocks).max(axis=1)
-            chosen = live[a : a + step]
-            base = common[end[chosen]] - common[begin[chosen]]
-            out.append(chosen[most + base >= 1 - 1e-9])
-        return np.concatenate(out)
+            edge = np.searchsorted(passage, np.arange(len(n) + 1))
+            for k in np.flatnonzero(most >= 1 - 1e-9):
+                yield a + int(k), own[edge[k] : edge[k + 1]].tolist()
 
     def wand(self, terms: list[int]) -> list[tuple[int, float]]:
         """Items whose impacts for these distinct terms sum to 1 or more, by block-max WAND."""
@@ -218,9 +210,8 @@ class ItemIndex:
         term = np.where(self.terms[place] == words.hashes, place, -1)
         row, begin, end = self.windows(words.counts, words.first)
         best: dict[tuple[int, int], tuple] = {}
-        for k in self.possible(term, begin, end):
-            own = np.unique(term[begin[k] : end[k]])
-            for item, score in self.wand(own[own >= 0].tolist()):
+        for k, own in self.possible(term, begin, end):
+            for item, score in self.wand(own):
                 passage = words.hashes[begin[k] : end[k]]
                 question, answer = (h.share(passage) for h in self.halves[item])
                 if question >= overlap and answer >= overlap:
