@@ -1,0 +1,69 @@
+import zlib
+
+import pyarrow as pa
+from brute import table_rows
+
+from tidemark.llm import naive_bayes_langid as op
+
+SCHEMA = "doc_id long, text string, lang string"
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    lang = {r.doc_id: r.lang for r in table_rows(spark, "documents", sf)}
+    out = op.identify(docs).collect()
+    assert len(out) == len(lang)
+    for r in out:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert 0 <= r.score <= 1
+    held = [r for r in out if r.held_out]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in held) / len(held) > 0.98
+
+
+def test_weights_are_smoothed_counts(spark):
+    rows = [(1, "ab", "x"), (2, "abc", "x"), (3, "zz", "y"), (4, None, "y"), (5, "ab", None)]
+    model = op.fit(spark.createDataFrame(rows, SCHEMA).selectExpr("text", "lang AS label"))
+    assert model.languages == ["x", "y"]
+    grams, _, _ = op._grams(pa.array(["ab", "abc"]))
+    total = sum((g < op.BUCKETS).sum() for g in grams)
+    a = grams[0][1]  # the letter a, seen twice among all n-grams of x
+    import numpy as np
+
+    want = np.log((2 + op.SMOOTHING) / (total + op.SMOOTHING * op.BUCKETS))
+    assert abs(model.weights[0][a] - want) < 1e-5
+    assert np.allclose(np.exp(model.priors), [2 / 3, 1 / 3])
+
+
+def test_no_letter_is_undetermined(spark):
+    rows = [(0, "hello there friend", "en"), (2, "guten tag leute", "de"), (3, None, "en"),
+            (4, "", "en"), (5, "123 ### 4.5", "de"), (6, "hello", None), (6, "hello", None)]
+    frame = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'de' AS lang_pred", "9 AS score")
+    out = op.identify(frame).collect()
+    assert len(out) == 7
+    by = {r.doc_id: r for r in out}
+    assert [by[i].lang_pred for i in (3, 4, 5)] == ["und"] * 3
+    assert [by[i].score for i in (3, 4, 5)] == [0.0] * 3
+
+
+def test_without_training_rows(spark):
+    rows = [(0, "hello", None), (None, "words", None)]
+    out = op.identify(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r.lang_pred, r.score) for r in out} == {("und", 0.0)}
+    assert op.identify(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_label_is_no_input(spark):
+    train = [(k, "hello there friend" if k % 2 else "guten tag leute", "en" if k % 2 else "de")
+             for k in range(20) if zlib.crc32(str(k).encode()) % 3 != 1]
+    held = next(k for k in range(50, 99) if zlib.crc32(str(k).encode()) % 3 == 1)
+    for label in ("en", "de", "xx", None):
+        rows = spark.createDataFrame([*train, (held, "guten tag freund", label)], SCHEMA)
+        assert {r.doc_id: r.lang_pred for r in op.identify(rows).collect()}[held] == "de"
+
+
+def test_grams_do_not_cross_texts():
+    one, _, _ = op._grams(pa.array(["abc", "def"]))
+    apart = [op._grams(pa.array([t]))[0] for t in ("abc", "def")]
+    for k in range(len(op.ORDERS)):
+        assert one[k].tolist() == apart[0][k].tolist() + apart[1][k].tolist()
