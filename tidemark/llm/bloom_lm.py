@@ -16,8 +16,8 @@ filter goes out in groups of segments of at most that size, one pass over the te
 of all other words, for the exact base score, are joined by word.
 
 The model: p(w | h) = k(h) min(1, c(h w) / c(h)) + (1 - k(h)) p(w), with p(w) the add-one estimate
-and k(h) one weight per level of c(h), fitted on a bounded sample of training texts with each
-pair's own occurrence taken out. Counts in numerators are rounded down and those below up. The
+and k(h) one weight per level of c(h), fitted on a bounded sample of training texts, each scored
+with its own counts taken out. Counts in numerators are rounded down and those below up. The
 end of a text is a token, and the history of its first word.
 
 Rows: a null text is empty and consists of the end alone. Rows that repeat an id are scored one by
@@ -310,9 +310,10 @@ class _Model:
         return (LEVELS[level] + 1) / (self.total + self.distinct + 1), level
 
     @staticmethod
-    def ratio(pair_level: np.ndarray, history_level: np.ndarray, less: int = 0) -> np.ndarray:
-        above = LEVELS[history_level + 1] - 1 - less
-        return np.minimum(1, np.maximum(LEVELS[pair_level] - less, 0) / np.maximum(above, 1))
+    def ratio(pair_level: np.ndarray, history_level: np.ndarray, own=0, own_history=0):
+        """c(h w) / c(h), without the counts of the text itself where they are given."""
+        above = LEVELS[history_level + 1] - 1 - own_history
+        return np.minimum(1, np.maximum(LEVELS[pair_level] - own, 0) / np.maximum(above, 1))
 
 
 def _parts(tokens: W.Words, model: _Model, pair_filter: LogFrequencyFilter):
@@ -324,15 +325,28 @@ def _parts(tokens: W.Words, model: _Model, pair_filter: LogFrequencyFilter):
     return alone, before, pairs(histories(tokens), tokens.hashes)
 
 
+def _own_counts(keys: np.ndarray, tokens: W.Words) -> np.ndarray:
+    """How often each key occurs in its text."""
+    both = W.mix(keys + W.mix(tokens.rows().astype(np.uint64)))
+    _, where, n = np.unique(both, return_inverse=True, return_counts=True)
+    return n[where]
+
+
 def _fit_weights(train: DataFrame, model, pair_filter) -> np.ndarray:
-    """One weight per history level: the best of a grid on a sample, own occurrence taken out."""
+    """One weight per history level: the best of a grid on a sample of texts."""
     grid = np.array([0.0, 0.02, 0.05, 0.1, 0.2, 0.3, 0.45, 0.6, 0.75, 0.9])
     sample = train.select("text").limit(SAMPLE).toArrow().column(0).combine_chunks()
     gain = np.zeros((len(LEVELS), len(grid)))
     for start in range(0, len(sample), 50):
         tokens = tokens_of(sample.slice(start, 50))
-        alone, before, keys = _parts(tokens, model, pair_filter)
-        ratio = model.ratio(pair_filter.levels(keys), before, less=1)
+        _, level = model.single(tokens.hashes)
+        _, before, keys = _parts(tokens, model, pair_filter)
+        own = _own_counts(tokens.hashes, tokens)
+        alone = (np.maximum(LEVELS[level] - own, 0) + 1) / (model.total + model.distinct + 1)
+        ratio = model.ratio(
+            pair_filter.levels(keys), before, _own_counts(keys, tokens),
+            _own_counts(histories(tokens), tokens),
+        )
         for k, weight in enumerate(grid):
             p = weight * ratio + (1 - weight) * alone
             gain[:, k] += np.bincount(before, np.log10(p), minlength=len(LEVELS))[: len(LEVELS)]
