@@ -17,9 +17,11 @@ documents. Null ids are kept. Other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +29,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import words as W
 from tidemark.llm.common import map_batches, slices, stored
 
 CAPACITY = 2048
 END_ID = 0
 PARTS = 128
 """Parts in which the pieces of a length are ranked."""
-SLICE_BYTES = 2 << 20
-KNOWN_PIECES = 600_000
+SLICE_BYTES = 4 << 20
+KNOWN_PIECES = 1_000_000
 """Pieces of text whose ids a worker remembers before it starts afresh."""
 
 # A blank before a character that is not white space always begins a token of this tokenizer
@@ -43,9 +46,14 @@ _NO_CUT = re.compile(r" (?:\s|\Z)")
 
 
 class Encoder:
-    """Ids of whole texts; pieces of text seen before are not encoded again."""
+    """Ids of whole texts; pieces of text seen before are not encoded again.
+
+    Texts are cut before each blank. Pieces are told apart by a 64-bit hash of their bytes.
+    """
 
     def __init__(self, path: str):
+        # Spark runs a task on each core; threads of the tokenizer would only get in the way.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -53,48 +61,61 @@ class Encoder:
         self._clear()
 
     def _clear(self):
-        self.heads: dict[str, int] = {}
-        self.tails: dict[str, int] = {}
+        self.codes: dict[int, int] = {}
         self.begin, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
         self.flat = np.empty(0, np.uint32)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, heads: set[str], tails: set[str]):
-        new = list(heads) + [" " + t for t in tails]
-        ids = self._encode(new)
+    def _learn(self, hashes: list[int], texts: list[str]):
+        ids = self._encode(texts)
         sizes = np.array([len(x) for x in ids], np.int64)
-        start = len(self.size)
-        self.heads.update(zip(heads, range(start, start + len(heads)), strict=True))
-        self.tails.update(zip(tails, range(start + len(heads), start + len(new)), strict=True))
+        self.codes.update(zip(hashes, range(len(self.size), len(self.size) + len(ids)), strict=True))
         self.begin = np.append(self.begin, len(self.flat) + np.cumsum(sizes) - sizes)
         self.size = np.append(self.size, sizes)
-        self.flat = np.append(self.flat, np.array([i for x in ids for i in x], np.uint32))
+        self.flat = np.append(
+            self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        )
+
+    def _cut_ids(self, texts: list[str]) -> list[np.ndarray]:
+        data, offsets = W.text_bytes(pa.array(texts, pa.string()))
+        if not len(data):
+            return [np.empty(0, np.uint32) for _ in texts]
+        begins = data == 0x20
+        begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        start = np.flatnonzero(begins)
+        end = np.append(start[1:], len(data))
+        distinct, at, where = np.unique(
+            W.span_hashes(data, start, end), return_index=True, return_inverse=True
+        )
+        known = list(map(self.codes.get, keys := distinct.tolist()))
+        new = [k for k, code in enumerate(known) if code is None]
+        if new:
+            if len(self.size) > KNOWN_PIECES:
+                self._clear()
+                new = list(range(len(keys)))
+            raw = data.tobytes()
+            pieces_ = [raw[start[at[k]] : end[at[k]]].decode() for k in new]
+            self._learn([keys[k] for k in new], pieces_)
+            known = list(map(self.codes.get, keys))
+        codes = np.array(known, np.int64)[where]
+        sizes = self.size[codes]
+        ends = np.cumsum(sizes)
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(self.begin[codes] - (ends - sizes), sizes)]
+        edges = np.concatenate(([0], ends))[np.searchsorted(start, offsets)]
+        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.size) > KNOWN_PIECES:
-            self._clear()
         whole = [k for k, t in enumerate(texts) if _NO_CUT.search(t)]
-        cut = {k: t.split(" ") for k, t in enumerate(texts)}
-        for k in whole:
-            del cut[k]
-        heads = {words[0] for words in cut.values()}
-        tails = set().union(*(words[1:] for words in cut.values())) if cut else set()
-        heads, tails = heads - self.heads.keys(), tails - self.tails.keys()
-        if heads or tails:
-            self._learn(heads, tails)
-        out: dict[int, np.ndarray] = {}
+        apart = set(whole)
+        cut = [k for k in range(len(texts)) if k not in apart]
+        out: dict[int, np.ndarray] = dict(
+            zip(cut, self._cut_ids([texts[k] for k in cut]), strict=True)
+        )
         if whole:
             for k, ids in zip(whole, self._encode([texts[k] for k in whole]), strict=True):
                 out[k] = np.array(ids, np.uint32)
-        for k, words in cut.items():
-            codes = np.empty(len(words), np.int64)
-            codes[0] = self.heads[words[0]]
-            codes[1:] = list(map(self.tails.__getitem__, words[1:]))
-            sizes = self.size[codes]
-            shift = np.repeat(self.begin[codes] - (np.cumsum(sizes) - sizes), sizes)
-            out[k] = self.flat[np.arange(len(shift)) + shift]
         return [out[k] for k in range(len(texts))]
 
 

@@ -22,6 +22,8 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,7 +54,9 @@ def _parse_turn(block: Column) -> Column:
     """Role and text of a turn without its end; null if it is not in the grammar."""
     shape = r"(?s)^### ((?:[^:\\]++|\\.)*+): (.*)$"
     role, text = (F.regexp_extract(block, shape, k) for k in (1, 2))
-    plain = ~F.contains(role, F.lit("###")) & ~F.contains(text, F.lit("###"))
+    plain = reduce(
+        Column.__and__, (~F.contains(x, F.lit(c)) for x in (role, text) for c in ("###", "</turn>"))
+    )
     return F.when(
         F.regexp_like(block, F.lit(shape)) & plain,
         F.struct(unescape(role).alias("role"), unescape(text).alias("text")),
@@ -193,7 +197,8 @@ WITH t AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 e AS (
-  SELECT *, contains(role || text, '\') OR contains(role, '###') OR contains(text, '###')
+  SELECT *, contains(role, '\') OR regexp_matches(text, '(?s)\\.')
+      OR contains(role, '###') OR contains(text, '###')
       OR contains(role, '</turn>') OR contains(text, '</turn>') OR contains(role, ':') AS hard,
     replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#') AS text_e,
     replace(replace(replace(replace(role, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#'),

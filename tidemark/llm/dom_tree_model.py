@@ -32,6 +32,8 @@ from tidemark.llm.common import map_batches
 
 TRAINING_PAGES = 400
 SEED = 11
+TEXT_WEIGHT = 0.5
+"""Weight of what an element's text is like; a parent's parts say that again, one by one."""
 _WORD = re.compile(r"[a-z]+")
 _STRONGEST = 12.0
 
@@ -145,6 +147,9 @@ def fit(pages: Iterable[str]) -> TreeModel:
         f: math.log((seen[1][f] + 0.5) / (total[1] + 1)) - math.log((seen[0][f] + 0.5) / (total[0] + 1))
         for f in seen[0].keys() | seen[1].keys()
     }
+    for f in weights:
+        if f.startswith(("size ", "links ")):
+            weights[f] *= TEXT_WEIGHT
     edges = {
         name: tuple(tuple(math.log(x / sum(row)) for x in row) for row in table)
         for name, table in moves.items()

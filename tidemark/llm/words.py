@@ -26,13 +26,13 @@ _MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[np.ndarray] = []
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2**64; kept up to 8 million entries."""
-    size = 1 << max(16, (n - 1).bit_length())
-    if size not in _powers:
+    """Powers of the base and of its inverse, modulo 2**64; up to 8 million of them are kept."""
+    if not _powers or len(_powers[0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
         both = []
         for base in (_BASE, _BASE_INVERSE):
             table = np.full(size, base, np.uint64)
@@ -40,9 +40,8 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
             both.append(np.cumprod(table, dtype=np.uint64))
         if size > 1 << 23:
             return both[0], both[1]
-        _powers.clear()
-        _powers[size] = (both[0], both[1])
-    return _powers[size]
+        _powers[:] = both
+    return _powers[0], _powers[1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -98,11 +97,17 @@ def words_of(texts: pa.Array, split_at_marks: bool = False) -> Words:
     ends[:-1] &= ~inside[1:]
     ends[edges - 1] = inside[edges - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    hashes = span_hashes(_LOWER[data], start, end)
+    return Words(hashes, np.searchsorted(start, offsets))
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """One 64-bit hash for the bytes of each span."""
+    n = len(data)
     power, inverse = _power_tables(n)
     run = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[_LOWER[data]] * power[:n], out=run[1:])
-    hashes = mix((run[end] - run[start]) * inverse[start] + _BASE)
-    return Words(hashes, np.searchsorted(start, offsets))
+    np.cumsum(_BYTE[data] * power[:n], out=run[1:])
+    return mix((run[end] - run[start]) * inverse[start] + _BASE)
 
 
 def shingle_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
