@@ -454,7 +454,7 @@ SELECT topic, count(*) AS n_partitions, CAST(sum(n) AS BIGINT) AS n_messages,
     "ext_duplicates": f"""WITH {TX_CLEAN},
 paired AS (
   SELECT *, lag(transaction_id) OVER w AS earlier_id, tx_us - lag(tx_us) OVER w AS apart
-  FROM tx_clean WHERE op IN ('c', 'r')
+  FROM tx_clean WHERE op IN ('c', 'r') AND account_id IS NOT NULL AND merchant_name IS NOT NULL
   WINDOW w AS (PARTITION BY account_id, amount, merchant_name ORDER BY tx_us, pos)
 )
 SELECT transaction_id, account_id, CAST(amount AS DOUBLE) AS amount, merchant_name,
@@ -470,12 +470,12 @@ running AS (
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
 d AS (
-  SELECT *, CAST(n AS DOUBLE) AS dn, CAST(s AS DOUBLE) AS ds, CAST(q AS DOUBLE) AS dq,
-    CAST(x AS DOUBLE) AS dx FROM running WHERE n >= 5
+  SELECT *, CAST(n AS HUGEINT) * x - s AS above, CAST(n AS HUGEINT) * q - s * s AS spread
+  FROM running WHERE n >= 5
 )
 SELECT transaction_id, account_id, CAST(amount AS DOUBLE) AS amount, n AS n_earlier,
-  ds / dn / 100 AS mean_earlier
-FROM d WHERE dn * dx - ds > 3.0 * sqrt(greatest(dn * dq - ds * ds, 0.0))""",
+  CAST(s AS DOUBLE) / n / 100 AS mean_earlier
+FROM d WHERE above > 0 AND above * above > 9 * spread""",
     "ext_cross_border": f"WITH {TX_CURRENT} "
     + per_window(
         "count(*) AS n_transactions, count(*) FILTER (WHERE is_international) AS n_international,"

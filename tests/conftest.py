@@ -5,7 +5,6 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from tidemark.operators.skew import SkewPolicy  # noqa: E402
 from tidemark.plans.layout import Layout  # noqa: E402
 from tidemark.session import build_session, new_run_dir  # noqa: E402
 
@@ -33,9 +32,3 @@ def run_dir(spark):
 @pytest.fixture
 def layout(run_dir):
     return Layout(run_dir)
-
-
-@pytest.fixture
-def split_everything():
-    """A policy under which every key of a small test frame counts as too large."""
-    return SkewPolicy(share=1e-2, rows=3, skip_bytes=0)

@@ -118,3 +118,12 @@ def test_text_is_parsed_once(spark, run_dir):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
     assert T0_US == 1704067200000000
+
+
+@pytest.mark.parametrize("text", ['{"op":"c","after":"{bad","source":{"ts_ms":1}}', '{"op":"t","source":{"ts_ms":1}}'])
+def test_envelopes_without_a_key_are_rejected_as_they_came(spark, text):
+    feed = messages(spark, [text], TRANSACTIONS.topic)
+    flat = bronze.unwrap_envelope(feed, TRANSACTIONS)
+    assert bronze.parse_events(flat, TRANSACTIONS).count() == 0
+    (row,) = bronze.rejected_messages(flat, TRANSACTIONS).collect()
+    assert (row.message, row.reason) == (text, "NO_KEY")

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 from rows import MINUTE_US, T0_US, parsed, same_rows, transaction
 
 from tidemark.operators import screening, transactions
-from tidemark.operators.skew import SkewPolicy
-
-PLAIN = SkewPolicy()
 
 
 def current(spark, rows):
@@ -45,14 +42,20 @@ def test_cross_border(spark):
 
 
 @pytest.mark.parametrize("minutes, expected", [(10, {"T2", "T3"}), (4, {"T3"})])
-def test_repeated_payments(spark, minutes, expected, split_everything):
+def test_repeated_payments(spark, minutes, expected):
     at = [0, 0, 5, 8, 19]
     rows = [transaction(i, transaction_timestamp=T0_US + m * MINUTE_US) for i, m in enumerate(at)]
     rows[0]["merchant_name"] = "Other"
     events = transactions.clean_transactions(parsed(spark, rows))
-    for policy in (PLAIN, split_everything):
-        out = screening.repeated_payments(events, minutes, policy)
-        assert {r.transaction_id for r in out.collect()} == expected
+    out = screening.repeated_payments(events, minutes)
+    assert {r.transaction_id for r in out.collect()} == expected
+
+
+@pytest.mark.parametrize("column", ["account_id", "merchant_name"])
+def test_payments_without_account_or_merchant_repeat_nothing(spark, column):
+    rows = [transaction(i, **{column: None}) for i in range(3)]
+    events = transactions.clean_transactions(parsed(spark, rows))
+    assert events.count() == 3 and screening.repeated_payments(events).count() == 0
 
 
 def brute_unusual(rows, deviations=3.0, min_earlier=5):
@@ -69,7 +72,7 @@ def brute_unusual(rows, deviations=3.0, min_earlier=5):
     return found
 
 
-def test_unusual_spend(spark, split_everything):
+def test_unusual_spend(spark):
     rng = random.Random(3)
     rows = [
         transaction(
@@ -83,7 +86,17 @@ def test_unusual_spend(spark, split_everything):
     frame = current(spark, rows)
     plain = screening.unusual_spend(frame)
     assert {r.transaction_id for r in plain.collect()} == brute_unusual(rows)
-    same_rows(screening.unusual_spend(frame, policy=split_everything), plain)
+
+
+def test_unusual_spend_does_not_round(spark):
+    """201 equal payments, then one that is ten cents higher: the earlier spread is 0."""
+    rows = [
+        transaction(i, amount=98765432.02, transaction_timestamp=T0_US + i * MINUTE_US)
+        for i in range(201)
+    ]
+    rows.append(transaction(900, amount=98765432.12, transaction_timestamp=T0_US + 300 * MINUTE_US))
+    out = screening.unusual_spend(current(spark, rows)).collect()
+    assert [(r.transaction_id, r.n_earlier) for r in out] == [("T900", 201)]
 
 
 def test_customer_activity_and_risk(spark):
@@ -106,7 +119,7 @@ def test_customer_activity_and_risk(spark):
     assert (risk["C1"].max_score, risk["C1"].mean_score, risk["C1"].n_windows) == (95, 47.5, 2)
 
 
-def test_change_audit(spark, split_everything):
+def test_change_audit(spark):
     rows = [
         transaction(1, "c", 1),
         transaction(1, "u", 3, amount=None),
@@ -114,10 +127,9 @@ def test_change_audit(spark, split_everything):
         transaction(2, "c", 1),
     ]
     bronze = parsed(spark, rows)
-    for policy in (PLAIN, split_everything):
-        out = screening.change_audit(bronze, "transaction_id", ["amount", "status"], policy)
-        got = [(r.cdc_timestamp_ms, r.changed_columns) for r in out.orderBy("cdc_timestamp_ms").collect()]
-        assert got == [(2, ["amount", "status"]), (3, ["amount", "status"])]
+    out = screening.change_audit(bronze, "transaction_id", ["amount", "status"])
+    got = [(r.cdc_timestamp_ms, r.changed_columns) for r in out.orderBy("cdc_timestamp_ms").collect()]
+    assert got == [(2, ["amount", "status"]), (3, ["amount", "status"])]
     first = out.orderBy("cdc_timestamp_ms").first()
     assert (first.before.amount, first.after.amount) == (10.0, 11.0)
 

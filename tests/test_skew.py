@@ -1,104 +1,65 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from rows import same_rows
 
 from tidemark.operators import skew
-from tidemark.operators.skew import LargeKeys, SkewPolicy
 
 KEYS = ["a", "b"]
-NOTHING = LargeKeys()
 
 
 @pytest.fixture(scope="module")
 def rows(spark):
-    """One key holds a third of the rows, one of them is null in part, values may be null."""
+    """One key holds a third of the rows over many stretches; times tie, times and values may be null."""
     rng = random.Random(5)
     data = []
     for i in range(600):
-        a = "hot" if i % 3 == 0 else rng.choice(["x", "y", None, f"k{i}"])
-        b = None if a in ("hot", "x") else 1
-        data.append((a, b, rng.randrange(50), i, rng.choice([None, rng.randrange(100)])))
-    return spark.createDataFrame(data, "a string, b int, t int, id int, v int").cache()
+        a = "hot" if i % 3 == 0 else rng.choice(["x", "y", f"k{i}"])
+        t = rng.choice([None, *range(0, 40 * skew.STRETCH_MS, skew.STRETCH_MS // 3)])
+        data.append((a, 1, t, i, rng.choice([None, rng.randrange(100)])))
+    return spark.createDataFrame(data, "a string, b int, t long, id int, v int").cache()
 
 
 def order():
     return [F.col("t"), F.col("id")]
 
 
-def test_small_inputs_are_not_inspected(spark, rows):
-    assert not skew.find_large_keys(rows, KEYS, SkewPolicy())
-
-
-def test_large_keys_are_found_and_bounded(spark, rows):
-    policy = SkewPolicy(share=0.05, rows=10, skip_bytes=0)
-    found = skew.find_large_keys(rows, KEYS, policy)
-    large = rows.where(skew.key_hash(KEYS).isin(*found.hashes))
-    names = {(r.a, r.b) for r in large.select(*KEYS).distinct().collect()}
-    assert ("hot", None) in names and len(names) <= policy.max_keys
-    assert found.rows == large.count()
-    counts = {
-        (r.a, r.b) for r in rows.groupBy(*KEYS).count().where("count > 30").collect()
-    }
-    assert names == counts
+@pytest.mark.parametrize("step", [1, -1])
+@pytest.mark.parametrize("value", ["struct(id, v)", "v"])
+def test_neighbours_are_those_of_a_plain_window(spark, rows, step, value):
+    shift, value = (F.lead if step > 0 else F.lag), F.expr(value)
+    want = rows.withColumn("n", shift(value).over(Window.partitionBy(*KEYS).orderBy(*order())))
+    got = skew.with_neighbour(rows, KEYS, order(), "n", value, step, F.col("t"))
+    assert got.columns == want.columns
+    same_rows(got, want)
 
 
-def test_no_key_passes_a_high_bar(spark, rows):
-    assert not skew.find_large_keys(rows, KEYS, SkewPolicy(share=0.9, rows=1, skip_bytes=0))
+def test_running_sums_are_those_of_a_plain_window(spark, rows):
+    sums = {"n": F.lit(1).cast("bigint"), "s": F.col("v").cast("decimal(18,0)")}
+    before = Window.partitionBy(*KEYS).orderBy(*order()).rowsBetween(Window.unboundedPreceding, -1)
+    want = rows.withColumns({k: F.coalesce(F.sum(c).over(before), F.lit(0)) for k, c in sums.items()})
+    got = skew.with_running_before(rows, KEYS, order(), sums, F.col("t"))
+    same_rows(got.select(want.columns), want)
 
 
-@pytest.mark.parametrize("step", [1, -1])
-def test_split_neighbours_are_the_plain_neighbours(spark, rows, split_everything, step):
-    assert skew.find_large_keys(rows, KEYS, split_everything)
-    args = (rows, KEYS, order(), "n", F.struct("id", "v"), step)
-    plain = skew.with_neighbour(*args, found=NOTHING)
-    split = skew.with_neighbour(*args, policy=split_everything)
-    same_rows(split, plain)
-    args = (rows, KEYS, order(), "n", F.col("v"), step)
-    same_rows(
-        skew.with_neighbour(*args, policy=split_everything),
-        skew.with_neighbour(*args, found=NOTHING),
-    )
-
-
-def test_split_pieces_are_small(spark, rows, split_everything):
-    found = skew.find_large_keys(rows, KEYS, split_everything)
-    small, large = skew._ranges(rows, KEYS, order(), found, split_everything)
-    assert small.count() + large.count() == rows.count()
-    biggest = large.groupBy(*KEYS, skew.CHUNK).count().agg(F.max("count")).first()[0]
-    hot = rows.where("a = 'hot'").count()
-    assert biggest < hot / 5
-
-
-def test_split_running_sums_are_the_plain_sums(spark, rows, split_everything):
-    sums = {"n": F.lit(1).cast("bigint"), "s": F.col("v").cast("decimal(18,0)")}
-    split = skew.with_running_before(rows, KEYS, order(), sums, split_everything)
-    plain = skew.with_running_before(rows, KEYS, order(), sums)
-    assert "_chunk" not in split.columns
-    same_rows(split, plain)
+def test_a_window_holds_one_stretch_of_a_key(spark, rows):
+    plan = skew.with_neighbour(rows, KEYS, order(), "n", F.col("v"), 1, F.col("t"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(a" in text and "_stretch" in text.split("hashpartitioning(a")[1][:80]
+    stretches = skew._cut(rows.where("a = 'hot'"), F.col("t")).groupBy("_stretch").count()
+    assert stretches.agg(F.max("count")).first()[0] < rows.where("a = 'hot'").count() / 5
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_split_joins_are_the_plain_joins(spark, rows, split_everything, how):
-    lookup = (
-        rows.where("a is not null and a not like '%7'").select("a").distinct()
-        .withColumn("w", F.length("a"))
-    )
-    facts = rows.select("a", "id")
-    same_rows(
-        skew.join_unique(facts, lookup, "a", how, split_everything),
-        facts.join(lookup, "a", how),
-    )
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_key_filters_are_the_plain_joins(spark, rows, how):
+    lookup = rows.where("a not like '%7'").select("a").distinct().withColumn("w", F.length("a"))
+    facts = rows.select("a", "id").unionByName(spark.createDataFrame([(None, -1)], "a string, id int"))
+    got = skew.filter_by_keys(facts, lookup, "a", how, ["id"])
+    same_rows(got, facts.join(lookup, "a", how))
 
 
 def test_other_join_kinds_are_refused(spark, rows):
     with pytest.raises(ValueError):
-        skew.join_unique(rows, rows, "a", "full_outer")
-
-
-def test_null_keys_survive_outer_and_anti_joins(spark, split_everything):
-    facts = spark.createDataFrame([(None, i) for i in range(20)] + [("x", 99)], "a string, id int")
-    lookup = spark.createDataFrame([("x", 1)], "a string, w int")
-    assert skew.join_unique(facts, lookup, "a", "left", split_everything).count() == 21
-    assert skew.join_unique(facts, lookup, "a", "left_anti", split_everything).count() == 20
+        skew.filter_by_keys(rows, rows, "a", "inner", ["id"])

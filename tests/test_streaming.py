@@ -173,6 +173,33 @@ def test_a_transaction_delivered_again_counts_once(spark, topic, layout):
     assert gold(spark, layout)[("A1", 0)] == 2
 
 
+def test_a_transaction_inserted_again_with_a_later_time_counts_once(spark, topic, layout):
+    topic.send(at(1, 0))
+    catch_up(spark, topic, layout)
+    gold(spark, layout)
+    topic.send(beat(80))
+    catch_up(spark, topic, layout)
+    gold(spark, layout)
+    topic.send(at(1, 90), at(2, 91))
+    catch_up(spark, topic, layout)
+    gold(spark, layout)
+    topic.send(beat(400))
+    catch_up(spark, topic, layout)
+    got = gold(spark, layout)
+    assert got[("A1", 0)] == 1 and got[("A1", 1)] == 1
+    assert silver.read_transactions(spark, layout).where("account_id = 'A1'").count() == 2
+
+
+def test_the_insert_log_is_the_same_when_a_batch_is_replayed(spark, topic, layout):
+    topic.send(at(1, 0), at(2, 0))
+    events = transactions.clean_transactions(bronze.parse_events(topic.batch(), TRANSACTIONS))
+    silver.apply_transactions(events.where("transaction_id = 'T1'"), 0, layout)
+    for _ in range(2):
+        silver.apply_transactions(events, 1, layout)
+    log = spark.read.parquet(layout.inserts)
+    assert sorted((r.batch_id, r.transaction_id) for r in log.collect()) == [(0, "T1"), (1, "T2")]
+
+
 def test_alert_stream_equals_the_batch_form(spark, topic, layout):
     topic.send(*[at(i, i, amount=60000.0) for i in range(12)])
     topic.send(at(50, 70, amount=60000.0), beat(500))
@@ -211,7 +238,7 @@ def test_queries_run_side_by_side_and_stop_together(spark, run_dir, layout):
     quick = {"processingTime": "500 milliseconds"}
     queries = run.start_all(spark, lambda e: topics[e].stream(), layout, quick)
     try:
-        assert len(queries) == 7
+        assert len(queries) == 10
         topics["customers"].send(customer(1))
         topics["transactions"].send(*[at(i, i, amount=60000.0) for i in range(12)])
         topics["transactions"].send(beat(300))

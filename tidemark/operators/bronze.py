@@ -93,7 +93,8 @@ def unwrap_envelope(feed: DataFrame, spec: str | Entity) -> DataFrame:
 
     Accepts ``before``/``after`` as objects or as JSON strings, with or without an outer
     ``payload`` field. Deletes carry the ``before`` image. Whatever is no envelope (tombstones,
-    malformed text, messages that are flat already) passes unchanged.
+    malformed text, messages that are flat already), and envelopes whose image yields no key, pass
+    unchanged, so that what is rejected later is the message as it came.
     """
     spec = entity(spec)
     envelope = ddl(ENVELOPE)
@@ -124,5 +125,6 @@ def unwrap_envelope(feed: DataFrame, spec: str | Entity) -> DataFrame:
             F.when(F.col("_op") == "d", "true").otherwise("false").alias("__deleted"),
         )
     )
-    value = F.when(F.col("_op").isNull(), F.col("value")).otherwise(flat.cast("binary"))
+    unread = F.col("_op").isNull() | F.col(spec.key).isNull()
+    value = F.when(unread, F.col("value")).otherwise(flat.cast("binary"))
     return row.select(*[value.alias(c) if c == "value" else F.col(c) for c in feed.columns])

@@ -7,12 +7,14 @@ of one customer meet exactly.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import clean_code, clean_text, event_time, now_or
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.skew import POLICY, LargeKeys, SkewPolicy, join_unique, with_neighbour
+from tidemark.operators.skew import with_neighbour
 from tidemark.spec import SILVER_CUSTOMERS, ddl
 
 KEY = "customer_id"
@@ -61,13 +63,10 @@ def order() -> list[Column]:
     return [F.col(c) for c in POSITION]
 
 
-def with_next(
-    events: DataFrame, policy: SkewPolicy = POLICY, found: LargeKeys | None = None
-) -> DataFrame:
+def with_next(events: DataFrame) -> DataFrame:
     """Adds ``_next_ts_ms``, the time of the customer's following event."""
-    return with_neighbour(
-        events, [KEY], order(), "_next_ts_ms", F.col("_source_ts_ms"), 1, policy, found
-    )
+    time = F.col("_source_ts_ms")
+    return with_neighbour(events, [KEY], order(), "_next_ts_ms", time, 1, time)
 
 
 def as_versions(followed: DataFrame, processed_at=None) -> DataFrame:
@@ -83,51 +82,31 @@ def as_versions(followed: DataFrame, processed_at=None) -> DataFrame:
     )
 
 
-def close_intervals(events: DataFrame, processed_at=None, policy: SkewPolicy = POLICY) -> DataFrame:
+def close_intervals(events: DataFrame, processed_at=None) -> DataFrame:
     """Events to versions with ``effective_from``, ``effective_to`` and ``is_current``."""
-    return as_versions(with_next(events, policy), processed_at)
+    return as_versions(with_next(events), processed_at)
 
 
-def changes_only(events: DataFrame, policy: SkewPolicy = POLICY) -> DataFrame:
+def changes_only(events: DataFrame) -> DataFrame:
     """Drops events that repeat the attributes and liveness of the event before them."""
     image = F.struct(*ATTRIBUTES, F.col("cdc_operation").eqNullSafe("d").alias("_gone"))
-    paired = with_neighbour(events, [KEY], order(), "_before", image, -1, policy)
+    time = F.col("_source_ts_ms")
+    paired = with_neighbour(events, [KEY], order(), "_before", image, -1, time)
     return paired.where(~image.eqNullSafe(F.col("_before"))).drop("_before")
 
 
-def history(
-    bronze: DataFrame,
-    only_changes: bool = False,
-    processed_at=None,
-    policy: SkewPolicy = POLICY,
-) -> DataFrame:
+def history(bronze: DataFrame, only_changes: bool = False, processed_at=None) -> DataFrame:
     """Bronze to the whole history table in one batch."""
     events = clean_customers(bronze)
     if only_changes:
-        events = changes_only(events, policy)
-    return close_intervals(events, processed_at, policy)
+        events = changes_only(events)
+    return close_intervals(events, processed_at)
 
 
 def as_table(versions: DataFrame) -> DataFrame:
     return versions.select(*ddl(SILVER_CUSTOMERS).fieldNames())
 
 
-def latest_events(events: DataFrame) -> DataFrame:
-    """The last event of each customer, deletes included."""
-    return latest_per_key(events, KEY, POSITION, EVENT_COLUMNS)
-
-
-def as_of(events: DataFrame, instant_ms: int | None = None) -> DataFrame:
-    """Customers as they stood at an instant (epoch milliseconds), or now.
-
-    Needs no intervals: the last event up to the instant decides, which is one combined
-    aggregation behind a filter that reaches the scan.
-    """
-    if instant_ms is not None:
-        events = events.where(F.col("_source_ts_ms") <= F.lit(instant_ms))
-    return latest_events(events).where(~F.col("cdc_operation").eqNullSafe("d"))
-
-
 def valid_at(versions: DataFrame, instant: Column) -> DataFrame:
     """The same question asked of a stored history table: a filter on its intervals."""
     return versions.where(
@@ -136,16 +115,32 @@ def valid_at(versions: DataFrame, instant: Column) -> DataFrame:
     )
 
 
-def late_keys(
-    events: DataFrame,
-    last_events: DataFrame,
-    policy: SkewPolicy = POLICY,
-    found: LargeKeys | None = None,
-) -> DataFrame:
+def late_keys(events: DataFrame, last_events: DataFrame) -> DataFrame:
     """Customers with an event that precedes what is already their last one.
 
-    ``last_events`` has one row per customer.
+    ``last_events`` has one row per customer, and events are reduced to their first position per
+    customer, so the join is between unique keys.
     """
+    first = events.groupBy(KEY).agg(F.min(F.struct(*POSITION)).alias("_first"))
     last = last_events.select(KEY, F.struct(*POSITION).alias("_last"))
-    placed = join_unique(events.select(KEY, *POSITION), last, KEY, "inner", policy, found)
-    return placed.where(F.struct(*POSITION) < F.col("_last")).select(KEY).distinct()
+    return first.join(last, KEY).where(F.col("_first") < F.col("_last")).select(KEY)
+
+
+def latest_events(events: DataFrame, columns: Sequence[str] = EVENT_COLUMNS) -> DataFrame:
+    """The last event of each customer, deletes included. ``columns`` limits what is read."""
+    return latest_per_key(events, KEY, POSITION, columns)
+
+
+def as_of(
+    events: DataFrame, instant_ms: int | None = None, columns: Sequence[str] = EVENT_COLUMNS
+) -> DataFrame:
+    """Customers as they stood at an instant (epoch milliseconds), or now.
+
+    Needs no intervals: the last event up to the instant decides, which is one combined
+    aggregation behind a filter that reaches the scan. ``columns`` limits what is read.
+    """
+    if instant_ms is not None:
+        events = events.where(F.col("_source_ts_ms") <= F.lit(instant_ms))
+    read = list(dict.fromkeys([*columns, "cdc_operation"]))
+    alive = latest_events(events, read).where(~F.col("cdc_operation").eqNullSafe("d"))
+    return alive.select(*columns)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import now_or
-from tidemark.operators.skew import POLICY, SkewPolicy, join_unique
+from tidemark.operators.skew import filter_by_keys
 
 # --- Fixed values: domains, ranges, keys and defaults of the source tables --------------------
 
@@ -114,20 +114,16 @@ def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFr
     return used.join(parent.select(F.col(pk).alias("key_value")), "key_value", "left_anti")
 
 
-def cascade_accounts(
-    deleted_customers: DataFrame, accounts: DataFrame, policy: SkewPolicy = POLICY
-) -> DataFrame:
+def cascade_accounts(deleted_customers: DataFrame, accounts: DataFrame) -> DataFrame:
     """Accounts that go when their customers go. ``deleted_customers`` has unique ids."""
     gone = deleted_customers.select("customer_id")
-    return join_unique(accounts, gone, "customer_id", "left_semi", policy)
+    return filter_by_keys(accounts, gone, "customer_id", "left_semi", ["account_id"])
 
 
-def cascade_transactions(
-    deleted_accounts: DataFrame, transactions: DataFrame, policy: SkewPolicy = POLICY
-) -> DataFrame:
+def cascade_transactions(deleted_accounts: DataFrame, transactions: DataFrame) -> DataFrame:
     """Transactions that go when their accounts go. ``deleted_accounts`` has unique ids."""
     gone = deleted_accounts.select("account_id")
-    return join_unique(transactions, gone, "account_id", "left_semi", policy)
+    return filter_by_keys(transactions, gone, "account_id", "left_semi", ["transaction_id"])
 
 
 def fill_defaults(rows: DataFrame, entity: str, written_at=None) -> DataFrame:

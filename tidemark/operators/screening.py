@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import WINDOW, account_windows, score
-from tidemark.operators.skew import POLICY, SkewPolicy, with_neighbour, with_running_before
+from tidemark.operators.skew import with_neighbour, with_running_before
 
 # Merchant categories under suspicion.
 SUSPICIOUS_CATEGORIES = ("CRYPTO", "GAMBLING")
@@ -66,21 +66,21 @@ def cross_border(rows: DataFrame, length: str = WINDOW) -> DataFrame:
     ).where(F.col("n_international") > 0)
 
 
-def repeated_payments(
-    inserts: DataFrame, minutes: int = 10, policy: SkewPolicy = POLICY
-) -> DataFrame:
+def repeated_payments(inserts: DataFrame, minutes: int = 10) -> DataFrame:
     """Insert events that repeat account, amount and merchant of an event shortly before.
 
     Takes events, not current rows, so a delivery of the same transaction twice shows too.
+    Events that lack one of the three, or the time, repeat nothing.
     """
+    keys = ["account_id", "amount", "merchant_name"]
     paired = with_neighbour(
-        inserts.where(F.col("transaction_timestamp").isNotNull()),
-        ["account_id", "amount", "merchant_name"],
+        inserts.dropna("any", subset=[*keys, "transaction_timestamp"]),
+        keys,
         [F.col("transaction_timestamp"), F.col("_source_offset")],
         "_earlier",
         F.struct("transaction_id", "transaction_timestamp"),
         -1,
-        policy,
+        F.unix_millis("transaction_timestamp"),
     )
     apart = F.unix_micros("transaction_timestamp") - F.unix_micros(
         F.col("_earlier.transaction_timestamp")
@@ -97,12 +97,14 @@ def repeated_payments(
 
 
 def unusual_spend(
-    rows: DataFrame, deviations: float = 3.0, min_earlier: int = 5, policy: SkewPolicy = POLICY
+    rows: DataFrame, deviations: float = 3.0, min_earlier: int = 5
 ) -> DataFrame:
     """Transactions above mean + ``deviations`` standard deviations of the account's earlier ones.
 
     With n, s, q the count, sum and square sum of the earlier amounts in hundredths, the test
-    ``x > s/n + d * sqrt(q/n - (s/n)^2)`` is ``n*x - s > d * sqrt(n*q - s*s)``.
+    ``x > s/n + d * sqrt(q/n - (s/n)^2)`` is ``n*x - s > d * sqrt(n*q - s*s)``. Both sides are
+    whole numbers of up to 38 digits, and only rounded at the end. Rows for which that is too
+    few are compared in floating point.
     """
     cents = (F.col("amount") * 100).cast("decimal(18,0)")
     running = with_running_before(
@@ -114,14 +116,19 @@ def unusual_spend(
             "_s": cents,
             "_q": (cents * cents).cast("decimal(38,0)"),
         },
-        policy,
+        F.unix_millis("transaction_timestamp"),
+    )
+    n, s, q, x = (c.cast("decimal(38,0)") for c in (F.col("n_earlier"), F.col("_s"), F.col("_q"), cents))
+    dn, ds, dq, dx = (c.cast("double") for c in (n, s, q, x))
+    square = F.coalesce(
+        F.try_subtract(F.try_multiply(n, q), F.try_multiply(s, s)).cast("double"),
+        F.greatest(dn * dq - ds * ds, F.lit(0.0)),
     )
-    n, s, q = (F.col(c).cast("double") for c in ("n_earlier", "_s", "_q"))
-    spread = F.sqrt(F.greatest(n * q - s * s, F.lit(0.0)))
+    above = F.coalesce(F.try_subtract(F.try_multiply(n, x), s).cast("double"), dn * dx - ds)
     return running.where(
         (F.col("n_earlier") >= min_earlier)
-        & (n * cents.cast("double") - s > F.lit(float(deviations)) * spread)
-    ).select("transaction_id", "account_id", "amount", "n_earlier", (s / n / 100).alias("mean_earlier"))
+        & (above > F.lit(float(deviations)) * F.sqrt(square))
+    ).select("transaction_id", "account_id", "amount", "n_earlier", (ds / dn / 100).alias("mean_earlier"))
 
 
 def customer_activity(rows: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
@@ -178,9 +185,7 @@ def recalculated_risk(rows: DataFrame, accounts: DataFrame) -> DataFrame:
     )
 
 
-def change_audit(
-    bronze: DataFrame, key: str, columns: Sequence[str], policy: SkewPolicy = POLICY
-) -> DataFrame:
+def change_audit(bronze: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Each change event with the row before it and the names of the columns that differ."""
     image = F.struct(*columns)
     paired = with_neighbour(
@@ -190,7 +195,7 @@ def change_audit(
         "before",
         image,
         -1,
-        policy,
+        F.col("cdc_timestamp_ms"),
     )
     differing = F.array_compact(
         F.array(

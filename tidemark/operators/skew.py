@@ -1,129 +1,30 @@
 """Ordered and keyed work that stays spread out when one key owns much of the data.
 
-A window over a key puts the whole key in one task. Here the keys that are too large for that
-are found first, with a frequent-items sketch over the key hash: one column is scanned and one
-small row comes back, whatever the number of keys. Rows of those keys are cut into ranges of
-the sort order; each range is one window group, and the ranges are then joined up through one
-summary row per range. All other keys take the plain window. Both ways give the same rows.
+A window over a key puts the whole key in one task. Here every key is cut by a fixed stretch of
+time, ``STRETCH_MS`` of the order column. The window runs per (key, stretch), so a task holds what
+one key does in that time, however long its history. One summary row per (key, stretch) carries
+what the next stretch needs; the summaries are combined per key and joined back on (key, stretch).
+All data takes this one path. Keys must not be null.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import new_run_dir
+STRETCH_MS = 3_600_000
+SALTS = 16
 
-CHUNK = "_chunk"
-EDGE = "_edge"
+_STRETCH, _EDGE, _SALT = "_stretch", "_edge", "_salt"
+# Where the order column is null; sorts first, as nulls do.
+_BEFORE_ALL = -(1 << 62)
 
 
-@dataclass(frozen=True)
-class SkewPolicy:
-    """When a key counts as too large for one task, and how small its pieces should be.
-
-    A key is split when it holds more than ``share`` of the rows and more than ``rows`` rows.
-    The number of such keys is at most ``1 / share``, which bounds everything broadcast here.
-    Inputs planned below ``skip_bytes`` fit one task whole and are not inspected at all.
-    """
-
-    share: float = 1 / 2000
-    rows: int = 1_000_000
-    skip_bytes: int = 128 << 20
-
-    @property
-    def max_keys(self) -> int:
-        return math.ceil(1 / self.share)
-
-
-POLICY = SkewPolicy()
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a frame."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*keys)
-
-
-@dataclass(frozen=True)
-class LargeKeys:
-    """Hashes of the keys to split (at most ``policy.max_keys``) and the rows they hold.
-
-    A hash collision only makes a small key be split too, which changes no result.
-    """
-
-    hashes: tuple[int, ...] = ()
-    rows: int = 0
-
-    def __bool__(self) -> bool:
-        return bool(self.hashes)
-
-
-def find_large_keys(
-    df: DataFrame, keys: Sequence[str], policy: SkewPolicy = POLICY
-) -> LargeKeys:
-    if planned_bytes(df) < policy.skip_bytes:
-        return LargeKeys()
-    # The sketch's error is below rows * 3.5 / tracked, a small part of the share asked for.
-    tracked = min(1_000_000, max(1024, 32 * policy.max_keys))
-    found = (
-        df.select(key_hash(keys).alias("h"))
-        .agg(
-            F.expr(f"approx_top_k(h, {policy.max_keys}, {tracked})").alias("top"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .first()
-    )
-    limit = max(policy.rows, found.n * policy.share)
-    large = [item for item in (found.top or []) if item["count"] > limit]
-    return LargeKeys(
-        tuple(item["item"] for item in large), sum(item["count"] for item in large)
-    )
-
-
-def _ranges(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    found: LargeKeys,
-    policy: SkewPolicy,
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary keys, and rows of large keys cut into ranges numbered in ``CHUNK``.
-
-    The range numbers must not move when a lost executor makes Spark run a stage again, so the
-    large rows are written to the shared folder.
-    """
-    is_large = key_hash(keys).isin(*found.hashes)
-    pieces = max(2, math.ceil(found.rows / policy.rows))
-    spark, path = df.sparkSession, new_run_dir(df.sparkSession, "ranges")
-    (
-        df.where(is_large)
-        .repartitionByRange(pieces, *keys, *order)
-        .withColumn(CHUNK, F.spark_partition_id())
-        .write.parquet(path)
-    )
-    schema = df.withColumn(CHUNK, F.lit(0)).schema
-    large = spark.read.schema(schema).parquet(path)
-    return df.where(~is_large).withColumn(CHUNK, F.lit(-1)), large
-
-
-def _attach(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Joins the one summary row per (key, range). There are at most as many of them as ranges
-    plus large keys, so broadcasting them is bounded by the policy."""
-    renamed = summary.select(
-        *[F.col(k).alias(f"_s_{k}") for k in keys], F.col(CHUNK).alias("_s_chunk"), EDGE
-    )
-    same = F.col(CHUNK) == F.col("_s_chunk")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-    return df.join(F.broadcast(renamed), same, "left").drop(*[f"_s_{k}" for k in keys], "_s_chunk")
+def _cut(df: DataFrame, millis: Column) -> DataFrame:
+    stretch = F.floor(millis / F.lit(STRETCH_MS)).cast("bigint")
+    return df.withColumn(_STRETCH, F.coalesce(stretch, F.lit(_BEFORE_ALL)))
 
 
 def with_neighbour(
@@ -133,32 +34,32 @@ def with_neighbour(
     name: str,
     value: Column,
     step: int,
-    policy: SkewPolicy = POLICY,
-    found: LargeKeys | None = None,
+    millis: Column,
 ) -> DataFrame:
     """Adds ``value`` of the following (``step=1``) or preceding (``step=-1``) row of the key.
 
-    ``found`` spares the search for large keys where it has been made already.
+    ``millis`` is the first order column in milliseconds.
     """
-    shift = F.lead if step > 0 else F.lag
-    if found is None:
-        found = find_large_keys(df, keys, policy)
-    if not found:
-        return df.withColumn(name, shift(value).over(Window.partitionBy(*keys).orderBy(*order)))
-
-    small, large = _ranges(df, keys, order, found, policy)
-    at_edge = F.min_by if step > 0 else F.max_by
+    shift, at_edge = (F.lead, F.min_by) if step > 0 else (F.lag, F.max_by)
+    rows = _cut(df, millis)
+    # Wrapped in a struct, "no neighbour in this stretch" and "neighbour is null" stay apart.
+    boxed = F.struct(value.alias("v"))
     edges = (
-        large.groupBy(*keys, CHUNK)
-        .agg(at_edge(F.struct(value.alias("v")), F.struct(*order)).alias("_first"))
-        .withColumn(EDGE, shift("_first").over(Window.partitionBy(*keys).orderBy(CHUNK)))
+        rows.groupBy(*keys, _STRETCH)
+        .agg(at_edge(boxed, F.struct(*order)).alias("_row"))
+        .select(
+            *keys,
+            _STRETCH,
+            shift("_row").over(Window.partitionBy(*keys).orderBy(_STRETCH)).alias(_EDGE),
+        )
     )
-    # Wrapped in a struct, "no neighbour in this range" and "neighbour is null" stay apart.
-    inner = shift(F.struct(value.alias("v"))).over(
-        Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    inner = shift(boxed).over(Window.partitionBy(*keys, _STRETCH).orderBy(*order))
+    return (
+        rows.withColumn("_inner", inner)
+        .join(edges, [*keys, _STRETCH])
+        .withColumn(name, F.coalesce("_inner", _EDGE)["v"])
+        .drop("_inner", _EDGE, _STRETCH)
     )
-    joined = _attach(small.unionByName(large).withColumn("_inner", inner), edges, keys)
-    return joined.withColumn(name, F.coalesce("_inner", EDGE)["v"]).drop("_inner", EDGE, CHUNK)
 
 
 def with_running_before(
@@ -166,70 +67,51 @@ def with_running_before(
     keys: Sequence[str],
     order: Sequence[Column],
     sums: dict[str, Column],
-    policy: SkewPolicy = POLICY,
+    millis: Column,
 ) -> DataFrame:
     """Adds, per name, the sum of a column over the key's earlier rows (0 where none).
 
-    ``order`` must be total within a key. Use integer or decimal columns: their sums do not
-    depend on how the rows were cut.
+    ``order`` must be total within a key, and ``millis`` its first column in milliseconds. Use
+    integer or decimal columns: their sums do not depend on how the rows were cut.
     """
 
     def before(window):
         return window.rowsBetween(Window.unboundedPreceding, -1)
 
-    found = find_large_keys(df, keys, policy)
-    if not found:
-        window = before(Window.partitionBy(*keys).orderBy(*order))
-        return df.withColumns(
-            {n: F.coalesce(F.sum(c).over(window), F.lit(0)) for n, c in sums.items()}
+    rows = _cut(df, millis)
+    earlier = before(Window.partitionBy(*keys).orderBy(_STRETCH))
+    edges = (
+        rows.groupBy(*keys, _STRETCH)
+        .agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+        .select(
+            *keys, _STRETCH, F.struct(*[F.sum(n).over(earlier).alias(n) for n in sums]).alias(_EDGE)
         )
-
-    small, large = _ranges(df, keys, order, found, policy)
-    totals = large.groupBy(*keys, CHUNK).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    earlier = before(Window.partitionBy(*keys).orderBy(CHUNK))
-    edges = totals.withColumn(EDGE, F.struct(*[F.sum(n).over(earlier).alias(n) for n in sums]))
-    within = before(Window.partitionBy(*keys, CHUNK).orderBy(*order))
-    inner = (
-        small.unionByName(large)
-        .withColumns({f"_in_{n}": F.sum(c).over(within) for n, c in sums.items()})
     )
+    within = before(Window.partitionBy(*keys, _STRETCH).orderBy(*order))
     return (
-        _attach(inner, edges, keys)
+        rows.withColumns({f"_in_{n}": F.sum(c).over(within) for n, c in sums.items()})
+        .join(edges, [*keys, _STRETCH])
         .withColumns(
             {
                 n: F.coalesce(F.col(f"_in_{n}"), F.lit(0))
-                + F.coalesce(F.col(f"{EDGE}.{n}"), F.lit(0))
+                + F.coalesce(F.col(f"{_EDGE}.{n}"), F.lit(0))
                 for n in sums
             }
         )
-        .drop(EDGE, CHUNK, *[f"_in_{n}" for n in sums])
+        .drop(_EDGE, _STRETCH, *[f"_in_{n}" for n in sums])
     )
 
 
-def join_unique(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: str,
-    how: str = "inner",
-    policy: SkewPolicy = POLICY,
-    found: LargeKeys | None = None,
+def filter_by_keys(
+    facts: DataFrame, lookup: DataFrame, on: str, how: str, row: Sequence[str]
 ) -> DataFrame:
-    """Joins rows to a relation with at most one row per ``on``, whatever the spread of ``on``.
+    """Semi or anti join on a key that many rows may share.
 
-    Rows of large keys meet their few lookup rows (at most ``policy.max_keys``) by broadcast and
-    never move; all others take the join Spark chooses. ``how``: inner, left, left_semi,
-    left_anti.
+    Rows spread over ``SALTS`` parts by their own id, the columns ``row``; every lookup key stands
+    once in each part, so a key's rows meet it in that many tasks.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
+    if how not in ("left_semi", "left_anti"):
         raise ValueError(f"unsupported join kind: {how!r}")
-    if found is None:
-        found = find_large_keys(facts, [on], policy)
-    if not found:
-        return facts.join(lookup, on, how)
-    large = key_hash([on]).isin(*found.hashes)
-    few = lookup.where(large)
-    return (
-        facts.where(large)
-        .join(F.broadcast(few), on, how)
-        .unionByName(facts.where(~large).join(lookup.where(~large), on, how))
-    )
+    salted = facts.withColumn(_SALT, F.pmod(F.xxhash64(*row), F.lit(SALTS)).cast("int"))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(_SALT)
+    return salted.join(lookup.select(on, parts), [on, _SALT], how).drop(_SALT)

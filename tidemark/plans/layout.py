@@ -23,6 +23,11 @@ class Layout:
         """Upsert state of the transactions, in batches."""
         return self._at("silver", "transactions")
 
+    @property
+    def inserts(self) -> str:
+        """Each transaction as first inserted, in batches, by bucket of its id."""
+        return self._at("silver", "transaction_inserts")
+
     @property
     def customers(self) -> str:
         """Customer events with the time of the following one, in batches. In each batch

@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import customers, transactions
-from tidemark.operators.skew import POLICY, SkewPolicy, find_large_keys
+from tidemark.operators.skew import filter_by_keys
 from tidemark.plans.layout import Layout
 from tidemark.sources import tables
 from tidemark.spec import CUSTOMERS, INSERT_OPS, SILVER_TRANSACTIONS, ddl
 
 
+INSERT_BUCKETS = 32
+_BUCKET = "bucket"
+
+
 def transaction_state_schema() -> T.StructType:
     types = {f.name: f.dataType for f in ddl(SILVER_TRANSACTIONS).fields}
     image = T.StructType(
@@ -46,16 +51,47 @@ def followed_event_schema() -> T.StructType:
     )
 
 
+def insert_schema() -> T.StructType:
+    image = transaction_state_schema()[transactions.FIRST].dataType
+    return T.StructType([T.StructField(transactions.KEY, T.StringType()), *image.fields])
+
+
 # --- transactions ------------------------------------------------------------------------------
 
 
 def apply_transactions(
     events: DataFrame, batch_id: int, layout: Layout, insert_ops: Sequence[str] = INSERT_OPS
 ) -> bool:
-    """Adds cleaned events to the table as one batch of state rows. Reads nothing back: the
-    state of a key is a minimum and a maximum, which readers combine."""
-    state = transactions.collapse(events, insert_ops=insert_ops)
-    return tables.write_batch(state, layout.transactions, batch_id)
+    """Adds cleaned events to the table as one batch of state rows, and to the insert log the
+    transactions that were not in it. The state of a key is a minimum and a maximum, which readers
+    combine, so of the table nothing is read back; of the log, only the ids in the buckets that
+    the batch touches. Each of the two is written unless it is there already.
+    """
+    state = transactions.collapse(events, insert_ops=insert_ops).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    try:
+        new = _not_yet_inserted(state, batch_id, layout)
+        tables.write_batch(new, layout.inserts, batch_id, _BUCKET)
+        return tables.write_batch(state, layout.transactions, batch_id)
+    finally:
+        state.unpersist()
+
+
+def _not_yet_inserted(state: DataFrame, batch_id: int, layout: Layout) -> DataFrame:
+    key = transactions.KEY
+    bucket = F.pmod(F.xxhash64(key), F.lit(INSERT_BUCKETS)).cast("int")
+    inserts = transactions.first_inserts(state).withColumn(_BUCKET, bucket)
+    spark = state.sparkSession
+    numbers = [n for n in tables.committed_batches(spark, layout.inserts) if n < batch_id]
+    ids = T.StructType([T.StructField(key, T.StringType())])
+    known = _folders(spark, layout.inserts, ids, numbers, T.StructField(_BUCKET, T.IntegerType()))
+    if known is None:
+        return inserts
+    # At most INSERT_BUCKETS numbers; the filter keeps other folders from being read.
+    touched = [r[0] for r in inserts.select(_BUCKET).distinct().collect()]
+    known = known.where(F.col(_BUCKET).isin(touched)).select(_BUCKET, key)
+    return inserts.join(known, [_BUCKET, key], "left_anti")
 
 
 def transaction_state(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -142,9 +178,7 @@ def customer_closed_events(
     return closed.select(*schema.fieldNames())
 
 
-def apply_customers(
-    events: DataFrame, batch_id: int, layout: Layout, policy: SkewPolicy = POLICY
-) -> bool:
+def apply_customers(events: DataFrame, batch_id: int, layout: Layout) -> bool:
     """Adds cleaned events to the history as one batch, in one write.
 
     Closed events are appended and not touched again. Only where an event comes after a later
@@ -152,30 +186,33 @@ def apply_customers(
     replaced, so the history does not depend on how the feed was cut. A replay starts from the
     same rows as the first attempt.
 
-    The batch is not cached: it is a scan of Bronze files, cheaper to repeat than to keep.
+    The batch and the customers' last events are used several times, and kept for as long.
     """
     spark = events.sparkSession
     if tables.is_committed(spark, layout.customers, batch_id):
         return False
     key, columns = customers.KEY, customers.EVENT_COLUMNS
-    events = events.select(*columns)
-    found = find_large_keys(events, [key], policy)
+    events = events.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
     known = customer_last_events(spark, layout, before=batch_id)
     known = known.join(events.select(key).distinct(), key, "left_semi")
-    timeline = known.select(*columns).unionByName(events)
-
-    late = customers.late_keys(events, known, policy, found)
-    if not late.isEmpty():
-        path = f"{layout.customer_reopened}/batch_id={batch_id}"
-        late.write.mode("overwrite").parquet(path)
-        closed = customer_closed_events(spark, layout, before=batch_id)
-        late = spark.read.schema(late.schema).parquet(path)
-        timeline = timeline.unionByName(closed.join(late, key, "left_semi").select(*columns))
-        found = None
-    followed = customers.with_next(timeline, policy, found).withColumn(
-        "is_last", F.col("_next_ts_ms").isNull()
-    )
-    return tables.write_batch(followed, layout.customers, batch_id, "is_last")
+    known = known.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        timeline = known.unionByName(events)
+        late = customers.late_keys(events, known)
+        if not late.isEmpty():
+            path = f"{layout.customer_reopened}/batch_id={batch_id}"
+            late.write.mode("overwrite").parquet(path)
+            closed = customer_closed_events(spark, layout, before=batch_id)
+            late = spark.read.schema(late.schema).parquet(path)
+            again = filter_by_keys(closed, late, key, "left_semi", customers.POSITION)
+            timeline = timeline.unionByName(again.select(*columns))
+        followed = customers.with_next(timeline).withColumn(
+            "is_last", F.col("_next_ts_ms").isNull()
+        )
+        return tables.write_batch(followed, layout.customers, batch_id, "is_last")
+    finally:
+        known.unpersist()
+        events.unpersist()
 
 
 def read_customers(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -91,8 +91,8 @@ def _rejected(rows: DataFrame) -> DataFrame:
 
 
 def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = Workspace.of(spark, sf_dir).feed("transactions")
-    return _rejected(bronze.rejected_messages(messages, TRANSACTIONS))
+    space = Workspace.of(spark, sf_dir)
+    return _union(_rejected(bronze.rejected_messages(space.feed(e), e)) for e in ENTITIES)
 
 
 def bronze_op_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,7 +346,8 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def rows(name: str, column: str) -> DataFrame:
         if column == "email":
-            return customers.as_of(customers.clean_customers(space.bronze(name)))
+            rows = customers.clean_customers(space.bronze(name))
+            return customers.as_of(rows, columns=(customers.KEY, column))
         return space.bronze(name).where(F.col("cdc_operation").isin("c", "r"))
 
     return _union(
@@ -360,7 +361,7 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _current_keys(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "customers":
-        return customers.as_of(_customer_events(spark, sf_dir))
+        return customers.as_of(_customer_events(spark, sf_dir), columns=(customers.KEY,))
     if name == "accounts":
         return accounts.current_accounts(Workspace.of(spark, sf_dir).bronze("accounts"))
     return _current(spark, sf_dir, "account_id")
@@ -382,7 +383,9 @@ def dq_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts and transactions that go with the deleted customers."""
-    last = customers.latest_events(_customer_events(spark, sf_dir))
+    last = customers.latest_events(
+        _customer_events(spark, sf_dir), (customers.KEY, "cdc_operation")
+    )
     gone = last.where(F.col("cdc_operation") == "d")
     lost_accounts = quality.cascade_accounts(gone, _current_keys(spark, sf_dir, "accounts"))
     lost = quality.cascade_transactions(
@@ -448,7 +451,8 @@ def stream_bronze_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rejected(Workspace.of(spark, sf_dir).stream_quarantine("transactions"))
+    space = Workspace.of(spark, sf_dir)
+    return _union(_rejected(space.stream_quarantine(e)) for e in ENTITIES)
 
 
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -520,7 +524,10 @@ def ext_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = screening.customer_activity(
         rows,
         _current_keys(spark, sf_dir, "accounts"),
-        customers.as_of(_customer_events(spark, sf_dir)),
+        customers.as_of(
+            _customer_events(spark, sf_dir),
+            columns=(customers.KEY, "customer_segment", "kyc_status"),
+        ),
     )
     return out.select(
         "customer_id",

@@ -128,17 +128,10 @@ class Workspace:
         )
 
     def stream_quarantine(self, name: str) -> DataFrame:
-        self._once(
-            f"rejected-{name}",
-            lambda: run.await_all(
-                [
-                    jobs.start_quarantine(
-                        self.feed_stream(name), name, self.streamed, jobs.CATCH_UP
-                    )
-                ]
-            ),
-        )
-        return self.spark.read.parquet(self.streamed.quarantine(name))
+        """What the Bronze run of an entity has put aside."""
+        self.stream_bronze(name)
+        schema = bronze.rejected_messages(self.feed(name), name).schema
+        return self.spark.read.schema(schema).parquet(self.streamed.quarantine(name))
 
     def stream_transactions(self) -> DataFrame:
         self.stream_bronze("transactions")

@@ -27,9 +27,7 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     source = parser.add_mutually_exclusive_group()
     source.add_argument("--servers", help="Kafka bootstrap servers")
     source.add_argument("--topics", help="folder with one folder of message files per entity")
-    parser.add_argument(
-        "--max-offsets", type=int, default=feed.MAX_OFFSETS_PER_TRIGGER, help="per Kafka trigger"
-    )
+    parser.add_argument("--max-offsets", type=int, help="per Kafka trigger; no limit if left out")
     parser.add_argument("--max-files", type=int, help="per file trigger")
     parser.add_argument("--catch-up", action="store_true", help="read what is there, then stop")
     options = parser.parse_args(argv)
@@ -48,8 +46,9 @@ def start(spark: SparkSession, options: argparse.Namespace) -> list[StreamingQue
     layout = Layout(options.root)
     if options.job == "bronze":
         return [
-            jobs.start_bronze(message_stream(spark, options, name), name, layout)
+            start_one(message_stream(spark, options, name), name, layout)
             for name in ENTITIES
+            for start_one in (jobs.start_bronze, jobs.start_quarantine)
         ]
     if options.job == "silver-transactions":
         return [jobs.start_silver_transactions(spark, layout)]

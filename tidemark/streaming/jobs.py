@@ -11,11 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.risk import RULES, RiskRules
 from tidemark.operators import bronze, customers, metrics, transactions
-from tidemark.operators.skew import POLICY, SkewPolicy
 from tidemark.plans import silver
 from tidemark.plans.layout import Layout
 from tidemark.sources import tables
@@ -105,10 +105,7 @@ def start_silver_transactions(
 
 
 def start_silver_customers(
-    spark: SparkSession,
-    layout: Layout,
-    trigger: dict = SILVER_TRIGGER,
-    policy: SkewPolicy = POLICY,
+    spark: SparkSession, layout: Layout, trigger: dict = SILVER_TRIGGER
 ) -> StreamingQuery:
     events = customers.clean_customers(
         stream_bronze_table(spark, "customers", layout)
@@ -116,7 +113,7 @@ def start_silver_customers(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            silver.apply_customers(batch, batch_id, layout, policy)
+            silver.apply_customers(batch, batch_id, layout)
 
     return (
         events.writeStream.queryName(_name("silver-customers", layout))
@@ -129,18 +126,14 @@ def start_silver_customers(
 
 
 def insert_log(spark: SparkSession, layout: Layout) -> DataFrame:
-    """First inserts as a stream, each transaction once.
-
-    The stored batches hold a re-delivered insert again. It carries the same event time, so it
-    either meets the first one within the watermark and is dropped as a duplicate, or comes
-    after it and is dropped as late. State is bounded by the watermark, not by the table.
-    """
-    schema = tables.folders_last(silver.transaction_state_schema(), "batch_id")
-    state = spark.readStream.schema(schema).option("ignoreMissingFiles", "true")
+    """First inserts as a stream, each transaction once: what the upsert found not yet inserted."""
+    folders = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", T.LongType())])
+    schema = T.StructType([*silver.insert_schema().fields, *folders.fields])
+    log = spark.readStream.schema(schema).option("ignoreMissingFiles", "true")
     return (
-        transactions.first_inserts(state.parquet(layout.transactions))
+        log.parquet(layout.inserts)
+        .drop(*folders.fieldNames())
         .withWatermark("transaction_timestamp", metrics.LATENESS)
-        .dropDuplicatesWithinWatermark([transactions.KEY])
     )
 
 
@@ -148,7 +141,7 @@ def start_metrics(
     spark: SparkSession, layout: Layout, trigger: dict = GOLD_TRIGGER
 ) -> StreamingQuery:
     """Closed account windows, appended once the watermark has passed them."""
-    tables.ensure_folder(spark, layout.transactions)
+    tables.ensure_folder(spark, layout.inserts)
     tables.create_if_missing(spark, layout.metrics, ddl(GOLD_METRICS))
     rows = metrics.metrics_table(metrics.account_windows(insert_log(spark, layout)))
     return _sink(rows, "gold-metrics", layout.metrics, layout, trigger).start()

@@ -41,7 +41,14 @@ def await_all(queries: list[StreamingQuery]) -> None:
 
 
 def catch_up_bronze(feed: Feed, layout: Layout, entities: Iterable[str]) -> None:
-    await_all([jobs.start_bronze(feed(e), e, layout, jobs.CATCH_UP) for e in entities])
+    """Every message to Bronze or, if it has no key, to the rejected messages."""
+    await_all(
+        [
+            start(feed(e), e, layout, jobs.CATCH_UP)
+            for e in entities
+            for start in (jobs.start_bronze, jobs.start_quarantine)
+        ]
+    )
 
 
 def catch_up_silver(spark: SparkSession, layout: Layout) -> None:
@@ -77,8 +84,9 @@ def start_all(
     chosen = {"trigger": trigger} if trigger else {}
     return [
         *[
-            jobs.start_bronze(feed(e), e, layout, **chosen)
+            start(feed(e), e, layout, **chosen)
             for e in ("transactions", "customers", "accounts")
+            for start in (jobs.start_bronze, jobs.start_quarantine)
         ],
         jobs.start_silver_transactions(spark, layout, **chosen),
         jobs.start_silver_customers(spark, layout, **chosen),
