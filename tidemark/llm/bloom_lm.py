@@ -10,10 +10,12 @@ Training, over all training texts:
   the level back. Each shard has a filter segment of its own, sized by its entries. Pairs
   seen once are left out of the filter: a fixed rule of the model.
 
-Scoring: the filter and the exact counts of the ``FREQUENT`` most frequent words are broadcast
-(the second has a fixed size; the first is checked against ``FILTER_BYTES``, and a larger pair
-filter goes out in groups of segments of at most that size, one pass over the texts each). Counts
-of all other words, for the exact base score, are joined by word.
+Scoring: the filter and the exact counts of the ``FREQUENT`` most frequent words are broadcast.
+The second has a fixed size. The first is measured: segments go out in groups of at most
+``FILTER_BYTES``, one after the other, with a pass over the texts for each. Passes over the word
+filter, if it takes more than one, note the level of each token beside its text; passes over the
+pair filter add up. So the scores are the same however many groups there are. Counts of all other
+words, for the exact base score, are joined by word.
 
 The model: p(w | h) = k(h) min(1, c(h w) / c(h)) + (1 - k(h)) p(w), with p(w) the add-one estimate
 and k(h) one weight per level of c(h), fitted on a bounded sample of training texts, each scored
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +44,7 @@ from tidemark.llm.common import id_remainder, map_batches, slices, stored
 
 SLICE_BYTES = 2 << 20
 FREQUENT = 1 << 16
-FILTER_BYTES = 256 << 20
+FILTER_BYTES = 128 << 20
 ENTRIES_PER_SHARD = 1_500_000
 BITS_PER_ENTRY = 10
 PROBES = 4
@@ -231,21 +234,16 @@ def _word_segments(shards: int):
 class LogFrequencyFilter:
     """Segments of a filter, some of ``shards``; answers with levels."""
 
-    def __init__(self, shards: int, segments: dict[int, bytes]):
+    def __init__(self, shards: int, segments: dict[int, bytes | memoryview]):
         self.shards = shards
+        own = np.array(list(segments), np.int64)
+        sizes = np.array([len(data) for data in segments.values()], np.int64)
         self.present = np.zeros(shards, bool)
-        self.size = np.full(shards, 64, np.int64)
-        begin, parts = np.zeros(shards, np.int64), []
-        for shard, data in segments.items():
-            self.present[shard] = True
-            self.size[shard] = 8 * len(data)
-            begin[shard] = sum(len(p) for p in parts) if len(parts) < 2 else begin[shard]
-            parts.append(data)
-        ends = np.cumsum([0] + [len(p) for p in parts])
-        for place, shard in zip(ends, segments, strict=False):
-            begin[shard] = place
-        self.begin = begin * 8
-        self.bits = np.frombuffer(b"".join(parts), np.uint8)
+        self.present[own] = True
+        self.size, self.begin = np.full(shards, 64, np.int64), np.zeros(shards, np.int64)
+        self.size[own] = 8 * sizes
+        self.begin[own] = 8 * (np.cumsum(sizes) - sizes)
+        self.bits = np.frombuffer(b"".join(segments.values()), np.uint8)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The level of every n-gram by asking for one after another; 0 where it is absent."""
@@ -292,22 +290,28 @@ def _groups(table: DataFrame, limit: int) -> list[list[int]]:
 
 def _load(table: DataFrame, shards: int, wanted: list[int]) -> LogFrequencyFilter:
     rows = table.where(F.col("shard").isin(wanted)).select("shard", "bits").toArrow()
-    return LogFrequencyFilter(
-        shards,
-        dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True)),
-    )
+    bits = (memoryview(x.as_buffer()) for x in rows.column(1))
+    return LogFrequencyFilter(shards, dict(zip(rows.column(0).to_pylist(), bits, strict=True)))
 
 
 class _Model:
-    """What scoring needs of the counts; every method works on arrays of tokens."""
+    """What scoring needs of the counts; every method works on arrays of tokens.
+
+    ``words`` is None where the levels of the tokens stand beside the texts.
+    """
+
+    def __init__(self, words: LogFrequencyFilter | None, end: int, total: int, distinct: int):
+        self.words, self.end, self.total, self.distinct = words, end, total, distinct
 
-    def __init__(self, words: LogFrequencyFilter, total: int, distinct: int):
-        self.words, self.total, self.distinct = words, total, distinct
+    def word_levels(self, part: pa.RecordBatch, tokens: W.Words) -> np.ndarray:
+        if self.words is not None:
+            return self.words.levels(tokens.hashes)
+        noted = b"".join(x.as_buffer() for x in part.column("levels"))
+        return np.frombuffer(noted, np.uint8).astype(np.int64)
 
-    def single(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probability of each token alone, and the level of its count."""
-        level = self.words.levels(tokens)
-        return (LEVELS[level] + 1) / (self.total + self.distinct + 1), level
+    def alone(self, level: np.ndarray, own=0) -> np.ndarray:
+        """Probability of each token by itself."""
+        return (np.maximum(LEVELS[level] - own, 0) + 1) / (self.total + self.distinct + 1)
 
     @staticmethod
     def ratio(pair_level: np.ndarray, history_level: np.ndarray, own=0, own_history=0):
@@ -315,14 +319,46 @@ class _Model:
         above = LEVELS[history_level + 1] - 1 - own_history
         return np.minimum(1, np.maximum(LEVELS[pair_level] - own, 0) / np.maximum(above, 1))
 
+    def history_levels(self, level: np.ndarray, tokens: W.Words) -> np.ndarray:
+        before = np.empty_like(level)
+        before[1:] = level[:-1]
+        before[tokens.first[:-1]] = self.end
+        return before
+
+
+def _note_levels(words_):
+    """Adds to ``levels``, one byte a token, what this group of the word filter knows."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = words_.value
+        for part in slices(batches, SLICE_BYTES, "text"):
+            tokens = tokens_of(part.column("text"))
+            level = words.levels(tokens.hashes).astype(np.uint8)
+            noted = b"".join(x.as_buffer() for x in part.column("levels"))
+            if noted:
+                level = np.maximum(level, np.frombuffer(noted, np.uint8))
+            rows = [level[a:b].tobytes() for a, b in zip(tokens.first[:-1], tokens.first[1:], strict=True)]
+            place = part.schema.get_field_index("levels")
+            yield part.set_column(place, "levels", pa.array(rows, pa.binary()))
+
+    return work
+
 
-def _parts(tokens: W.Words, model: _Model, pair_filter: LogFrequencyFilter):
-    alone, own = model.single(tokens.hashes)
-    before = np.empty_like(own)
-    before[1:] = own[:-1]
-    end = model.words.levels(np.array([END], np.uint64))[0]
-    before[tokens.first[:-1]] = end
-    return alone, before, pairs(histories(tokens), tokens.hashes)
+def _with_words(docs: DataFrame, table: DataFrame, shards: int, limit: int):
+    """The word filter, the level of the end token, and ``docs``: with a column ``levels`` in place
+    of the filter if that takes more than one group."""
+    groups, end = _groups(table, limit) or [[]], 0
+    for group in groups:
+        words = _load(table, shards, group)
+        end = max(end, int(words.levels(np.array([END], np.uint64))[0]))
+        if len(groups) == 1:
+            return words, end, docs
+        if "levels" not in docs.columns:
+            docs = docs.withColumn("levels", F.lit(b"").cast("binary"))
+        shared = docs.sparkSession.sparkContext.broadcast(words)
+        docs = stored(map_batches(docs, _note_levels(shared), docs.schema), "levels")
+        shared.destroy()
+    return None, end, docs
 
 
 def _own_counts(keys: np.ndarray, tokens: W.Words) -> np.ndarray:
@@ -332,20 +368,19 @@ def _own_counts(keys: np.ndarray, tokens: W.Words) -> np.ndarray:
     return n[where]
 
 
-def _fit_weights(train: DataFrame, model, pair_filter) -> np.ndarray:
+def _fit_weights(train: DataFrame, model: _Model, pair_filter) -> np.ndarray:
     """One weight per history level: the best of a grid on a sample of texts."""
     grid = np.array([0.0, 0.02, 0.05, 0.1, 0.2, 0.3, 0.45, 0.6, 0.75, 0.9])
-    sample = train.select("text").limit(SAMPLE).toArrow().column(0).combine_chunks()
+    sample = train.limit(SAMPLE).toArrow().combine_chunks().to_batches()
     gain = np.zeros((len(LEVELS), len(grid)))
-    for start in range(0, len(sample), 50):
-        tokens = tokens_of(sample.slice(start, 50))
-        _, level = model.single(tokens.hashes)
-        _, before, keys = _parts(tokens, model, pair_filter)
-        own = _own_counts(tokens.hashes, tokens)
-        alone = (np.maximum(LEVELS[level] - own, 0) + 1) / (model.total + model.distinct + 1)
+    for part in slices(sample, SLICE_BYTES, "text"):
+        tokens = tokens_of(part.column("text"))
+        level = model.word_levels(part, tokens)
+        before, past = model.history_levels(level, tokens), histories(tokens)
+        keys = pairs(past, tokens.hashes)
+        alone = model.alone(level, _own_counts(tokens.hashes, tokens))
         ratio = model.ratio(
-            pair_filter.levels(keys), before, _own_counts(keys, tokens),
-            _own_counts(histories(tokens), tokens),
+            pair_filter.levels(keys), before, _own_counts(keys, tokens), _own_counts(past, tokens)
         )
         for k, weight in enumerate(grid):
             p = weight * ratio + (1 - weight) * alone
@@ -370,8 +405,9 @@ def _scores(model_, frequent_, filter_, weights: np.ndarray, lead: bool):
         for part in slices(batches, SLICE_BYTES, "text"):
             tokens = tokens_of(part.column("text"))
             first = tokens.first[:-1]
-            alone, before, keys = _parts(tokens, model, pair_filter)
-            level = pair_filter.levels(keys)
+            own = model.word_levels(part, tokens)
+            alone, before = model.alone(own), model.history_levels(own, tokens)
+            level = pair_filter.levels(pairs(histories(tokens), tokens.hashes))
             weight = weights[before]
             unseen = np.log10(1 - weight) + np.log10(alone)
             seen = np.log10(weight * model.ratio(level, before) + (1 - weight) * alone)
@@ -457,24 +493,24 @@ def score_documents(
         _gathered(train, 2, shards, _segment_rows(LEAST_PAIR_COUNT), "shard int, bits binary"),
         "pair-filter",
     )
-    word_groups = _groups(word_bits, filter_bytes)
-    if len(word_groups) > 1:
-        raise ValueError(f"the word filter takes more than {filter_bytes} bytes; raise filter_bytes")
-    model = _Model(_load(word_bits, word_shards, sum(word_groups, [])), total, distinct)
-    groups = _groups(pair_bits, filter_bytes) or [[]]
     share = spark.sparkContext.broadcast
+    words, end, docs = _with_words(docs, word_bits, word_shards, filter_bytes)
+    model = _Model(words, end, total, distinct)
     shared_model, shared_words = share(model), share(frequent)
     weights, results = None, []
-    for number, group in enumerate(groups):
+    for number, group in enumerate(_groups(pair_bits, filter_bytes) or [[]]):
         pair_filter = _load(pair_bits, shards, group)
         if weights is None:
-            weights = _fit_weights(train, model, pair_filter)
-        work = _scores(shared_model, shared_words, share(pair_filter), weights, number == 0)
+            weights = _fit_weights(docs.where("NOT held_out"), model, pair_filter)
+        shared = share(pair_filter)
+        work = _scores(shared_model, shared_words, shared, weights, number == 0)
         results.append(stored(map_batches(docs, work, _SCORE_SCHEMA), "scores"))
+        shared.destroy()
     lead = results[0]
-    for more in results[1:]:
-        more = more.select("row", F.col("score").alias("more"))
-        lead = lead.join(more, "row").withColumn("score", F.col("score") + F.col("more")).drop("more")
+    if len(results) > 1:
+        more = reduce(DataFrame.unionByName, (r.select("row", "score") for r in results[1:]))
+        more = more.groupBy("row").agg(F.sum("score").alias("more"))
+        lead = lead.join(more, "row").withColumn("score", F.col("score") + F.col("more"))
     rare = lead.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "row", F.col("x.rare").alias("word"), F.col("x.times").alias("times")
     )
