@@ -328,6 +328,12 @@ SELECT 'transactions' AS entity, op AS cdc_operation, count(*) AS n_events FROM
 UNION ALL SELECT 'customers', op, count(*) FROM cu GROUP BY op
 UNION ALL SELECT 'accounts', op, count(*) FROM ac GROUP BY op""",
     "envelope_unwrap": f"WITH {TX} {TX_BRONZE}",
+    "envelope_mixed": f"WITH {TX} {TX_BRONZE}",
+    "envelope_quarantine": f"WITH {TX} {REJECTED}",
+    "stream_envelopes": f"WITH {TX} {TX_BRONZE}",
+    "initial_snapshot": f"""WITH {TX_CURRENT}
+SELECT transaction_id, 'r' AS op, true AS nothing_before,
+  CAST(amount AS DOUBLE) AS amount_after, status AS status_after FROM cur WHERE NOT is_deleted""",
     "snapshot_diff": f"""WITH {TX_CLEAN},
 early AS (SELECT * FROM tx_clean WHERE ts_ms <= {SNAPSHOT_MS}),
 {tx_state('old_rows', 'early')}, {tx_state('new_rows')},

@@ -1,3 +1,6 @@
+import json
+import time
+
 import pytest
 from pyspark.sql import functions as F
 from rows import MINUTE_US, T0_US, customer, messages, same_rows, transaction
@@ -267,3 +270,49 @@ def test_failure_of_one_query_stops_the_others_and_is_raised(spark, topic, layou
         run.await_any(spark, [fine, broken])
     assert not fine.isActive
     spark.streams.resetTerminated()
+
+
+def test_every_batch_is_logged(spark, topic, layout, caplog):
+    caplog.set_level("INFO", logger=run.LOG.name)
+    topic.send(transaction(1), transaction(2))
+    listener = run.log_batches(spark)
+    try:
+        catch_up(spark, topic, layout)
+        for _ in range(50):
+            if "silver-transactions" in caplog.text and "valid_rows" in caplog.text:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert "bronze-transactions" in caplog.text and "'rows': 2" in caplog.text
+    assert "silver-transactions" in caplog.text and "valid_rows" in caplog.text
+
+
+def test_tables_as_they_stood_before_a_batch(spark, topic, layout):
+    topic.send(at(1, 0))
+    catch_up(spark, topic, layout)
+    topic.send(at(2, 1))
+    catch_up(spark, topic, layout)
+    first = {r.transaction_id for r in silver.read_transactions(spark, layout, before=1).collect()}
+    assert first == {"T1"} and silver.read_transactions(spark, layout).count() == 2
+    assert silver.read_transactions(spark, layout, before=0).count() == 0
+
+
+def test_envelopes_go_to_the_tables_or_are_put_aside(spark, topic, layout):
+    row = transaction(1)
+    payload = {k: v for k, v in row.items() if not k.startswith("__")}
+    source = {"ts_ms": 5, "db": "d", "table": "t"}
+    topic.send(
+        {"op": "c", "after": payload, "source": source},
+        {"payload": {"op": "d", "before": json.dumps(payload), "source": source}},
+        {"op": "t", "source": source},
+        None,
+        "{bad",
+    )
+    run.catch_up_bronze(lambda _: topic.stream(), layout, ["transactions"], envelopes=True)
+    kept = spark.read.parquet(layout.bronze("transactions")).collect()
+    assert sorted((r.transaction_id, r.cdc_operation, r._feed_offset) for r in kept) == [
+        ("T1", "c", 0), ("T1", "d", 1)]
+    aside = spark.read.parquet(layout.quarantine("transactions")).collect()
+    assert sorted((r.offset, r.reason) for r in aside) == [(2, "NO_KEY"), (3, "TOMBSTONE"), (4, "MALFORMED")]
+    assert next(r.message for r in aside if r.offset == 2) == json.dumps({"op": "t", "source": source})

@@ -94,15 +94,22 @@ def _not_yet_inserted(state: DataFrame, batch_id: int, layout: Layout) -> DataFr
     return inserts.join(known, [_BUCKET, key], "left_anti")
 
 
-def transaction_state(spark: SparkSession, layout: Layout) -> DataFrame:
-    base, recent = tables.read_parts(spark, layout.transactions, transaction_state_schema())
+def transaction_state(
+    spark: SparkSession, layout: Layout, before: int | None = None
+) -> DataFrame:
+    base, recent = tables.read_parts(
+        spark, layout.transactions, transaction_state_schema(), before
+    )
     if base is None:
         return transactions.merge_states(recent)
     return transactions.merge_into(base, recent)
 
 
-def read_transactions(spark: SparkSession, layout: Layout) -> DataFrame:
-    return transactions.current_rows(transaction_state(spark, layout))
+def read_transactions(
+    spark: SparkSession, layout: Layout, before: int | None = None
+) -> DataFrame:
+    """The current state, or the table's version before a batch."""
+    return transactions.current_rows(transaction_state(spark, layout, before))
 
 
 def compact_transactions(spark: SparkSession, layout: Layout) -> int | None:
@@ -215,11 +222,14 @@ def apply_customers(events: DataFrame, batch_id: int, layout: Layout) -> bool:
         events.unpersist()
 
 
-def read_customers(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The whole history: closed versions and the open ones."""
+def read_customers(
+    spark: SparkSession, layout: Layout, before: int | None = None
+) -> DataFrame:
+    """The whole history: closed versions and the open ones; or its version before a batch."""
     no_next = F.lit(None).cast("bigint").alias("_next_ts_ms")
-    last = customer_last_events(spark, layout).select("*", no_next)
-    return customers.as_versions(customer_closed_events(spark, layout).unionByName(last))
+    last = customer_last_events(spark, layout, before).select("*", no_next)
+    closed = customer_closed_events(spark, layout, before)
+    return customers.as_versions(closed.unionByName(last))
 
 
 def compact_customers(spark: SparkSession, layout: Layout) -> int | None:

@@ -106,11 +106,22 @@ def bronze_op_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelope_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = Workspace.of(spark, sf_dir).feed("envelopes")
+    return _bronze_rows(bronze.parse_envelopes(messages, TRANSACTIONS), "transactions")
+
+
+def envelope_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by way of flat messages, as for feeds that hold both kinds."""
     messages = Workspace.of(spark, sf_dir).feed("envelopes")
     flat = bronze.unwrap_envelope(messages, TRANSACTIONS)
     return _bronze_rows(bronze.parse_events(flat, TRANSACTIONS), "transactions")
 
 
+def envelope_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = Workspace.of(spark, sf_dir).feed("envelopes")
+    return _rejected(bronze.rejected_envelopes(messages, TRANSACTIONS))
+
+
 # --- Silver transactions -----------------------------------------------------------------------
 
 
@@ -198,6 +209,20 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def initial_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live transactions as the reads a capture starts with."""
+    rows = Workspace.of(spark, sf_dir).bronze("transactions")
+    columns = ("amount", "status")
+    live = transactions.live(transactions.upsert(rows, columns))
+    return snapshot.initial_snapshot(live, "transaction_id", columns).select(
+        "transaction_id",
+        "op",
+        F.col("before").isNull().alias("nothing_before"),
+        F.col("after.amount").cast("double").alias("amount_after"),
+        F.col("after.status").alias("status_after"),
+    )
+
+
 # --- Silver customers --------------------------------------------------------------------------
 
 
@@ -455,6 +480,11 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _union(_rejected(space.stream_quarantine(e)) for e in ENTITIES)
 
 
+def stream_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = Workspace.of(spark, sf_dir).stream_envelopes()
+    return _bronze_rows(_without_heartbeat(rows), "transactions")
+
+
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Workspace.of(spark, sf_dir).stream_transactions()
     return _current_rows(_without_heartbeat(rows))

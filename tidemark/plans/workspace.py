@@ -127,6 +127,17 @@ class Workspace:
             self.spark, entity(name).bronze_schema, [self.streamed.bronze(name)]
         )
 
+    def stream_envelopes(self) -> DataFrame:
+        layout = Layout(f"{self.root}/enveloped")
+        self._once(
+            "bronze-envelopes",
+            lambda: run.catch_up_bronze(
+                lambda _: self.feed_stream("envelopes"), layout, ["transactions"], envelopes=True
+            ),
+        )
+        schema = entity("transactions").bronze_schema
+        return tables.read_folders(self.spark, schema, [layout.bronze("transactions")])
+
     def stream_quarantine(self, name: str) -> DataFrame:
         """What the Bronze run of an entity has put aside."""
         self.stream_bronze(name)

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -29,6 +30,9 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     source.add_argument("--topics", help="folder with one folder of message files per entity")
     parser.add_argument("--max-offsets", type=int, help="per Kafka trigger; no limit if left out")
     parser.add_argument("--max-files", type=int, help="per file trigger")
+    parser.add_argument(
+        "--envelopes", action="store_true", help="topics hold nested change envelopes"
+    )
     parser.add_argument("--catch-up", action="store_true", help="read what is there, then stop")
     options = parser.parse_args(argv)
     if options.job in ("bronze", "all") and not (options.servers or options.topics):
@@ -46,7 +50,9 @@ def start(spark: SparkSession, options: argparse.Namespace) -> list[StreamingQue
     layout = Layout(options.root)
     if options.job == "bronze":
         return [
-            start_one(message_stream(spark, options, name), name, layout)
+            start_one(
+                message_stream(spark, options, name), name, layout, envelopes=options.envelopes
+            )
             for name in ENTITIES
             for start_one in (jobs.start_bronze, jobs.start_quarantine)
         ]
@@ -56,7 +62,12 @@ def start(spark: SparkSession, options: argparse.Namespace) -> list[StreamingQue
         return [jobs.start_silver_customers(spark, layout)]
     if options.job == "gold":
         return [jobs.start_metrics(spark, layout), jobs.start_alerts(spark, layout)]
-    return run.start_all(spark, lambda name: message_stream(spark, options, name), layout)
+    return run.start_all(
+        spark,
+        lambda name: message_stream(spark, options, name),
+        layout,
+        envelopes=options.envelopes,
+    )
 
 
 def catch_up(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -66,7 +77,7 @@ def catch_up(spark: SparkSession, options: argparse.Namespace) -> None:
         return message_stream(spark, options, name)
 
     if options.job in ("bronze", "all"):
-        run.catch_up_bronze(messages, layout, ENTITIES)
+        run.catch_up_bronze(messages, layout, ENTITIES, options.envelopes)
     if options.job in ("silver-transactions", "all"):
         run.await_all([jobs.start_silver_transactions(spark, layout, jobs.CATCH_UP)])
     if options.job in ("silver-customers", "all"):
@@ -77,7 +88,9 @@ def catch_up(spark: SparkSession, options: argparse.Namespace) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     options = parse(argv)
+    logging.basicConfig(level=logging.INFO)
     spark = build_session(f"tidemark-{options.job}")
+    run.log_batches(spark)
     if options.catch_up:
         catch_up(spark, options)
     else:

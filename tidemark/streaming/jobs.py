@@ -46,13 +46,21 @@ def _sink(df: DataFrame, name: str, path: str, layout: Layout, trigger: dict):
 
 
 def start_bronze(
-    feed: DataFrame, spec: str | Entity, layout: Layout, trigger: dict = BRONZE_TRIGGER
+    feed: DataFrame,
+    spec: str | Entity,
+    layout: Layout,
+    trigger: dict = BRONZE_TRIGGER,
+    envelopes: bool = False,
 ) -> StreamingQuery:
-    """Messages of one entity to its append-only table, partitioned by day of arrival."""
+    """Messages of one entity to its append-only table, partitioned by day of arrival.
+
+    ``envelopes`` says that the topic holds nested change envelopes, not flat messages.
+    """
     spec = entity(spec)
     path = layout.bronze(spec.name)
     tables.create_if_missing(feed.sparkSession, path, spec.bronze_schema, "_ingestion_date")
-    rows = bronze.parse_events(feed, spec).observe(
+    parse = bronze.parse_envelopes if envelopes else bronze.parse_events
+    rows = parse(feed, spec).observe(
         f"bronze_{spec.name}", F.count(F.lit(1)).alias("rows")
     )
     return (
@@ -63,12 +71,17 @@ def start_bronze(
 
 
 def start_quarantine(
-    feed: DataFrame, spec: str | Entity, layout: Layout, trigger: dict = BRONZE_TRIGGER
+    feed: DataFrame,
+    spec: str | Entity,
+    layout: Layout,
+    trigger: dict = BRONZE_TRIGGER,
+    envelopes: bool = False,
 ) -> StreamingQuery:
     """Messages that :func:`start_bronze` leaves out. A query of its own, so that both sinks
     write each message exactly once; it parses nothing but the key."""
     spec = entity(spec)
-    rows = bronze.rejected_messages(feed, spec)
+    pick = bronze.rejected_envelopes if envelopes else bronze.rejected_messages
+    rows = pick(feed, spec)
     return _sink(
         rows, f"rejected-{spec.name}", layout.quarantine(spec.name), layout, trigger
     ).start()

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.plans.layout import Layout
 from tidemark.streaming import jobs
 
+LOG = logging.getLogger(__name__)
+
 Feed = Callable[[str], DataFrame]
 
 
@@ -40,11 +43,13 @@ def await_all(queries: list[StreamingQuery]) -> None:
         stop_all(queries)
 
 
-def catch_up_bronze(feed: Feed, layout: Layout, entities: Iterable[str]) -> None:
+def catch_up_bronze(
+    feed: Feed, layout: Layout, entities: Iterable[str], envelopes: bool = False
+) -> None:
     """Every message to Bronze or, if it has no key, to the rejected messages."""
     await_all(
         [
-            start(feed(e), e, layout, jobs.CATCH_UP)
+            start(feed(e), e, layout, jobs.CATCH_UP, envelopes)
             for e in entities
             for start in (jobs.start_bronze, jobs.start_quarantine)
         ]
@@ -78,13 +83,17 @@ def catch_up(
 
 
 def start_all(
-    spark: SparkSession, feed: Feed, layout: Layout, trigger: dict | None = None
+    spark: SparkSession,
+    feed: Feed,
+    layout: Layout,
+    trigger: dict | None = None,
+    envelopes: bool = False,
 ) -> list[StreamingQuery]:
     """All layers at once, each on its own trigger or all on the one given."""
     chosen = {"trigger": trigger} if trigger else {}
     return [
         *[
-            start(feed(e), e, layout, **chosen)
+            start(feed(e), e, layout, envelopes=envelopes, **chosen)
             for e in ("transactions", "customers", "accounts")
             for start in (jobs.start_bronze, jobs.start_quarantine)
         ],
@@ -95,6 +104,33 @@ def start_all(
     ]
 
 
+class BatchLog(StreamingQueryListener):
+    """Logs each micro-batch of every query: name, batch, rows read and what was observed."""
+
+    def onQueryStarted(self, event) -> None:
+        LOG.info("started %s", event.name)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        observed = {name: row.asDict() for name, row in (p.observedMetrics or {}).items()}
+        if p.numInputRows or observed:
+            LOG.info("%s batch %d: %d rows, %s", p.name, p.batchId, p.numInputRows, observed)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception:
+            LOG.error("query %s failed: %s", event.id, event.exception)
+
+
+def log_batches(spark: SparkSession) -> BatchLog:
+    """Adds a :class:`BatchLog` to the session; ``spark.streams.removeListener`` takes it away."""
+    listener = BatchLog()
+    spark.streams.addListener(listener)
+    return listener
+
+
 def progress_report(query: StreamingQuery) -> list[dict]:
     """Rows read and observed per micro-batch that Spark still remembers."""
     return [
