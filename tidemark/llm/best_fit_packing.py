@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.common import map_batches, slices, stored
+from tidemark.llm.common import map_batches, slices, stored, worker_cache
 
 CAPACITY = 2048
 END_ID = 0
 PARTS = 128
 """Parts in which the pieces of a length are ranked."""
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 KNOWN_PIECES = 1_000_000
 """Pieces of text whose ids a worker remembers before it starts afresh."""
 
@@ -119,16 +119,6 @@ class Encoder:
         return [out[k] for k in range(len(texts))]
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """The worker's encoder, kept from task to task."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
 def cut(total: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document; only the first may be shorter than the rest."""
     lead = total % capacity or capacity
@@ -140,7 +130,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
     """Rows (row, doc_id, piece, start, length, ids_crc32[, ids]); ``row`` is unique per row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path)
+        encode = worker_cache(tokenizer_path, lambda: Encoder(tokenizer_path))
         row = TaskContext.get().partitionId() << 33
         for part in slices(batches, SLICE_BYTES, "text"):
             texts = [t or "" for t in part.column("text").to_pylist()]
@@ -163,7 +153,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
 
     schema = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_batches(rows, work, schema + (", ids array<long>" if with_ids else ""))
+    schema += ", ids array<long>" if with_ids else ""
+    return map_batches(rows, work, schema, cache=tokenizer_path)
 
 
 class _Sums:

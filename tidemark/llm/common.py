@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -52,7 +53,36 @@ def slices(batches: Iterable[pa.RecordBatch], limit: int, column: str) -> Iterat
         yield batch.slice(start)
 
 
+_kept: dict[str, object] = {}
+
+
+def worker_cache(name: str, make: Callable[[], object]):
+    """An object that a Python worker keeps from task to task under ``name``."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
+def _release(name: str | None) -> None:
+    """Drops what other operators' tasks have left in this worker, which Spark uses again."""
+    others = [k for k in _kept if k != name]
+    for k in others:
+        del _kept[k]
+    if others:
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def map_batches(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
+    df: DataFrame,
+    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema,
+    cache: str | None = None,
 ) -> DataFrame:
-    return df.mapInArrow(work, schema)
+    """``mapInArrow``; ``cache`` names the :func:`worker_cache` that ``work`` uses."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _release(cache)
+        yield from work(batches)
+
+    return df.mapInArrow(run, schema)
