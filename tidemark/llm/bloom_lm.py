@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import words as W
 from tidemark.llm.common import id_remainder, map_batches, slices, stored
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 FREQUENT = 1 << 16
 FILTER_BYTES = 128 << 20
 ENTRIES_PER_SHARD = 1_500_000
@@ -112,7 +112,7 @@ def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
 
 def _packed(order: int, shards: int):
     """Distinct n-grams of a task with their counts, one row per shard."""
-    hold = 1 << 22  # n-grams gathered before they are merged
+    hold = 1 << 20  # n-grams gathered before they are merged
 
     def rows(keys, counts):
         key, count = _merged(keys, counts)
