@@ -21,6 +21,7 @@ from tidemark.spec import entity
 from tidemark.streaming import jobs, run
 
 SLICES = 3
+SOURCE_PIECES = 32
 
 _OPEN: dict[tuple[str, str], "Workspace"] = {}
 
@@ -47,34 +48,28 @@ class Workspace:
     # --- topics ----------------------------------------------------------------------------
 
     def _source_rows(self, name: str) -> DataFrame:
-        """A source table, spread out if it came as fewer pieces than there are cores."""
-        rows = self.table(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+        """A source table, spread out, as it may come as one piece."""
+        return self.table(name).repartition(SOURCE_PIECES)
 
-    def _messages(self, topic: str) -> tuple[DataFrame, int]:
-        """The messages of a topic and about how many source rows they come from."""
+    def _messages(self, topic: str) -> DataFrame:
         if topic == "customers":
             orders = self._source_rows("orders")
-            messages = derived.customer_messages(self.table("customer"), orders)
-            return messages, self.table("orders").count()
+            return derived.customer_messages(self.table("customer"), orders)
         if topic == "accounts":
-            messages = derived.account_messages(self._source_rows("customer"))
-            return messages, self.table("customer").count()
+            return derived.account_messages(self._source_rows("customer"))
         make = (
             derived.transaction_messages
             if topic == "transactions"
             else derived.transaction_envelopes
         )
-        return make(self._source_rows("events")), self.table("events").count()
+        return make(self._source_rows("events"))
 
     def _topic(self, topic: str) -> str:
         path = f"{self.root}/topics/{topic}"
         if topic not in self._feeds:
-            messages, rows = self._messages(topic)
             slices = SLICES if topic in ("transactions", "customers") else 1
-            files = max(1, rows // (slices * derived.ROWS_PER_FILE))
-            derived.write_slices(messages, f"{path}/messages", slices, files)
+            files = derived.FILES_PER_SLICE
+            derived.write_slices(self._messages(topic), f"{path}/messages", slices, files)
             self._feeds[topic] = files
         return path
 

@@ -11,6 +11,7 @@ them. A feed built and parsed in one lazy plan would have the optimizer reason t
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ CLOSED_MS = 1009843200000
 HEARTBEAT_ACCOUNT = "ACC_SENTINEL"
 HEARTBEAT_ID = "TXN_SENTINEL"
 TOPIC_PARTITIONS = 3
-ROWS_PER_FILE = 100_000
+FILES_PER_SLICE = 4
 
 
 def _pick(values: list[str], index: Column) -> Column:
@@ -322,8 +323,9 @@ def write_slices(messages: DataFrame, path: str, slices: int, files: int) -> int
     """Writes a feed as ``slices`` consecutive stretches of time, each of ``files`` files.
 
     A file stream that takes ``files`` files per trigger then reads one slice per micro-batch.
-    Returns the number of slices written.
+    Returns the number of slices written. The messages are made once and kept meanwhile.
     """
+    messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
     bounds: list[float] = []
     if slices > 1:
         times = messages.select(F.unix_millis("timestamp").cast("double").alias("t"))
@@ -343,4 +345,5 @@ def write_slices(messages: DataFrame, path: str, slices: int, files: int) -> int
             "append"
         ).parquet(path)
         written += 1
+    messages.unpersist()
     return written
