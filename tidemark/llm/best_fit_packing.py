@@ -39,6 +39,7 @@ PARTS = 128
 SLICE_BYTES = 2 << 20
 KNOWN_PIECES = 1_000_000
 """Pieces of text whose ids a worker remembers before it starts afresh."""
+ENCODED_TOGETHER = 4096
 
 # A blank before a character that is not white space always begins a token of this tokenizer
 # family, so a text can be cut there. Other texts are encoded as a whole.
@@ -66,7 +67,12 @@ class Encoder:
         self.flat = np.empty(0, np.uint32)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        # In parts, as the tokenizer's own results take far more room than the ids.
+        out: list[list[int]] = []
+        for k in range(0, len(texts), ENCODED_TOGETHER):
+            part = texts[k : k + ENCODED_TOGETHER]
+            out += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        return out
 
     def _learn(self, hashes: list[int], texts: list[str]):
         ids = self._encode(texts)
