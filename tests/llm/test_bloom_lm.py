@@ -76,6 +76,18 @@ def test_groups_of_segments_give_the_same_scores(spark, monkeypatch):
     assert all(abs(one[k] - more[k]) < 1e-9 for k in one)
 
 
+def test_weights_are_fitted_on_all_groups(spark, monkeypatch):
+    monkeypatch.setattr(op, "ENTRIES_PER_SHARD", 40)
+    rows = [(k, " ".join(f"w{(k * j) % 97}" for j in range(30))) for k in range(150)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    fitted = []
+    monkeypatch.setattr(op, "_fit_weights", lambda *a, f=op._fit_weights: fitted.append(f(*a)) or fitted[-1])
+    one = {r.doc_id: r.score for r in op.score_documents(frame).collect()}
+    more = {r.doc_id: r.score for r in op.score_documents(frame, filter_bytes=300).collect()}
+    assert fitted[0].max() > 0 and fitted[0].tolist() == fitted[1].tolist()
+    assert all(abs(one[k] - more[k]) < 1e-9 for k in one)
+
+
 def test_filter_returns_levels():
     r = np.random.default_rng(2)
     keys = np.unique(r.integers(0, 2**63, 20_000, dtype=np.uint64))

@@ -19,8 +19,9 @@ words, for the exact base score, are joined by word.
 
 The model: p(w | h) = k(h) min(1, c(h w) / c(h)) + (1 - k(h)) p(w), with p(w) the add-one estimate
 and k(h) one weight per level of c(h), fitted on a bounded sample of training texts, each scored
-with its own counts taken out. Counts in numerators are rounded down and those below up. The
-end of a text is a token, and the history of its first word.
+with its own counts taken out, in a pass for each group of the pair filter before the scoring.
+Counts in numerators are rounded down and those below up. The end of a text is a token, and the
+history of its first word.
 
 Rows: a null text is empty and consists of the end alone. Rows that repeat an id are scored one by
 one; a null id counts as empty text in the split. An empty training side gives N = 0, V = 0 and
@@ -361,31 +362,64 @@ def _with_words(docs: DataFrame, table: DataFrame, shards: int, limit: int):
     return None, end, docs
 
 
-def _own_counts(keys: np.ndarray, tokens: W.Words) -> np.ndarray:
-    """How often each key occurs in its text."""
-    both = W.mix(keys + W.mix(tokens.rows().astype(np.uint64)))
+def _own_counts(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """How often each key occurs in its text, given by ``rows``."""
+    both = W.mix(keys + W.mix(rows.astype(np.uint64)))
     _, where, n = np.unique(both, return_inverse=True, return_counts=True)
     return n[where]
 
 
-def _fit_weights(train: DataFrame, model: _Model, pair_filter) -> np.ndarray:
-    """One weight per history level: the best of a grid on a sample of texts."""
-    grid = np.array([0.0, 0.02, 0.05, 0.1, 0.2, 0.3, 0.45, 0.6, 0.75, 0.9])
-    sample = train.limit(SAMPLE).toArrow().combine_chunks().to_batches()
-    gain = np.zeros((len(LEVELS), len(grid)))
-    for part in slices(sample, SLICE_BYTES, "text"):
-        tokens = tokens_of(part.column("text"))
-        level = model.word_levels(part, tokens)
-        before, past = model.history_levels(level, tokens), histories(tokens)
-        keys = pairs(past, tokens.hashes)
-        alone = model.alone(level, _own_counts(tokens.hashes, tokens))
-        ratio = model.ratio(
-            pair_filter.levels(keys), before, _own_counts(keys, tokens), _own_counts(past, tokens)
+GRID = np.array([0.0, 0.02, 0.05, 0.1, 0.2, 0.3, 0.45, 0.6, 0.75, 0.9])
+UNIT = 1 << 20
+"""Gains are summed as whole numbers of this part of 1, so their order does not matter."""
+
+
+def _gains(model_, filter_):
+    """Per history level and weight of the grid: what mixing in the pairs of this group gains."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, pair_filter = model_.value, filter_.value
+        gain = np.zeros((len(LEVELS), len(GRID)), np.int64)
+        for part in slices(batches, SLICE_BYTES, "text"):
+            tokens = tokens_of(part.column("text"))
+            level = model.word_levels(part, tokens)
+            own = _own_counts(tokens.hashes, tokens.rows())
+            own_past = np.empty_like(own)
+            own_past[1:] = own[:-1]
+            own_past[tokens.first[:-1]] = 1  # the end, once in every text
+            keys = pairs(histories(tokens), tokens.hashes)
+            mine = np.flatnonzero(pair_filter.present[_shard(keys, pair_filter.shards)])
+            keys, before = keys[mine], model.history_levels(level, tokens)[mine]
+            ratio = model.ratio(
+                pair_filter.levels(keys), before, _own_counts(keys, tokens.rows()[mine]), own_past[mine]
+            )
+            seen = ratio > 0
+            ratio = ratio[seen] / model.alone(level[mine[seen]], own[mine[seen]])
+            unseen = np.bincount(before[~seen], minlength=len(LEVELS))
+            for k, weight in enumerate(GRID):
+                more = np.rint(UNIT * np.log10(weight * ratio + (1 - weight)))
+                gain[:, k] += np.bincount(before[seen], more, minlength=len(LEVELS)).astype(np.int64)
+                gain[:, k] += unseen * int(np.rint(UNIT * np.log10(1 - weight)))
+        some = np.flatnonzero(gain.any(axis=1))
+        level, k = np.repeat(some, len(GRID)), np.tile(np.arange(len(GRID)), len(some))
+        yield pa.record_batch(
+            [pa.array(level), pa.array(k), pa.array(gain[level, k])], names=["level", "k", "gain"]
         )
-        for k, weight in enumerate(grid):
-            p = weight * ratio + (1 - weight) * alone
-            gain[:, k] += np.bincount(before, np.log10(p), minlength=len(LEVELS))[: len(LEVELS)]
-    weights = grid[gain.argmax(axis=1)]
+
+    return work
+
+
+def _fit_weights(train: DataFrame, model_, filters) -> np.ndarray:
+    """One weight per history level: the best of a grid over all groups of pair segments.
+
+    Every pair of a training text has its segment in exactly one group, so the gains add up.
+    """
+    gain = np.zeros((len(LEVELS), len(GRID)), np.int64)
+    for shared in filters():
+        parts = map_batches(train, _gains(model_, shared), "level long, k long, gain long")
+        for row in parts.groupBy("level", "k").agg(F.sum("gain").alias("gain")).collect():
+            gain[row.level, row.k] += row.gain  # some hundred levels with ten weights each
+    weights = GRID[gain.argmax(axis=1)]
     weights[0] = 0  # an unknown history says nothing
     return weights
 
@@ -497,15 +531,22 @@ def score_documents(
     words, end, docs = _with_words(docs, word_bits, word_shards, filter_bytes)
     model = _Model(words, end, total, distinct)
     shared_model, shared_words = share(model), share(frequent)
-    weights, results = None, []
-    for number, group in enumerate(_groups(pair_bits, filter_bytes) or [[]]):
-        pair_filter = _load(pair_bits, shards, group)
-        if weights is None:
-            weights = _fit_weights(docs.where("NOT held_out"), model, pair_filter)
-        shared = share(pair_filter)
+    groups = _groups(pair_bits, filter_bytes) or [[]]
+    only = share(_load(pair_bits, shards, groups[0])) if len(groups) == 1 else None
+
+    def filters():
+        """The groups one after the other; a single one is sent once for all passes."""
+        for group in groups:
+            shared = only or share(_load(pair_bits, shards, group))
+            yield shared
+            if not only:
+                shared.destroy()
+
+    weights = _fit_weights(docs.where("NOT held_out").limit(SAMPLE), shared_model, filters)
+    results = []
+    for number, shared in enumerate(filters()):
         work = _scores(shared_model, shared_words, shared, weights, number == 0)
         results.append(stored(map_batches(docs, work, _SCORE_SCHEMA), "scores"))
-        shared.destroy()
     lead = results[0]
     if len(results) > 1:
         more = reduce(DataFrame.unionByName, (r.select("row", "score") for r in results[1:]))
