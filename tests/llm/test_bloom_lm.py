@@ -88,6 +88,22 @@ def test_weights_are_fitted_on_all_groups(spark, monkeypatch):
     assert all(abs(one[k] - more[k]) < 1e-9 for k in one)
 
 
+def test_weights_do_not_depend_on_the_order_of_texts(spark, monkeypatch):
+    """A source of more than 2,000 texts in fixed phrases, and one of the same words at random."""
+    r = np.random.default_rng(5)
+    fixed = [" ".join(f"w{(k + j) % 40}" for j in range(12)) for k in range(2500)]
+    mixed = [" ".join(f"w{w}" for w in r.integers(0, 40, 12)) for _ in range(2500)]
+    rows = list(enumerate(fixed + mixed))
+    fitted = []
+    monkeypatch.setattr(op, "_fit_weights", lambda *a, f=op._fit_weights: fitted.append(f(*a)) or fitted[-1])
+    one, two = (
+        {r.doc_id: r.score for r in op.score_documents(spark.createDataFrame(x, SCHEMA)).collect()}
+        for x in (rows, rows[::-1])
+    )
+    assert fitted[0].max() > 0 and fitted[0].tolist() == fitted[1].tolist()
+    assert all(abs(one[k] - two[k]) < 1e-9 for k in one)
+
+
 def test_filter_returns_levels():
     r = np.random.default_rng(2)
     keys = np.unique(r.integers(0, 2**63, 20_000, dtype=np.uint64))

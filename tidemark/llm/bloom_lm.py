@@ -18,8 +18,8 @@ pair filter add up. So the scores are the same however many groups there are. Co
 words, for the exact base score, are joined by word.
 
 The model: p(w | h) = k(h) min(1, c(h w) / c(h)) + (1 - k(h)) p(w), with p(w) the add-one estimate
-and k(h) one weight per level of c(h), fitted on a bounded sample of training texts, each scored
-with its own counts taken out, in a pass for each group of the pair filter before the scoring.
+and k(h) one weight per level of c(h), fitted on all training texts, each scored with its own
+counts taken out, in a pass for each group of the pair filter before the scoring.
 Counts in numerators are rounded down and those below up. The end of a text is a token, and the
 history of its first word.
 
@@ -52,8 +52,6 @@ PROBES = 4
 STEP = 1.25
 """Ratio of two count levels; small counts are exact."""
 LEAST_PAIR_COUNT = 2
-SAMPLE = 2000
-"""Texts, at most, on which the weights are fitted."""
 
 END = W.mix(np.array([0x5EED], np.uint64))[0]
 
@@ -542,7 +540,7 @@ def score_documents(
             if not only:
                 shared.destroy()
 
-    weights = _fit_weights(docs.where("NOT held_out").limit(SAMPLE), shared_model, filters)
+    weights = _fit_weights(docs.where("NOT held_out"), shared_model, filters)
     results = []
     for number, shared in enumerate(filters()):
         work = _scores(shared_model, shared_words, shared, weights, number == 0)
