@@ -104,6 +104,16 @@ def test_weights_do_not_depend_on_the_order_of_texts(spark, monkeypatch):
     assert all(abs(one[k] - two[k]) < 1e-9 for k in one)
 
 
+def test_pairs_seen_once_count(spark, monkeypatch):
+    monkeypatch.setattr(op, "_fit_weights", lambda *a: np.where(np.arange(len(op.LEVELS)) > 0, 0.3, 0.0))
+    held = [k for k in range(200) if zlib.crc32(str(k).encode()) % 7 == 2][:2]
+    train = [k for k in range(200) if zlib.crc32(str(k).encode()) % 7 != 2][:40]
+    rows = [(k, f"a{j} b{j}") for j, k in enumerate(train)]
+    rows += [(held[0], "a3 b3"), (held[1], "a3 b4")]  # the first pair was seen, the second was not
+    score = {r.doc_id: r.score for r in op.score_documents(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert score[held[0]] > score[held[1]] + 0.5
+
+
 def test_filter_returns_levels():
     r = np.random.default_rng(2)
     keys = np.unique(r.integers(0, 2**63, 20_000, dtype=np.uint64))

@@ -7,8 +7,8 @@ Training, over all training texts:
   corpus, and one frequent word is at most one entry per task, so shards stay even and bounded.
 * a count c is kept as the level of the largest step not above it. The filter holds the n-gram
   with each number from 1 to its level; asking for level 1, 2, ... until the answer is no gives
-  the level back. Each shard has a filter segment of its own, sized by its entries. Pairs
-  seen once are left out of the filter: a fixed rule of the model.
+  the level back. Each shard has a filter segment of its own, sized by its entries. No n-gram is
+  left out.
 
 Scoring: the filter and the exact counts of the ``FREQUENT`` most frequent words are broadcast.
 The second has a fixed size. The first is measured: segments go out in groups of at most
@@ -51,7 +51,6 @@ BITS_PER_ENTRY = 10
 PROBES = 4
 STEP = 1.25
 """Ratio of two count levels; small counts are exact."""
-LEAST_PAIR_COUNT = 2
 
 END = W.mix(np.array([0x5EED], np.uint64))[0]
 
@@ -188,17 +187,12 @@ def _segment(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
-def _segment_rows(least: int):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, key, count in _by_shard(batches):
-            kept = count >= least
-            data = _segment(key[kept], count[kept]).tobytes()
-            yield pa.record_batch(
-                [pa.array([shard], pa.int32()), pa.array([data], pa.binary())],
-                names=["shard", "bits"],
-            )
-
-    return work
+def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for shard, key, count in _by_shard(batches):
+        data = _segment(key, count).tobytes()
+        yield pa.record_batch(
+            [pa.array([shard], pa.int32()), pa.array([data], pa.binary())], names=["shard", "bits"]
+        )
 
 
 def _word_segments(shards: int):
@@ -522,7 +516,7 @@ def score_documents(
         "word-filter",
     )
     pair_bits = stored(
-        _gathered(train, 2, shards, _segment_rows(LEAST_PAIR_COUNT), "shard int, bits binary"),
+        _gathered(train, 2, shards, _segment_rows, "shard int, bits binary"),
         "pair-filter",
     )
     share = spark.sparkContext.broadcast
