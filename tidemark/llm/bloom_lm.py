@@ -14,8 +14,9 @@ Scoring: the filter and the exact counts of the ``FREQUENT`` most frequent words
 The second has a fixed size. The first is measured: segments go out in groups of at most
 ``FILTER_BYTES``, one after the other, with a pass over the texts for each. Passes over the word
 filter, if it takes more than one, note the level of each token beside its text; passes over the
-pair filter add up. So the scores are the same however many groups there are. Counts of all other
-words, for the exact base score, are joined by word.
+pair filter add up, by row numbers that are stored with the texts before the first of several passes.
+So the scores are the same however many groups there are. Counts of all other words, for the exact
+base score, are joined by word.
 
 The model: p(w | h) = k(h) min(1, c(h w) / c(h)) + (1 - k(h)) p(w), with p(w) the add-one estimate
 and k(h) one weight per level of c(h), fitted on all training texts, each scored with its own
@@ -36,7 +37,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -426,7 +426,6 @@ def _scores(model_, frequent_, filter_, weights: np.ndarray, lead: bool):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, (words, counts), pair_filter = model_.value, frequent_.value, filter_.value
-        row = TaskContext.get().partitionId() << 33
         log_size = math.log10(model.total + model.distinct + 1)
         for part in slices(batches, SLICE_BYTES, "text"):
             tokens = tokens_of(part.column("text"))
@@ -455,16 +454,14 @@ def _scores(model_, frequent_, filter_, weights: np.ndarray, lead: bool):
                 times = np.diff(np.append(new, len(owner)))
                 owner, rare = owner[new], rare[new]
                 edge = np.searchsorted(owner, np.arange(len(first) + 1))
-            n = len(first)
             edge = pa.array(edge.astype(np.int32))
             columns = [
-                pa.array(np.arange(row, row + n)), part.column("doc_id"), part.column("held_out"),
+                part.column("row"), part.column("doc_id"), part.column("held_out"),
                 pa.array(tokens.counts), pa.array(np.add.reduceat(known.astype(np.int64), first)),
                 pa.array(base), pa.array(score),
                 pa.ListArray.from_arrays(edge, pa.array(rare.view(np.int64))),
                 pa.ListArray.from_arrays(edge, pa.array(times.astype(np.int32))),
             ]
-            row += n
             yield pa.record_batch(columns, schema=pa.schema(list(zip(names, kinds, strict=True))))
 
     return work
@@ -520,10 +517,13 @@ def score_documents(
         "pair-filter",
     )
     share = spark.sparkContext.broadcast
+    docs = docs.withColumn("row", F.monotonically_increasing_id())
     words, end, docs = _with_words(docs, word_bits, word_shards, filter_bytes)
     model = _Model(words, end, total, distinct)
     shared_model, shared_words = share(model), share(frequent)
     groups = _groups(pair_bits, filter_bytes) or [[]]
+    if len(groups) > 1 and words is not None:  # else the word filter's passes have stored the rows
+        docs = stored(docs, "rows")
     only = share(_load(pair_bits, shards, groups[0])) if len(groups) == 1 else None
 
     def filters():
@@ -543,7 +543,7 @@ def score_documents(
     if len(results) > 1:
         more = reduce(DataFrame.unionByName, (r.select("row", "score") for r in results[1:]))
         more = more.groupBy("row").agg(F.sum("score").alias("more"))
-        lead = lead.join(more, "row").withColumn("score", F.col("score") + F.col("more"))
+        lead = lead.join(more, "row", "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0)))
     rare = lead.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "row", F.col("x.rare").alias("word"), F.col("x.times").alias("times")
     )
