@@ -100,3 +100,25 @@ def test_items_in_several_blocks(spark, monkeypatch):
     items = [(k, sample(r, 20)) for k in range(35)]
     docs = [(k, sample(r, 40) + " " + items[k][1]) for k in range(35)]
     assert set(hits(spark, docs, items)) == {(k, k) for k in range(35)}
+
+
+def test_blocks_use_the_statistics_of_all_items(spark, monkeypatch):
+    """Near copies, and items of different lengths, give the same hits in one block and in several."""
+    r = random.Random(3)
+    items = [
+        (k, " ".join(f"w{int(r.paretovariate(0.7)) % 400}" for _ in range(r.randrange(8, 60)))) for k in range(80)
+    ]
+    docs = []
+    for k, text in items:
+        own = text.split()
+        for i in range(0, len(own), 9):
+            own[i] = "other"
+        docs.append((k, " ".join([f"x{j}" for j in range(k % 50)] + own)))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    hits = []
+    for limit in (1000, 9):
+        monkeypatch.setattr(op, "ITEMS", limit)
+        rows = op.find_leaks(*frames, overlap=0.1).collect()
+        hits.append({(h.doc_id, h.item_id, h.first_word): h.score for h in rows})
+    assert hits[0] and hits[0].keys() == hits[1].keys()
+    assert all(abs(hits[0][k] - hits[1][k]) < 1e-9 for k in hits[0])

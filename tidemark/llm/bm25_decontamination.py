@@ -16,8 +16,9 @@ word 5-grams stands in the passage. An item has one text: the question ends with
 that ends nearest to its middle, or in the middle if no sentence ends inside.
 
 The items are taken in blocks of at most ``ITEMS`` by id hash, each indexed on the driver (its
-size is bounded) and broadcast; with more than one block the term statistics are those of the
-block. Training texts pass once per block and are never shuffled.
+size is bounded) and broadcast. The term statistics and the window of a length class are those of
+all items, counted in Spark if there is more than one block, so hits do not depend on the blocks.
+Training texts pass once per block and are never shuffled.
 
 Rows: null or empty texts hit nothing, on either side. Repeated items are reported each; repeated
 documents too. Null ids are kept. Other columns are ignored, whatever their names.
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.common import map_batches, slices
+from tidemark.llm.common import map_batches, slices, stored
 
 ITEMS = 50_000
 BLOCK = 4
@@ -92,14 +93,27 @@ def _half(text: str) -> _Half:
     return _Half(width, _grams(hashes, width) if width else hashes)
 
 
+@dataclass
+class _Statistics:
+    """Of all items of a length class; ``df`` for the sorted ``terms``, those of one block or more."""
+
+    n: int
+    mean: float
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
 class ItemIndex:
-    """Inverted index, with block maxima, of the items of one length class."""
+    """Inverted index, with block maxima, of the items of one length class.
 
-    def __init__(self, ids: list, texts: list[str], share: float):
+    ``of_all`` has the statistics of all items, if these are only some of them.
+    """
+
+    def __init__(self, ids: list, texts: list[str], share: float, of_all: _Statistics | None = None):
         self.ids = ids
         words = _words(texts)
         counts = words.counts
-        self.stride = max(SHORTEST_WINDOW, int(counts.max()))
         self.halves = [tuple(map(_half, split_item(t))) for t in texts]
         n = len(ids)
         owner = words.rows()
@@ -107,8 +121,12 @@ class ItemIndex:
         entry, tf = np.unique(where * n + owner, return_counts=True)
         term, item = entry // n, entry % n
         df = np.bincount(term, minlength=len(key))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        length = K1 * (1 - B + B * counts / counts.mean())
+        if of_all is None:
+            of_all = _Statistics(n, counts.mean(), int(counts.max()), key, df)
+        self.stride = max(SHORTEST_WINDOW, of_all.longest)
+        df_all = of_all.df[np.searchsorted(of_all.terms, key)]
+        idf = np.log1p((of_all.n - df_all + 0.5) / (df_all + 0.5))
+        length = K1 * (1 - B + B * counts / of_all.mean)
         impact = idf[term] * tf * (K1 + 1) / (tf + length[item])
         own = np.bincount(item, impact, minlength=n)
         impact = impact / (share * own[item])
@@ -221,25 +239,74 @@ class ItemIndex:
         return [(r, i, *rest) for (r, i), rest in sorted(best.items())]
 
 
-def build_indexes(ids: list, texts: list[str | None], share: float) -> list[ItemIndex]:
-    """One index for each power of two of the number of words."""
+def _size(n_words: int) -> int:
+    """The length class: one for each power of two of the number of words."""
+    return max(SHORTEST_WINDOW, int(n_words)).bit_length()
+
+
+def build_indexes(
+    ids: list, texts: list[str | None], share: float, of_all: dict[int, _Statistics] | None = None
+) -> list[ItemIndex]:
+    """One index for each length class; ``of_all`` has the statistics of all items by class."""
     classes: dict[int, list[int]] = {}
     for k, n in enumerate(_words(texts).counts):
         if n:
-            classes.setdefault(max(SHORTEST_WINDOW, int(n)).bit_length(), []).append(k)
+            classes.setdefault(_size(n), []).append(k)
     return [
-        ItemIndex([ids[k] for k in own], [texts[k] for k in own], share)
-        for _, own in sorted(classes.items())
+        ItemIndex([ids[k] for k in own], [texts[k] for k in own], share, of_all and of_all[size])
+        for size, own in sorted(classes.items())
     ]
 
 
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Length class, number of words and distinct terms of every item with words."""
+    for part in slices(batches, SLICE_BYTES, "text"):
+        words = W.words_of(part.column("text"), split_at_marks=True)
+        some = np.flatnonzero(words.counts)
+        terms = [
+            np.unique(words.hashes[words.first[k] : words.first[k + 1]]).view(np.int64) for k in some
+        ]
+        yield pa.record_batch(
+            [
+                part.column("block").take(pa.array(some)),
+                pa.array([_size(words.counts[k]) for k in some], pa.int32()),
+                pa.array(words.counts[some], pa.int64()),
+                pa.array(terms, pa.list_(pa.int64())),
+            ],
+            names=["block", "size", "n_words", "terms"],
+        )
+
+
 def _item_blocks(items: DataFrame, share: float) -> Iterator[list[ItemIndex]]:
     items = items.select("item_id", "text").where("text IS NOT NULL")
     blocks = max(1, math.ceil(items.count() / ITEMS))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int")
+    items = items.withColumn("block", part)
+    if blocks > 1:
+        found = map_batches(
+            items.select("block", "text"),
+            _item_terms,
+            "block int, size int, n_words long, terms array<long>",
+        )
+        found = stored(found, "item-terms")
+        sizes = found.groupBy("size").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("s"), F.max("n_words").alias("m")
+        ).collect()  # one row for each power of two
+        each = found.select("block", "size", F.explode("terms").alias("term"))
+        df = stored(each.groupBy("size", "term").agg(F.count(F.lit(1)).alias("df")), "item-df")
     for block in range(blocks):
-        rows = items.where(part == block).toArrow()
-        yield build_indexes(rows.column(0).to_pylist(), rows.column(1).to_pylist(), share)
+        of_all = None
+        if blocks > 1:
+            own = each.where(F.col("block") == block).select("size", "term").distinct()
+            own = own.join(df, ["size", "term"]).select("size", "term", "df").toArrow()
+            size, term, n = (own.column(k).to_numpy() for k in range(3))
+            of_all = {}
+            for row in sizes:
+                mine = size == row["size"]
+                key, order = np.unique(term[mine].view(np.uint64), return_index=True)
+                of_all[row["size"]] = _Statistics(row.n, row.s / row.n, row.m, key, n[mine][order])
+        rows = items.where(F.col("block") == block).select("item_id", "text").toArrow()
+        yield build_indexes(rows.column(0).to_pylist(), rows.column(1).to_pylist(), share, of_all)
 
 
 def find_leaks(
