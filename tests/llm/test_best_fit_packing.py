@@ -17,9 +17,7 @@ PATH = vocabulary("byte_bpe_50k.json")
 def reference():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def check(rows, docs, capacity=2048):
@@ -88,6 +86,31 @@ def test_cutting_a_text_does_not_change_its_ids(text):
             assert e.ids([one, "a b c"])[0].tolist() == reference().encode(one, add_special_tokens=False).ids
 
 
+@settings(max_examples=400, deadline=None)
+@given(
+    st.lists(
+        st.sampled_from(
+            ["a", "bc", "T", " ", " ", "\n", "\t", "'", "'s", "'ll", ".", ",", "&&", "1", "42", "_",
+             "é", "ñ", "×", "÷", "ȿ", "ɐ", "e\u0301", "ß", "я", "字", "\u00a0", "\u3000", "\x1c", "\u0085",
+             "🙂", "½", "<|endoftext|>", "\r\n"]
+        ),
+        max_size=14,
+    ).map("".join)
+)
+def test_any_mix_of_signs_gives_the_plain_ids(text):
+    e = test_any_mix_of_signs_gives_the_plain_ids.__dict__.setdefault("encoder", op.Encoder(PATH))
+    plain = test_any_mix_of_signs_gives_the_plain_ids.__dict__.setdefault("plain", reference())
+    want = plain.encode(text, add_special_tokens=False).ids
+    assert e.ids([text, "x" + text])[0].tolist() == want
+
+
+def test_added_tokens_keep_their_own_id(spark):
+    docs = [(1, "end <|endoftext|>"), (2, "a <|endoftext|>b c"), (3, "<|endoftext|>"), (4, "<|endoftext")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = check(op.pack_documents(frame, PATH).collect(), docs)
+    assert 50256 in op.Encoder(PATH).ids([docs[1][1]])[0].tolist() and rows
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 60), max_size=30), st.integers(2, 41))
 def test_plan_places_every_piece_once(histogram, capacity):
