@@ -12,6 +12,7 @@ from tidemark.llm import (
     circulant_minhash,
     cover_tree_dedup,
     dom_tree_model,
+    fim,
     host_reputation,
     naive_bayes_langid,
     warc_derivatives,
@@ -73,6 +74,11 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fim.digests(fim.transform(docs, keep=["doc_id"]))
+
+
 QUERIES = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_dom_tree_model": op2_dom_tree_model,
@@ -84,9 +90,11 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_naive_bayes_langid": op9_naive_bayes_langid,
     "op10_circulant_minhash": op10_circulant_minhash,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 ORACLES = {
     "op6_host_reputation": host_reputation.ORACLE_SQL,
     "op7_chat_grammar": chat_grammar.ORACLE_SQL,
+    "op11_fill_in_middle": fim.ORACLE_SQL,
 }
