@@ -15,6 +15,7 @@ from tidemark.llm import (
     fim,
     host_reputation,
     naive_bayes_langid,
+    rule_ensemble,
     warc_derivatives,
 )
 from tidemark.llm.common import table
@@ -79,6 +80,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(fim.transform(docs, keep=["doc_id"]))
 
 
+def op12_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 QUERIES = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_dom_tree_model": op2_dom_tree_model,
@@ -91,6 +98,7 @@ QUERIES = {
     "op9_naive_bayes_langid": op9_naive_bayes_langid,
     "op10_circulant_minhash": op10_circulant_minhash,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_rule_ensemble": op12_rule_ensemble,
 }
 
 ORACLES = {
