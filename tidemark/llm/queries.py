@@ -15,6 +15,7 @@ from tidemark.llm import (
     fim,
     host_reputation,
     naive_bayes_langid,
+    prefix_trie,
     rule_ensemble,
     warc_derivatives,
 )
@@ -86,6 +87,10 @@ def op12_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_dom_tree_model": op2_dom_tree_model,
@@ -99,10 +104,12 @@ QUERIES = {
     "op10_circulant_minhash": op10_circulant_minhash,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_rule_ensemble": op12_rule_ensemble,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
     "op6_host_reputation": host_reputation.ORACLE_SQL,
     "op7_chat_grammar": chat_grammar.ORACLE_SQL,
     "op11_fill_in_middle": fim.ORACLE_SQL,
+    "op13_prefix_trie": prefix_trie.ORACLE_SQL,
 }
