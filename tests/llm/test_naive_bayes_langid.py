@@ -67,3 +67,56 @@ def test_grams_do_not_cross_texts():
     apart = [op._grams(pa.array([t]))[0] for t in ("abc", "def")]
     for k in range(len(op.ORDERS)):
         assert one[k].tolist() == apart[0][k].tolist() + apart[1][k].tolist()
+
+
+def posterior(model_rows, text):
+    """(best label, its posterior) from the n-grams of the training texts, by the definition."""
+    import math
+    from collections import Counter
+
+    def grams(text):
+        return [(k, int(b)) for k, g in enumerate(op._grams(pa.array([text]))[0]) for b in g if b < op.BUCKETS]
+
+    labels = sorted({label for _, label in model_rows})
+    logs = {}
+    for label in labels:
+        own = [t for t, x in model_rows if x == label]
+        seen = Counter(b for t in own for _, b in grams(t))
+        whole = sum(seen.values()) + op.SMOOTHING * op.BUCKETS
+        logs[label] = math.log(len(own) / len(model_rows)) + sum(
+            math.log((seen[b] + op.SMOOTHING) / whole) for _, b in grams(text)
+        )
+    best = max(labels, key=lambda x: (logs[x], [-ord(c) for c in x]))
+    return best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())
+
+
+WORDS = ["hello there", "guten tag", "bonjour toi", "hola amigo", "ciao bella", "hej da", "ola bom dia"]
+
+
+def test_posteriors_equal_the_definition_in_one_block_and_in_several(spark, monkeypatch):
+    train = [(w + " " + x, f"l{k}") for k, w in enumerate(WORDS) for x in ("a", "xyz")]
+    train += [("hello there a", "m0"), ("hello there xyz", "m0")]  # ties with l0
+    texts = ["hello", "tag bonjour", "z", "amigo bella hej", "bom dia " * 20, "1 2 3", "", None]
+    frame = spark.createDataFrame(train, "text string, label string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    results = []
+    for most in (500, 3):
+        monkeypatch.setattr(op, "MAX_LANGUAGES", most)
+        languages = op.fitted(frame)
+        assert len(languages.names) == (1 if most == 500 else 3)
+        rows = sorted(op.predict(docs, languages, ["doc_id"]).collect())
+        results.append(rows)
+        for r, text in zip(rows, texts, strict=True):
+            want = posterior(train, text) if text and any(c.isalpha() for c in text) else ("und", 0.0)
+            assert r.lang_pred == want[0] and abs(r.score - want[1]) < 1e-4
+        kept = op.accepted(docs.withColumn("_c0", docs.text), languages, 0.6)
+        assert kept.columns == ["doc_id", "text", "_c0"]
+        assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in rows if r.score >= 0.6}
+    assert [(r.doc_id, r.lang_pred) for r in results[0]] == [(r.doc_id, r.lang_pred) for r in results[1]]
+
+
+def test_a_very_long_text(spark):
+    rows = [(k, "hello there friend" if k % 2 else "guten tag leute", "en" if k % 2 else "de") for k in range(20)]
+    rows += [(99, "guten tag " * 300_000, None)]
+    out = {r.doc_id: r for r in op.identify(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert out[99].lang_pred == "de" and out[99].score > 0.99

@@ -35,6 +35,21 @@ def test_stages_keep_columns_and_handle_odd_rows(spark):
     assert empty.count() == 0
 
 
+def test_unlike_texts_under_one_id_both_stay(spark):
+    texts = ["one text about something quite long enough to have shingles",
+             "another one that shares nothing with the first but its number",
+             "a third that is copied under a number of its own, word for word"]
+    rows = [(1, texts[0], 0), (1, texts[1], 1), (2, texts[1], 2), (0, texts[0] + " more", 3), (3, texts[2], 4),
+            (3, texts[2], 5), (None, texts[2], 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int")
+    out = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert out.columns == docs.columns
+    kept = [tuple(r)[:2] for r in out.collect()]
+    assert sorted(kept, key=str) == sorted(
+        [(0, texts[0] + " more"), (1, texts[1]), (3, texts[2]), (None, texts[2])], key=str
+    )
+
+
 def test_registered():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None and set(corpus_pipeline.QUERIES) == {"pipeline"}
