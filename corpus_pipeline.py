@@ -6,8 +6,9 @@ and read back as the next stage's documents. All but the last keep the columns o
 1. language ID: learns from two thirds of the documents at hand and drops those without a
    letter or whose best language has a posterior below ``LEAST_SCORE``.
 2. MinHash near-dedup: of each group of documents linked at 80 per cent of their 5-word
-   shingles, the one with the least id stays. Rows that repeat an id are one document, of
-   which the row that sorts first stays; rows without an id stay.
+   shingles, the one with the least id stays. Rows are told apart by their place in the stored
+   input, not by their id: unlike texts under one id are judged each on its own, and of rows
+   that repeat both one stays. Rows without an id stay.
 3. benchmark decontamination: drops documents that hold a test item's question and answer.
 4. best-fit packing of what is left.
 
@@ -17,7 +18,7 @@ those of ``documents`` are carried along unchanged, except by the last stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
@@ -36,21 +37,27 @@ BANDS = 28
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     held_out = id_remainder("doc_id", 3) == 1
-    model = naive_bayes_langid.fit(naive_bayes_langid.training_rows(held_out, docs))
-    return naive_bayes_langid.accepted(docs, model, LEAST_SCORE)
+    languages = naive_bayes_langid.fitted(naive_bayes_langid.training_rows(held_out, docs))
+    return naive_bayes_langid.accepted(docs, languages, LEAST_SCORE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = circulant_minhash.near_duplicates(docs, percent=SIMILARITY, bands=BANDS)
-    kept = stored(groups.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "kept")
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns])
-    first = (
-        docs.join(kept, "doc_id", "left_semi")
-        .withColumn("_nth", F.row_number().over(order))
-        .where("_nth = 1")
-        .select(docs.columns)
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    named = rows.where("doc_id IS NOT NULL")
+    groups = circulant_minhash.near_duplicates(
+        named.select(F.col(row).alias("doc_id"), "text"), percent=SIMILARITY, bands=BANDS
     )
-    return first.unionByName(docs.where("doc_id IS NULL"))
+    kept = (
+        named.select(row, "doc_id")
+        .join(groups.select(F.col("doc_id").alias(row), "component_id"), row)
+        .groupBy("component_id")
+        .agg(F.min(F.struct("doc_id", row))[row].alias(row))
+    )
+    first = named.join(stored(kept.select(row), "kept"), row, "left_semi")
+    return first.unionByName(rows.where("doc_id IS NULL")).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
