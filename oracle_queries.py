@@ -312,6 +312,32 @@ NOT_NULL_RULES = {
     "transactions": {c: f"{c} IS NULL" for c in ("account_id", "amount")},
 }
 
+
+
+def row_rules() -> str:
+    """Events that break a rule, with a bit and a name per rule in order of kind, then column."""
+    keys = {"customers": "customer_id", "accounts": "account_id", "transactions": "transaction_id"}
+    parts = {"customers": "k % 3", "accounts": "k % 3", "transactions": "event_id % 3"}
+    source = {"customers": "cu", "accounts": "ac", "transactions": "tx"}
+    kinds = {"domain": DOMAIN_RULES, "range": RANGE_RULES, "not_null": NOT_NULL_RULES}
+    selects = []
+    for entity, key in keys.items():
+        broken = [
+            (f"{kind}:{column}", condition)
+            for kind, rules in kinds.items()
+            for column, condition in rules.get(entity, {}).items()
+        ]
+        mask = " + ".join(f"CASE WHEN {c} THEN {1 << k} ELSE 0 END" for k, (_, c) in enumerate(broken))
+        names = ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in broken)
+        selects.append(
+            f"SELECT '{entity}' AS entity, {key} AS key_value, op AS cdc_operation, "
+            f"ts_ms AS cdc_timestamp_ms, CAST({parts[entity]} AS INTEGER) AS _feed_partition, "
+            f"pos AS _feed_offset, CAST({mask} AS INTEGER) AS mask, "
+            f"concat_ws(',', {names}) AS broken FROM {source[entity]}"
+        )
+    return "SELECT * FROM (" + " UNION ALL ".join(selects) + ") WHERE mask <> 0"
+
+
 LINKED = f"{TX_CURRENT},{CU_CLEAN},{CU_LAST},{AC}"
 LIVE_CUSTOMERS = "(SELECT customer_id FROM cu_last WHERE cdc_operation <> 'd')"
 GONE_ACCOUNTS = """(SELECT account_id FROM ac_base WHERE customer_id IN
@@ -400,6 +426,8 @@ FROM win WHERE total_amount > 100000 HAVING count(*) > 0""",
     "dq_domain": f"WITH {ALL_EVENTS} {rule_report(DOMAIN_RULES)}",
     "dq_range": f"WITH {ALL_EVENTS} {rule_report(RANGE_RULES)}",
     "dq_not_null": f"WITH {ALL_EVENTS} {rule_report(NOT_NULL_RULES)}",
+    "dq_violation_rows": f"WITH {ALL_EVENTS} {row_rules()}",
+    "stream_violations": f"WITH {ALL_EVENTS} {row_rules()}",
     "dq_unique": f"""WITH {TX},{CU_CLEAN},{CU_LAST},{AC}
 SELECT 'transactions' AS entity, 'transaction_id' AS column_name, transaction_id AS key_value,
   count(*) AS n_rows FROM tx WHERE op IN ('c', 'r') GROUP BY transaction_id HAVING count(*) > 1
@@ -421,6 +449,36 @@ UNION ALL SELECT 'transactions', transaction_id FROM cur WHERE account_id IN {GO
 SELECT account_id, op AS cdc_operation, coalesce(balance, 0) AS balance,
   coalesce(status, 'ACTIVE') AS status, {ONBOARDED} AS opened_date_us,
   {ONBOARDED} AS created_at_us, {ONBOARDED} AS updated_at_us FROM ac""",
+    "dq_defaults_customers": f"""WITH {CU}
+SELECT customer_id, op AS cdc_operation, pos AS _feed_offset, {ONBOARDED} AS onboarding_date_us,
+  {ONBOARDED} AS created_at_us, {ONBOARDED} AS updated_at_us FROM cu""",
+    "dq_defaults_transactions": f"""WITH {TX}
+SELECT transaction_id, op AS cdc_operation, pos AS _feed_offset,
+  coalesce(is_international, false) AS is_international, coalesce(status, 'COMPLETED') AS status,
+  tx_us AS transaction_timestamp_us, tx_us AS created_at_us FROM tx""",
+    "check_stored_records": f"""WITH {FIRST_WINDOWS},{CU_CLEAN},
+counted AS (
+  SELECT 'bronze_transactions' AS table_name, count(*) AS n_rows, 1 AS min_records FROM tx
+  UNION ALL SELECT 'silver_transactions', count(*), 1 FROM cur
+  UNION ALL SELECT 'silver_customers', count(*), 1 FROM cu_clean WHERE cdc_operation <> 'd'
+  UNION ALL SELECT 'gold_aml_alerts', count(*), 0 FROM classified WHERE risk_score > 70
+)
+SELECT table_name, n_rows, CAST(min_records AS BIGINT) AS min_records,
+  n_rows >= min_records AS healthy FROM counted""",
+    "stream_late_rows": f"""WITH {TX_CLEAN},
+sent AS (
+  SELECT *, CASE WHEN ts_ms <= {SNAPSHOT_MS} AND (pos // 10) % 70 <> 13 THEN 0 ELSE 1 END AS batch
+  FROM tx_clean WHERE op IN ('c', 'r')
+), logged AS (
+  SELECT * FROM sent
+  QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY batch, ts_ms, pos) = 1
+), clock AS (SELECT max(tx_us) - 600000000 AS mark FROM logged WHERE batch = 0)
+SELECT transaction_id, account_id, CAST(amount AS DOUBLE) AS amount,
+  tx_us AS transaction_timestamp_us
+FROM logged, clock WHERE batch = 1 AND (tx_us // {HOUR_US} + 1) * {HOUR_US} <= mark""",
+    "silver_as_of_version": f"""WITH {TX_CLEAN},
+early AS (SELECT * FROM tx_clean WHERE ts_ms <= {SNAPSHOT_MS}),
+{tx_state('cur', 'early')} {CURRENT_ROWS}""",
     "check_min_records": f"""WITH {CUR_WINDOWS},{CU_CLEAN},
 counted AS (
   SELECT 'bronze_transactions' AS table_name, count(*) AS n_rows, 1 AS min_records FROM tx
@@ -513,3 +571,6 @@ SELECT transaction_id, op AS cdc_operation, ts_ms AS cdc_timestamp_ms, pos AS _f
     CASE WHEN status IS DISTINCT FROM s0 THEN 'status' END) AS changed_columns
 FROM paired WHERE nth > 1""",
 }
+
+# The same question, asked of the stored versions.
+ORACLES["silver_version_diff"] = ORACLES["snapshot_diff"]

@@ -72,7 +72,9 @@ def test_compaction_takes_over_the_batches_it_holds(spark, run_dir):
 
 
 def test_kafka_options():
-    options = feed.kafka_options(TRANSACTIONS.topic, "host:9093")
+    options = feed.kafka_options(
+        TRANSACTIONS.topic, "host:9093", max_offsets=feed.MAX_OFFSETS_PER_TRIGGER
+    )
     assert options == {
         "kafka.bootstrap.servers": "host:9093",
         "subscribe": "cdc.public.transactions",
@@ -80,7 +82,7 @@ def test_kafka_options():
         "failOnDataLoss": "false",
         "maxOffsetsPerTrigger": "1000",
     }
-    big = feed.kafka_options("t", "h", max_offsets=None, min_partitions=64)
+    big = feed.kafka_options("t", "h", min_partitions=64)
     assert "maxOffsetsPerTrigger" not in big and big["minPartitions"] == "64"
 
 

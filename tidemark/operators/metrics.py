@@ -5,7 +5,7 @@ The functions take batch and streaming frames alike.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import risk
@@ -27,6 +27,13 @@ def countable(rows: DataFrame, status: str = "COMPLETED") -> DataFrame:
     )
 
 
+def is_late(time: str, newest: Column, length: str = WINDOW, lateness: str = LATENESS) -> Column:
+    """Whether a row belongs to a window that ended ``lateness`` or more before ``newest``, the latest
+    time seen before the row came. Rows without a time, and rows before any, are not late."""
+    end = F.window(F.col(time), length)["end"]
+    return F.coalesce(end <= newest - F.expr(f"INTERVAL {lateness}"), F.lit(False))
+
+
 def account_windows(rows: DataFrame, length: str = WINDOW) -> DataFrame:
     """Per account and tumbling window: count, total, mean and maximum.
 

@@ -5,11 +5,15 @@ A check passes on null, as it does in SQL; only the not-null rules look for null
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import now_or
+from tidemark.operators import accounts, transactions
 from tidemark.operators.skew import filter_by_keys
+from tidemark.spec import ENTITIES
 
 # --- Fixed values: domains, ranges, keys and defaults of the source tables --------------------
 
@@ -76,6 +80,57 @@ def not_null_rules(entity: str) -> dict[str, Column]:
     return {c: F.col(c).isNull() for c in REQUIRED[entity]}
 
 
+def rules(entity: str) -> dict[str, Column]:
+    """All row rules as ``kind:column``, in a fixed order: the bits of a mask."""
+    kinds = {"domain": domain_rules, "range": range_rules, "not_null": not_null_rules}
+    return {
+        f"{kind}:{column}": broken
+        for kind, of in kinds.items()
+        for column, broken in of(entity).items()
+    }
+
+
+def checked_rows(bronze: DataFrame, entity: str) -> DataFrame:
+    """Event rows with codes normalized and nothing filtered."""
+    if entity == "transactions":
+        return transactions.normalize_transactions(bronze)
+    if entity == "accounts":
+        return accounts.normalize_accounts(bronze)
+    return bronze.withColumns({c: F.upper(F.trim(c)) for c in ("kyc_status", "customer_segment")})
+
+
+def broken_mask(entity: str) -> Column:
+    """One bit per rule of :func:`rules` that a checked row breaks."""
+    bits = [
+        F.when(broken, F.lit(1 << k)).otherwise(F.lit(0))
+        for k, broken in enumerate(rules(entity).values())
+    ]
+    return reduce(Column.bitwiseOR, bits)
+
+
+def row_violations(bronze: DataFrame, entity: str) -> DataFrame:
+    """Rows that break a rule: entity, key, event, position, mask and names. One pass, no shuffle."""
+    names = list(rules(entity))
+    broken = F.filter(
+        F.array(*[F.when(F.col("mask").bitwiseAND(1 << k) != 0, F.lit(n)) for k, n in enumerate(names)]),
+        lambda n: n.isNotNull(),
+    )
+    return (
+        checked_rows(bronze, entity)
+        .select(
+            F.lit(entity).alias("entity"),
+            F.col(ENTITIES[entity].key).alias("key_value"),
+            "cdc_operation",
+            "cdc_timestamp_ms",
+            "_feed_partition",
+            "_feed_offset",
+            broken_mask(entity).alias("mask"),
+        )
+        .where("mask <> 0")
+        .withColumn("broken", broken)
+    )
+
+
 def violations(rows: DataFrame, entity: str, rules: dict[str, Column]) -> DataFrame:
     """Rows and violations per rule. One pass for all rules; each task sends one row."""
     counts = rows.agg(

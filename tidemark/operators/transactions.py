@@ -94,12 +94,13 @@ def collapse(
     )
 
 
-def merge_states(*states: DataFrame) -> DataFrame:
-    """Several state relations to one, e.g. the stored table and a new batch."""
+def merge_states(*states: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Several state relations to one, e.g. the stored table and a new batch. ``also`` names
+    columns that depend on the key alone and are kept."""
     union = states[0]
     for other in states[1:]:
         union = union.unionByName(other)
-    return union.groupBy(KEY).agg(F.min(FIRST).alias(FIRST), F.max(LAST).alias(LAST))
+    return union.groupBy(*also, KEY).agg(F.min(FIRST).alias(FIRST), F.max(LAST).alias(LAST))
 
 
 def merge_into(base: DataFrame, recent: DataFrame) -> DataFrame:
@@ -119,27 +120,31 @@ def _changed() -> Column:
     return F.coalesce(newer, F.lit(False))
 
 
-def current_rows(
+def row_of(
     state: DataFrame, columns: Sequence[str] = BUSINESS, processed_at=None
 ) -> DataFrame:
-    """State to the current-state table: inserts overwritten by the last later change.
-    Deleted rows stay, flagged."""
-    return (
-        state.where(F.col(FIRST).isNotNull())
-        .withColumn("_row", F.when(_changed(), F.col(LAST)).otherwise(F.col(FIRST)))
-        .select(
-            KEY,
-            *[F.col(f"_row.{c}").alias(c) for c in columns],
-            event_time(f"{FIRST}._source_ts_ms").alias("_created_at"),
-            event_time("_row._source_ts_ms").alias("_updated_at"),
-            F.col("_row._is_deleted").alias("_is_deleted"),
-            now_or(processed_at).alias("_silver_processed_at"),
-            F.col("_row._source_ts_ms").alias("_source_ts_ms"),
-            F.col("_row._source_offset").alias("_source_offset"),
-        )
+    """State rows with the columns of the current-state table added: the first insert, overwritten
+    by the last later change. For keys that were never inserted they mean nothing."""
+    return state.withColumn("_row", F.when(_changed(), F.col(LAST)).otherwise(F.col(FIRST))).select(
+        *state.columns,
+        *[F.col(f"_row.{c}").alias(c) for c in columns],
+        event_time(f"{FIRST}._source_ts_ms").alias("_created_at"),
+        event_time("_row._source_ts_ms").alias("_updated_at"),
+        F.col("_row._is_deleted").alias("_is_deleted"),
+        now_or(processed_at).alias("_silver_processed_at"),
+        F.col("_row._source_ts_ms").alias("_source_ts_ms"),
+        F.col("_row._source_offset").alias("_source_offset"),
     )
 
 
+def current_rows(
+    state: DataFrame, columns: Sequence[str] = BUSINESS, processed_at=None
+) -> DataFrame:
+    """State to the current-state table. Deleted rows stay, flagged."""
+    rows = row_of(state.where(F.col(FIRST).isNotNull()), columns, processed_at)
+    return rows.drop(FIRST, LAST)
+
+
 def orphan_changes(state: DataFrame) -> DataFrame:
     """Keys that were changed but never validly inserted."""
     return state.where(F.col(FIRST).isNull()).select(KEY, f"{LAST}.*")

@@ -9,17 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import customers, transactions
+from tidemark.operators import customers, metrics, snapshot, transactions
 from tidemark.operators.skew import filter_by_keys
 from tidemark.plans.layout import Layout
-from tidemark.sources import tables
+from tidemark.sources import buckets, tables
 from tidemark.spec import CUSTOMERS, INSERT_OPS, SILVER_TRANSACTIONS, ddl
 
 
-INSERT_BUCKETS = 32
-_BUCKET = "bucket"
-
-
 def transaction_state_schema() -> T.StructType:
     types = {f.name: f.dataType for f in ddl(SILVER_TRANSACTIONS).fields}
     image = T.StructType(
@@ -57,63 +53,255 @@ def insert_schema() -> T.StructType:
 
 
 # --- transactions ------------------------------------------------------------------------------
+#
+# A batch adds its state, one row per key that it touches. Every so many batches these are merged into
+# the table proper: typed rows in buckets of the key, of which only touched buckets are rewritten.
+
+MERGE_EVERY = 20
+"""Batches that wait to be merged at most; readers fold that many."""
+PRESENT = "_is_present"
+LATE = "is_late"
+
+
+def row_schema() -> T.StructType:
+    """The declared columns, and the position of the event that made the row."""
+    position = [T.StructField(c, T.LongType()) for c in ("_source_ts_ms", "_source_offset")]
+    return T.StructType([*ddl(SILVER_TRANSACTIONS).fields, *position])
+
+
+def merged_schema() -> T.StructType:
+    """Rows, whether the key was ever inserted, and what later merges need."""
+    return T.StructType(
+        [
+            *row_schema().fields,
+            T.StructField(PRESENT, T.BooleanType()),
+            *transaction_state_schema().fields[1:],
+        ]
+    )
 
 
 def apply_transactions(
     events: DataFrame, batch_id: int, layout: Layout, insert_ops: Sequence[str] = INSERT_OPS
 ) -> bool:
     """Adds cleaned events to the table as one batch of state rows, and to the insert log the
-    transactions that were not in it. The state of a key is a minimum and a maximum, which readers
-    combine, so of the table nothing is read back; of the log, only the ids in the buckets that
-    the batch touches. Each of the two is written unless it is there already.
+    transactions that were not in it. Each of the two is written unless it is there already.
+
+    What was inserted before is looked up in the batches not merged yet, and in the filters of the
+    merged buckets; keys are read back only from buckets with a key that a filter lets through.
     """
     state = transactions.collapse(events, insert_ops=insert_ops).persist(
         StorageLevel.MEMORY_AND_DISK
     )
+    kept = [state]
     try:
-        new = _not_yet_inserted(state, batch_id, layout)
-        tables.write_batch(new, layout.inserts, batch_id, _BUCKET)
+        new = _not_yet_inserted(state, batch_id, layout, kept)
+        newest = _clock(state.sparkSession, layout, batch_id)
+        late = metrics.is_late("transaction_timestamp", F.timestamp_micros(F.lit(newest).cast("long")))
+        tables.write_batch(new.withColumn(LATE, late), layout.inserts, batch_id, LATE)
+        _set_clock(state.sparkSession, layout, batch_id, newest)
         return tables.write_batch(state, layout.transactions, batch_id)
     finally:
-        state.unpersist()
+        for df in kept:
+            df.unpersist()
 
 
-def _not_yet_inserted(state: DataFrame, batch_id: int, layout: Layout) -> DataFrame:
-    key = transactions.KEY
-    bucket = F.pmod(F.xxhash64(key), F.lit(INSERT_BUCKETS)).cast("int")
-    inserts = transactions.first_inserts(state).withColumn(_BUCKET, bucket)
-    spark = state.sparkSession
-    numbers = [n for n in tables.committed_batches(spark, layout.inserts) if n < batch_id]
-    ids = T.StructType([T.StructField(key, T.StringType())])
-    known = _folders(spark, layout.inserts, ids, numbers, T.StructField(_BUCKET, T.IntegerType()))
-    if known is None:
-        return inserts
-    # At most INSERT_BUCKETS numbers; the filter keeps other folders from being read.
-    touched = [r[0] for r in inserts.select(_BUCKET).distinct().collect()]
-    known = known.where(F.col(_BUCKET).isin(touched)).select(_BUCKET, key)
-    return inserts.join(known, [_BUCKET, key], "left_anti")
+def _clock(spark: SparkSession, layout: Layout, before: int):
+    """The latest transaction time in the log before a batch, in microseconds; None if there is none."""
+    done = [n for n in tables.committed_batches(spark, layout.insert_clock) if n < before]
+    if not done:
+        return None
+    return spark.read.schema("newest long").parquet(
+        f"{layout.insert_clock}/batch_id={done[-1]}"
+    ).first()[0]
 
 
-def transaction_state(
-    spark: SparkSession, layout: Layout, before: int | None = None
+def _set_clock(spark: SparkSession, layout: Layout, batch_id: int, before) -> None:
+    rows = log_rows(spark, layout, [batch_id])
+    newest = F.greatest(F.unix_micros(F.max("transaction_timestamp")), F.lit(before).cast("long"))
+    tables.write_batch(rows.agg(newest.alias("newest")), layout.insert_clock, batch_id)
+
+
+def log_rows(
+    spark: SparkSession, layout: Layout, numbers: list[int] | None = None
 ) -> DataFrame:
-    base, recent = tables.read_parts(
-        spark, layout.transactions, transaction_state_schema(), before
+    """The insert log with ``is_late`` and ``batch_id``, of some batches or all."""
+    if numbers is None:
+        numbers = tables.committed_batches(spark, layout.inserts)
+    flag = T.StructField(LATE, T.BooleanType())
+    rows = _folders(spark, layout.inserts, insert_schema(), numbers, flag)
+    if rows is None:
+        schema = T.StructType([*insert_schema().fields, flag, T.StructField("batch_id", T.LongType())])
+        return spark.createDataFrame([], schema)
+    return rows
+
+
+def late_inserts(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Transactions that no window counts any more: a filter on folder names."""
+    return log_rows(spark, layout).where(F.col(LATE))
+
+
+def _not_yet_inserted(
+    state: DataFrame, batch_id: int, layout: Layout, kept: list[DataFrame]
+) -> DataFrame:
+    key, spark = transactions.KEY, state.sparkSession
+    inserts = transactions.first_inserts(state)
+    merged = buckets.versions(spark, layout.transaction_rows, before=batch_id)
+    upto = merged[-1] if merged else -1
+    waiting = [
+        n for n in tables.committed_batches(spark, layout.inserts) if upto < n < batch_id
+    ]
+    ids = T.StructType([T.StructField(key, T.StringType())])
+    flag = T.StructField(LATE, T.BooleanType())
+    recent = _folders(spark, layout.inserts, ids, waiting, flag)
+    if recent is not None:
+        inserts = inserts.join(recent.select(key), key, "left_anti")
+    known = _merged_keys_like(inserts, batch_id, layout, kept)
+    return inserts if known is None else inserts.join(known, key, "left_anti")
+
+
+def _merged_keys_like(
+    inserts: DataFrame, batch_id: int, layout: Layout, kept: list[DataFrame]
+) -> DataFrame | None:
+    """The merged keys in all buckets where some of ``inserts`` may be; None if there are none."""
+    key, spark, n = transactions.KEY, inserts.sparkSession, layout.buckets
+    filters = buckets.folders(spark, layout.transaction_keys, n, before=batch_id)
+    if not filters:
+        return None
+    keyed = inserts.select(key, buckets.bucket_of(key, n).alias(buckets.BUCKET))
+    stored = buckets.read(spark, layout.transaction_keys, buckets.SUMMARY_SCHEMA, filters)
+    maybe = buckets.maybe_known(keyed, key, stored).persist(StorageLevel.MEMORY_AND_DISK)
+    kept.append(maybe)
+    touched = {r[0] for r in maybe.select(buckets.BUCKET).distinct().collect()}  # numbers of buckets
+    rows = buckets.folders(spark, layout.transaction_rows, n, before=batch_id)
+    rows = {k: path for k, path in rows.items() if k in touched}
+    if not rows:
+        return None
+    known = buckets.read(spark, layout.transaction_rows, merged_schema(), rows)
+    return known.where(PRESENT).select(key).join(maybe.select(key), key, "left_semi")
+
+
+def _merged_rows(state: DataFrame) -> DataFrame:
+    """State rows (bucket, key, first, last) to the columns of :func:`merged_schema`.
+
+    Keys that were changed but never inserted wait in the same files, with no typed columns.
+    """
+    present = F.col(transactions.FIRST).isNotNull()
+    typed = [c for c in row_schema().fieldNames() if c != transactions.KEY]
+    return transactions.row_of(state).select(
+        buckets.BUCKET,
+        transactions.KEY,
+        *[F.when(present, F.col(c)).alias(c) for c in typed],
+        present.alias(PRESENT),
+        transactions.FIRST,
+        transactions.LAST,
     )
-    if base is None:
-        return transactions.merge_states(recent)
-    return transactions.merge_into(base, recent)
+
+
+def waiting_batches(spark: SparkSession, layout: Layout, before: int | None = None) -> list[int]:
+    merged = buckets.versions(spark, layout.transaction_rows, before)
+    upto = merged[-1] if merged else -1
+    done = tables.committed_batches(spark, layout.transactions)
+    return [n for n in done if n > upto and (before is None or n < before)]
+
+
+def compact_transactions(
+    spark: SparkSession, layout: Layout, at_least: int = 1, before: int | None = None
+) -> int | None:
+    """Merges the waiting batches, if there are ``at_least`` so many, into the buckets they touch.
+
+    Returns the last batch merged, or None if there were too few. Call it between batches.
+    """
+    _complete_filters(spark, layout)
+    waiting = waiting_batches(spark, layout, before)
+    if len(waiting) < max(1, at_least):
+        return None
+    state = _waiting_state(spark, layout, waiting)
+    touched = {r[0] for r in state.select(buckets.BUCKET).distinct().collect()}  # numbers of buckets
+    stored = buckets.folders(spark, layout.transaction_rows, layout.buckets)
+    stored = {k: path for k, path in stored.items() if k in touched}
+    old = buckets.read(spark, layout.transaction_rows, merged_schema(), stored)
+    both = state.unionByName(old.select(*state.columns))
+    merged = transactions.merge_states(both, also=(buckets.BUCKET,))
+    buckets.write(_merged_rows(merged), layout.transaction_rows, waiting[-1])
+    _complete_filters(spark, layout)
+    return waiting[-1]
+
+
+def _complete_filters(spark: SparkSession, layout: Layout) -> None:
+    """Writes the filters of the newest version of the rows, unless they are there."""
+    done = buckets.versions(spark, layout.transaction_rows)
+    if not done or done[-1] in buckets.versions(spark, layout.transaction_keys):
+        return
+    inside = f"{layout.transaction_rows}/{buckets.VERSION}={done[-1]}"
+    numbers = tables.numbered(spark, inside, buckets.BUCKET)
+    rows = buckets.read(
+        spark,
+        layout.transaction_rows,
+        merged_schema(),
+        {k: f"{inside}/{buckets.BUCKET}={k}" for k in numbers},
+    )
+    keyed = rows.where(PRESENT).select(buckets.BUCKET, transactions.KEY)
+    filters = buckets.summary(keyed, transactions.KEY)
+    buckets.write(filters, layout.transaction_keys, done[-1])
+
+
+def _waiting_state(spark: SparkSession, layout: Layout, waiting: list[int]) -> DataFrame:
+    paths = [f"{layout.transactions}/batch_id={n}" for n in waiting]
+    rows = tables.read_folders(spark, transaction_state_schema(), paths)
+    bucket = buckets.bucket_of(transactions.KEY, layout.buckets)
+    return rows.withColumn(buckets.BUCKET, bucket)
 
 
 def read_transactions(
     spark: SparkSession, layout: Layout, before: int | None = None
 ) -> DataFrame:
-    """The current state, or the table's version before a batch."""
-    return transactions.current_rows(transaction_state(spark, layout, before))
+    """The current rows, or the table's version before a batch.
 
+    Merged rows are a plain scan of the typed columns asked for. Only keys that a waiting batch
+    touches are folded with it.
+    """
+    key, n = transactions.KEY, layout.buckets
+    columns = row_schema().fieldNames()
+    folders = buckets.folders(spark, layout.transaction_rows, n, before)
+    merged = buckets.read(spark, layout.transaction_rows, merged_schema(), folders)
+    plain = merged.where(PRESENT).select(*columns)
+    waiting = waiting_batches(spark, layout, before)
+    if not waiting:
+        return plain
+    recent = _waiting_state(spark, layout, waiting).drop(buckets.BUCKET)
+    if not folders:
+        return transactions.current_rows(transactions.merge_states(recent)).select(*columns)
+    touched = recent.select(key).distinct()
+    old = merged.join(touched, key, "left_semi").select(*recent.columns)
+    changed = transactions.current_rows(transactions.merge_states(old, recent))
+    return plain.join(touched, key, "left_anti").unionByName(changed.select(*columns))
+
+
+def version_at(spark: SparkSession, layout: Layout, instant_ms: int) -> int:
+    """The number of the first batch that came after an instant: what ``before`` takes."""
+    return tables.batch_after(spark, layout.transactions, instant_ms)
 
-def compact_transactions(spark: SparkSession, layout: Layout) -> int | None:
-    return tables.compact(spark, layout.transactions, transaction_state(spark, layout))
+
+def changes_between(
+    spark: SparkSession, layout: Layout, low: int, high: int | None, columns: Sequence[str]
+) -> DataFrame:
+    """Live rows created, changed and gone between the versions before two batches.
+
+    Only keys that the batches in between touch are looked at.
+    """
+    numbers = [
+        n
+        for n in tables.committed_batches(spark, layout.transactions)
+        if n >= low and (high is None or n < high)
+    ]
+    key = transactions.KEY
+    touched = _waiting_state(spark, layout, numbers).select(key).distinct()
+
+    def live(before: int | None) -> DataFrame:
+        rows = transactions.live(read_transactions(spark, layout, before))
+        return rows.join(touched, key, "left_semi")
+
+    return snapshot.snapshot_diff(live(low), live(high), key, columns)
 
 
 # --- customers ---------------------------------------------------------------------------------
@@ -232,5 +420,10 @@ def read_customers(
     return customers.as_versions(closed.unionByName(last))
 
 
-def compact_customers(spark: SparkSession, layout: Layout) -> int | None:
+def compact_customers(spark: SparkSession, layout: Layout, at_least: int = 1) -> int | None:
+    """Puts the last events of all customers together, if ``at_least`` so many batches are new."""
+    upto, _ = tables.newest_compaction(spark, layout.customers, customer_event_schema())
+    new = [n for n in tables.committed_batches(spark, layout.customers) if n > upto]
+    if len(new) < max(1, at_least):
+        return None
     return tables.compact(spark, layout.customers, customer_last_events(spark, layout))

@@ -21,7 +21,7 @@ from tidemark.operators import (
     snapshot,
     transactions,
 )
-from tidemark.plans import checks
+from tidemark.plans import checks, silver
 from tidemark.plans.workspace import Workspace
 from tidemark.sources import derived, feed
 from tidemark.spec import ENTITIES, TRANSACTIONS, entity
@@ -198,7 +198,10 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("amount", "status")
     earlier = rows.where(F.col("cdc_timestamp_ms") <= SNAPSHOT_MS)
     old, new = (transactions.live(transactions.upsert(r, columns)) for r in (earlier, rows))
-    diff = snapshot.snapshot_diff(old, new, "transaction_id", columns)
+    return _diff_rows(snapshot.snapshot_diff(old, new, "transaction_id", columns))
+
+
+def _diff_rows(diff: DataFrame) -> DataFrame:
     return diff.select(
         "transaction_id",
         "op",
@@ -339,14 +342,7 @@ def gold_aml_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _checked_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Event rows with codes normalized and nothing filtered."""
-    rows = Workspace.of(spark, sf_dir).bronze(name)
-    if name == "transactions":
-        return transactions.normalize_transactions(rows)
-    if name == "accounts":
-        return accounts.normalize_accounts(rows)
-    return rows.withColumns(
-        {c: F.upper(F.trim(c)) for c in ("kyc_status", "customer_segment")}
-    )
+    return quality.checked_rows(Workspace.of(spark, sf_dir).bronze(name), name)
 
 
 def _rule_report(rules):
@@ -365,6 +361,18 @@ dq_range = _rule_report(quality.range_rules)
 dq_not_null = _rule_report(quality.not_null_rules)
 
 
+def _violation_rows(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("broken", _joined("broken"))
+
+
+def dq_violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event that breaks a rule, with the rules it breaks."""
+    space = Workspace.of(spark, sf_dir)
+    return _union(
+        _violation_rows(quality.row_violations(space.bronze(name), name)) for name in ENTITIES
+    )
+
+
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys inserted more than once, and mail addresses shared by current customers."""
     space = Workspace.of(spark, sf_dir)
@@ -439,6 +447,27 @@ def dq_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_defaults_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = Workspace.of(spark, sf_dir).bronze("customers")
+    filled = quality.fill_defaults(rows, "customers", F.timestamp_millis("cdc_timestamp_ms"))
+    times = ("onboarding_date", "created_at", "updated_at")
+    return filled.select("customer_id", "cdc_operation", "_feed_offset", *[_micros(c) for c in times])
+
+
+def dq_defaults_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = Workspace.of(spark, sf_dir).bronze("transactions")
+    filled = quality.fill_defaults(rows, "transactions", F.timestamp_millis("cdc_timestamp_ms"))
+    return filled.select(
+        "transaction_id",
+        "cdc_operation",
+        "_feed_offset",
+        "is_international",
+        "status",
+        _micros("transaction_timestamp"),
+        _micros("created_at"),
+    )
+
+
 # --- Pipeline checks ---------------------------------------------------------------------------
 
 
@@ -453,6 +482,19 @@ def check_min_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def check_stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the tables as the streams have stored them."""
+    space = Workspace.of(spark, sf_dir)
+    return checks.min_records(
+        {
+            "bronze_transactions": _without_heartbeat(space.stream_bronze("transactions")),
+            "silver_transactions": _without_heartbeat(space.stream_transactions()),
+            "silver_customers": space.stream_customers(),
+            "gold_aml_alerts": space.stream_alerts(),
+        }
+    )
+
+
 def feed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace.of(spark, sf_dir)
     return _union(feed.feed_counts(space.feed(name)) for name in ENTITIES)
@@ -502,6 +544,41 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _window_rows(Workspace.of(spark, sf_dir).stream_alerts())
 
 
+def stream_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    space = Workspace.of(spark, sf_dir)
+    return _union(
+        _violation_rows(
+            space.stream_violations(name).where(
+                ~F.col("key_value").eqNullSafe(derived.HEARTBEAT_ID)
+            )
+        )
+        for name in ENTITIES
+    )
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions that came after their window was closed, in a feed with delayed messages."""
+    rows = Workspace.of(spark, sf_dir).late_inserts(SNAPSHOT_MS)
+    return rows.select(
+        "transaction_id", "account_id", _double("amount"), _micros("transaction_timestamp")
+    )
+
+
+def silver_as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table as it stood after its first batch, a later one having been merged since."""
+    space = Workspace.of(spark, sf_dir)
+    return _current_rows(silver.read_transactions(spark, space.versions(SNAPSHOT_MS), before=1))
+
+
+def silver_version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the batches since then have changed, from the keys they touched."""
+    space = Workspace.of(spark, sf_dir)
+    diff = silver.changes_between(
+        spark, space.versions(SNAPSHOT_MS), 1, None, ("amount", "status")
+    )
+    return _diff_rows(diff)
+
+
 # --- Further screening -------------------------------------------------------------------------
 
 

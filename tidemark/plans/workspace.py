@@ -21,6 +21,7 @@ from tidemark.spec import entity
 from tidemark.streaming import jobs, run
 
 SLICES = 3
+MERGE_EVERY = 2  # so that of the few batches some are merged and some are not
 SOURCE_PIECES = 32
 
 _OPEN: dict[tuple[str, str], "Workspace"] = {}
@@ -139,12 +140,59 @@ class Workspace:
         schema = bronze.rejected_messages(self.feed(name), name).schema
         return self.spark.read.schema(schema).parquet(self.streamed.quarantine(name))
 
+    def stream_violations(self, name: str) -> DataFrame:
+        self.stream_bronze(name)
+        self._once(
+            f"violations-{name}",
+            lambda: run.await_all(
+                [jobs.start_violations(self.spark, name, self.streamed, jobs.CATCH_UP)]
+            ),
+        )
+        return self.spark.read.parquet(self.streamed.violations(name))
+
+    def _in_portions(self, name: str, *portions) -> Layout:
+        """Bronze rows that reach the Silver stream one portion after the other."""
+        layout = Layout(f"{self.root}/{name}")
+
+        def bring() -> None:
+            for chosen in portions:
+                part = self.bronze("transactions").where(chosen)
+                path = layout.bronze("transactions")
+                part.write.mode("append").partitionBy("_ingestion_date").parquet(path)
+                run.await_all(
+                    [
+                        jobs.start_silver_transactions(
+                            self.spark, layout, jobs.CATCH_UP, merge_every=1
+                        )
+                    ]
+                )
+
+        self._once(name, bring)
+        return layout
+
+    def versions(self, until_ms: int) -> Layout:
+        """The feed up to an instant, then the rest: two batches, each merged."""
+        early = F.col("cdc_timestamp_ms") <= until_ms
+        layout = self._in_portions("versions", early, ~early)
+        self._once("versions-merged", lambda: silver.compact_transactions(self.spark, layout))
+        return layout
+
+    def late_inserts(self, until_ms: int) -> DataFrame:
+        """The same with some messages of the first part delayed until the second."""
+        delayed = F.floor(F.col("_feed_offset") / 10) % 70 == 13
+        early = (F.col("cdc_timestamp_ms") <= until_ms) & ~delayed
+        return silver.late_inserts(self.spark, self._in_portions("delayed", early, ~early))
+
     def stream_transactions(self) -> DataFrame:
         self.stream_bronze("transactions")
         self._once(
             "silver-transactions",
             lambda: run.await_all(
-                [jobs.start_silver_transactions(self.spark, self.streamed, jobs.CATCH_UP)]
+                [
+                    jobs.start_silver_transactions(
+                        self.spark, self.streamed, jobs.CATCH_UP, merge_every=MERGE_EVERY
+                    )
+                ]
             ),
         )
         return silver.read_transactions(self.spark, self.streamed)

@@ -19,13 +19,14 @@ def kafka_options(
     topic: str,
     servers: str,
     starting: str = STARTING_OFFSETS,
-    max_offsets: int | None = MAX_OFFSETS_PER_TRIGGER,
+    max_offsets: int | None = None,
     fail_on_data_loss: bool = False,
     min_partitions: int | None = None,
     **extra: str,
 ) -> dict[str, str]:
-    """Options of the Kafka source. Raise ``max_offsets`` (or pass None) for real volumes, and
-    ``min_partitions`` to read a topic with more tasks than it has partitions."""
+    """Options of the Kafka source. A trigger takes all there is unless ``max_offsets`` is given;
+    :data:`MAX_OFFSETS_PER_TRIGGER` suits small topics. ``min_partitions`` lets more tasks read a
+    topic than it has partitions."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

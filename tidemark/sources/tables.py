@@ -65,7 +65,7 @@ def numbered(spark: SparkSession, path: str, prefix: str = "batch_id") -> list[i
     return sorted(int(match.group(1)) for match in found if match)
 
 
-def _committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
+def committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """Batches come one after the other, so only the newest can be unfinished."""
     found = numbered(spark, path, prefix)
     while found and not exists(spark, f"{path}/{prefix}={found[-1]}/{COMMIT_MARKER}"):
@@ -74,13 +74,28 @@ def _committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
 
 
 def committed_batches(spark: SparkSession, path: str) -> list[int]:
-    return _committed(spark, path, "batch_id")
+    return committed(spark, path, "batch_id")
 
 
 def is_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
     return exists(spark, f"{path}/batch_id={batch_id}/{COMMIT_MARKER}")
 
 
+def batch_after(spark: SparkSession, path: str, instant_ms: int) -> int:
+    """The first batch committed after an instant, or one more than the last. Batches come in
+    order, so few markers are looked at."""
+    done = committed_batches(spark, path)
+    low, high = 0, len(done)
+    while low < high:
+        middle = (low + high) // 2
+        marker, fs = _path(spark, f"{path}/batch_id={done[middle]}/{COMMIT_MARKER}")
+        if fs.getFileStatus(marker).getModificationTime() > instant_ms:
+            high = middle
+        else:
+            low = middle + 1
+    return done[low] if low < len(done) else (done[-1] + 1 if done else 0)
+
+
 def write_batch(
     df: DataFrame, path: str, batch_id: int, partition_by: str | None = None
 ) -> bool:
@@ -110,7 +125,7 @@ def newest_compaction(
     """The last batch in the newest compaction and its rows; -1 and no rows if there is none."""
     done = [
         n
-        for n in _committed(spark, compacted_path(path), "upto")
+        for n in committed(spark, compacted_path(path), "upto")
         if before is None or n < before
     ]
     if not done:

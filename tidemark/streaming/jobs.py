@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.risk import RULES, RiskRules
-from tidemark.operators import bronze, customers, metrics, transactions
+from tidemark.operators import bronze, customers, metrics, quality, transactions
 from tidemark.plans import silver
 from tidemark.plans.layout import Layout
 from tidemark.sources import tables
@@ -87,6 +87,19 @@ def start_quarantine(
     ).start()
 
 
+def start_violations(
+    spark: SparkSession,
+    spec: str | Entity,
+    layout: Layout,
+    trigger: dict = SILVER_TRIGGER,
+) -> StreamingQuery:
+    """Bronze rows that break a source constraint, with the rules they break."""
+    spec = entity(spec)
+    rows = quality.row_violations(stream_bronze_table(spark, spec, layout), spec.name)
+    path = layout.violations(spec.name)
+    return _sink(rows, f"violations-{spec.name}", path, layout, trigger).start()
+
+
 def stream_bronze_table(spark: SparkSession, spec: str | Entity, layout: Layout) -> DataFrame:
     spec = entity(spec)
     schema = tables.folders_last(spec.bronze_schema, "_ingestion_date")
@@ -98,12 +111,16 @@ def start_silver_transactions(
     layout: Layout,
     trigger: dict = SILVER_TRIGGER,
     insert_ops: Sequence[str] = INSERT_OPS,
+    merge_every: int = silver.MERGE_EVERY,
 ) -> StreamingQuery:
+    """The keyed merge. ``merge_every`` batches are folded by readers before they are merged into
+    the buckets they touch: fewer rewrites against less work for readers."""
     events = transactions.clean_transactions(
         stream_bronze_table(spark, "transactions", layout)
     ).observe("silver_transactions", F.count(F.lit(1)).alias("valid_rows"))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        silver.compact_transactions(spark, layout, merge_every, before=batch_id)
         if not batch.isEmpty():
             silver.apply_transactions(batch, batch_id, layout, insert_ops)
 
@@ -118,13 +135,18 @@ def start_silver_transactions(
 
 
 def start_silver_customers(
-    spark: SparkSession, layout: Layout, trigger: dict = SILVER_TRIGGER
+    spark: SparkSession,
+    layout: Layout,
+    trigger: dict = SILVER_TRIGGER,
+    compact_every: int = silver.MERGE_EVERY,
 ) -> StreamingQuery:
+    """The customer history. After ``compact_every`` batches the last events are put together."""
     events = customers.clean_customers(
         stream_bronze_table(spark, "customers", layout)
     ).observe("silver_customers", F.count(F.lit(1)).alias("valid_rows"))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        silver.compact_customers(spark, layout, compact_every)
         if not batch.isEmpty():
             silver.apply_customers(batch, batch_id, layout)
 
@@ -139,13 +161,18 @@ def start_silver_customers(
 
 
 def insert_log(spark: SparkSession, layout: Layout) -> DataFrame:
-    """First inserts as a stream, each transaction once: what the upsert found not yet inserted."""
-    folders = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", T.LongType())])
-    schema = T.StructType([*silver.insert_schema().fields, *folders.fields])
+    """First inserts as a stream, each transaction once: what the upsert found not yet inserted.
+
+    Rows that the upsert saw come too late for their window are left out. Its clock is never
+    behind that of a query that reads the log, in whatever portions, so every other row counts.
+    """
+    folders = [T.StructField("batch_id", T.LongType()), T.StructField(silver.LATE, T.BooleanType())]
+    schema = T.StructType([*silver.insert_schema().fields, *folders])
     log = spark.readStream.schema(schema).option("ignoreMissingFiles", "true")
     return (
         log.parquet(layout.inserts)
-        .drop(*folders.fieldNames())
+        .where(~F.col(silver.LATE))
+        .drop(*[f.name for f in folders])
         .withWatermark("transaction_timestamp", metrics.LATENESS)
     )
 
