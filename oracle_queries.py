@@ -572,5 +572,6 @@ SELECT transaction_id, op AS cdc_operation, ts_ms AS cdc_timestamp_ms, pos AS _f
 FROM paired WHERE nth > 1""",
 }
 
-# The same question, asked of the stored versions.
+# The same questions, asked of the stored versions and of a stream.
 ORACLES["silver_version_diff"] = ORACLES["snapshot_diff"]
+ORACLES["stream_duplicates"] = ORACLES["ext_duplicates"]

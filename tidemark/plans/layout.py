@@ -69,5 +69,9 @@ class Layout:
     def alerts(self) -> str:
         return self._at("gold", "aml_alerts")
 
+    @property
+    def repeated_payments(self) -> str:
+        return self._at("gold", "repeated_payments")
+
     def checkpoint(self, query: str) -> str:
         return self._at("checkpoints", query)

@@ -556,6 +556,11 @@ def stream_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = Workspace.of(spark, sf_dir).stream_duplicates()
+    return _without_heartbeat(rows).withColumn("amount", F.col("amount").cast("double"))
+
+
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions that came after their window was closed, in a feed with delayed messages."""
     rows = Workspace.of(spark, sf_dir).late_inserts(SNAPSHOT_MS)

@@ -215,6 +215,16 @@ class Workspace:
         )
         return self.spark.read.parquet(self.streamed.metrics)
 
+    def stream_duplicates(self) -> DataFrame:
+        self.stream_bronze("transactions")
+        self._once(
+            "repeated-payments",
+            lambda: run.await_all(
+                [jobs.start_repeated_payments(self.spark, self.streamed, jobs.CATCH_UP)]
+            ),
+        )
+        return self.spark.read.parquet(self.streamed.repeated_payments)
+
     def stream_alerts(self) -> DataFrame:
         self.stream_metrics()
         self._once(

@@ -20,6 +20,7 @@ from tidemark.plans import silver
 from tidemark.plans.layout import Layout
 from tidemark.sources import tables
 from tidemark.spec import GOLD_ALERTS, GOLD_METRICS, INSERT_OPS, Entity, ddl, entity
+from tidemark.streaming import duplicates
 
 CATCH_UP = {"availableNow": True}
 
@@ -187,6 +188,16 @@ def start_metrics(
     return _sink(rows, "gold-metrics", layout.metrics, layout, trigger).start()
 
 
+def start_repeated_payments(
+    spark: SparkSession, layout: Layout, trigger: dict = GOLD_TRIGGER, minutes: int = 10
+) -> StreamingQuery:
+    """Payments that repeat one shortly before, off the Bronze table."""
+    events = transactions.clean_transactions(stream_bronze_table(spark, "transactions", layout))
+    inserts = events.where(F.col("cdc_operation").isin(*INSERT_OPS))
+    rows = duplicates.repeated_payments(inserts, minutes)
+    return _sink(rows, "repeated-payments", layout.repeated_payments, layout, trigger).start()
+
+
 def start_alerts(
     spark: SparkSession,
     layout: Layout,
