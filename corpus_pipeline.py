@@ -56,7 +56,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .groupBy("component_id")
         .agg(F.min(F.struct("doc_id", row))[row].alias(row))
     )
-    first = named.join(stored(kept.select(row), "kept"), row, "left_semi")
+    # The rows kept grow with the corpus, so they are never broadcast, however few there are.
+    kept = stored(kept.select(row), "kept").hint("merge")
+    first = named.join(kept, row, "left_semi")
     return first.unionByName(rows.where("doc_id IS NULL")).select(docs.columns)
 
 
