@@ -3,6 +3,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from rows import parsed, same_rows, transaction
 
 from tidemark.operators import transactions as tx
@@ -191,3 +192,20 @@ def test_all_orders_of_three_events(spark):
         current(spark, list(order))["T1"].amount for order in itertools.permutations(events)
     }
     assert results == {Decimal("3.00")}
+
+
+def test_live_at_two_times_equals_two_upserts(spark):
+    from tidemark.operators import snapshot
+
+    r = random.Random(17)
+    rows = [transaction(r.randrange(20), r.choice("ccruud"), r.randrange(60), amount=float(r.randrange(5))) for _ in range(150)]
+    events = cleaned(spark, rows)
+    early = F.col("_source_ts_ms") <= 30
+    columns = ("amount", "status")
+    got = snapshot.compare(tx.live_at_two_times(events, early, columns), tx.KEY)
+    old, new = (
+        tx.live(tx.current_rows(tx.collapse(e, columns), columns)) for e in (events.where(early), events)
+    )
+    want = snapshot.snapshot_diff(old, new, tx.KEY, columns)
+    assert {x.op for x in want.collect()} == {"c", "u", "d"}
+    same_rows(got, want)

@@ -29,13 +29,14 @@ def snapshot_diff(
     columns = list(columns or [c for c in new.columns if c != key])
     before = old.select(key, F.struct(*columns).alias("before"))
     after = new.select(key, F.struct(*columns).alias("after"))
+    return compare(before.join(after, key, "full_outer"), key)
+
+
+def compare(rows: DataFrame, key: str) -> DataFrame:
+    """Rows (key, before, after) that differ, with what happened to them."""
     op = (
-        F.when(F.col("before").isNull(), "c")
-        .when(F.col("after").isNull(), "d")
+        F.when(F.col("before").isNull() & F.col("after").isNotNull(), "c")
+        .when(F.col("before").isNotNull() & F.col("after").isNull(), "d")
         .when(~F.col("before").eqNullSafe(F.col("after")), "u")
     )
-    return (
-        before.join(after, key, "full_outer")
-        .select(key, op.alias("op"), "before", "after")
-        .where(F.col("op").isNotNull())
-    )
+    return rows.select(key, op.alias("op"), "before", "after").where(F.col("op").isNotNull())

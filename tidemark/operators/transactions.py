@@ -82,17 +82,49 @@ def collapse(
 
     ``insert_ops=("c",)`` leaves rows that came with the initial snapshot out.
     """
-    image = F.struct("_source_ts_ms", "_source_offset", *columns, "_is_deleted")
     op = F.col("cdc_operation")
-    return (
-        events.where(op.isin(*insert_ops, *CHANGE_OPS))
+    grouped = events.where(op.isin(*insert_ops, *CHANGE_OPS)).groupBy(KEY)
+    return grouped.agg(*_fold(columns, insert_ops))
+
+
+def _fold(columns: Sequence[str], insert_ops: Sequence[str], counts: Column | None = None):
+    image = F.struct("_source_ts_ms", "_source_offset", *columns, "_is_deleted")
+    op, counts = F.col("cdc_operation"), F.lit(True) if counts is None else counts
+    return [
+        F.min(F.when(op.isin(*insert_ops) & counts, image)).alias(FIRST),
+        F.max(F.when(op.isin(*CHANGE_OPS) & counts, image)).alias(LAST),
+    ]
+
+
+def live_at_two_times(
+    events: DataFrame,
+    early: Column,
+    columns: Sequence[str],
+    insert_ops: Sequence[str] = INSERT_OPS,
+) -> DataFrame:
+    """Per key the live row's ``columns`` by the events for which ``early`` holds, ``before``, and by
+    all events, ``after``; null where there is none. One scan, one aggregation, no join."""
+    first, last = _fold(columns, insert_ops)
+    early_first, early_last = _fold(columns, insert_ops, early)
+    both = (
+        events.where(F.col("cdc_operation").isin(*insert_ops, *CHANGE_OPS))
         .groupBy(KEY)
         .agg(
-            F.min(F.when(op.isin(*insert_ops), image)).alias(FIRST),
-            F.max(F.when(op.isin(*CHANGE_OPS), image)).alias(LAST),
+            F.struct(early_first, early_last).alias("_early"), F.struct(first, last).alias("_all")
         )
     )
 
+    def row(state: str) -> Column:
+        one, two = F.col(f"{state}.{FIRST}"), F.col(f"{state}.{LAST}")
+        newer = F.struct(two["_source_ts_ms"], two["_source_offset"]) > F.struct(
+            one["_source_ts_ms"], one["_source_offset"]
+        )
+        current = F.when(F.coalesce(newer, F.lit(False)), two).otherwise(one)
+        live = one.isNotNull() & ~current["_is_deleted"]
+        return F.when(live, F.struct(*[current[c].alias(c) for c in columns]))
+
+    return both.select(KEY, row("_early").alias("before"), row("_all").alias("after"))
+
 
 def merge_states(*states: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Several state relations to one, e.g. the stored table and a new batch. ``also`` names

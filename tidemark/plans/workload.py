@@ -194,11 +194,9 @@ def silver_orphan_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live transactions as they stood in mid-feed against those at its end."""
-    rows = Workspace.of(spark, sf_dir).bronze("transactions")
-    columns = ("amount", "status")
-    earlier = rows.where(F.col("cdc_timestamp_ms") <= SNAPSHOT_MS)
-    old, new = (transactions.live(transactions.upsert(r, columns)) for r in (earlier, rows))
-    return _diff_rows(snapshot.snapshot_diff(old, new, "transaction_id", columns))
+    early = F.col("_source_ts_ms") <= SNAPSHOT_MS
+    rows = transactions.live_at_two_times(_events(spark, sf_dir), early, ("amount", "status"))
+    return _diff_rows(snapshot.compare(rows, "transaction_id"))
 
 
 def _diff_rows(diff: DataFrame) -> DataFrame:

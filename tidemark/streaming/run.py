@@ -26,7 +26,10 @@ def await_any(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     """Blocks until one of the queries ends, then stops the rest. A failure is raised whichever
     query it came from; an interrupt stops all of them."""
     try:
-        spark.streams.awaitAnyTermination()
+        # Other queries of the session that have ended before are no reason to return.
+        spark.streams.resetTerminated()
+        if all(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination()
     finally:
         stop_all(queries)
     for query in queries:
