@@ -1,4 +1,7 @@
 import gzip
+import html
+import html.parser
+import zlib
 
 from brute import table_rows
 
@@ -60,6 +63,73 @@ def test_encodings():
     assert set(text_of(response(b"\x89PNG", ("Content-Type: image/png",)))) == {"metadata"}
 
 
+def test_packed_bodies_that_do_and_do_not_unpack(monkeypatch):
+    kind = "Content-Type: text/html"
+    page = b"<p>" + b"some words " * 500
+    want = " ".join(["some words"] * 500)
+    raw = zlib.compressobj(wbits=-15)
+    for coding, body in (
+        ("gzip", gzip.compress(page)), ("x-gzip", gzip.compress(page[:9]) + gzip.compress(page[9:])),
+        ("deflate", zlib.compress(page)), ("deflate", raw.compress(page) + raw.flush()), ("identity", page),
+        ("deflate, gzip", gzip.compress(zlib.compress(page))),
+    ):
+        assert text_of(response(body, (kind, f"Content-Encoding: {coding}")))["conversion"] == want
+    for coding, body, why in (
+        ("br", b"\x0b\x02\x80", "unknown coding br"), ("gzip", gzip.compress(page)[:60], "broken"),
+        ("deflate", b"\xff\xfe\xfd", "broken"), ("gzip", b"\x1f\x8bjunk", "broken"),
+    ):
+        made = text_of(response(body, (kind, f"Content-Encoding: {coding}")))
+        assert set(made) == {"metadata"} and f"body-not-decoded: {why}\r\n" in made["metadata"]
+    monkeypatch.setattr(op, "MOST_BYTES", 4000)
+    made = text_of(response(gzip.compress(page), (kind, "Content-Encoding: gzip")))
+    assert set(made) == {"metadata"} and "body-not-decoded: too large" in made["metadata"]
+
+
+def test_characters():
+    page = "<meta charset='{}'><p>é</p>"
+    kind = ("Content-Type: text/html",)
+    assert text_of(response(page.format("latin-1").encode("latin-1"), kind))["conversion"] == "é"
+    assert text_of(response(page.format("latin-1").encode(), ("Content-Type: text/html; charset=utf-8",)))["conversion"] == "é"
+    assert text_of(response("<?xml version='1.0' encoding='cp1252'?><p>é".encode("cp1252"), ("Content-Type: text/xml",)))["conversion"] == "é"
+    for codec in ("utf-8-sig", "utf-16"):
+        assert text_of(response(page.format("latin-1").encode(codec), kind))["conversion"] == "é"
+
+
+def test_tags_end_outside_quotes():
+    assert op.plain_text('<p title="a > b">x</p>') == "x"
+    assert op.plain_text("<a href='>' class=b>y</a><DIV data-x=\"1>2\"/>z") == "y\nz"
+    assert op.plain_text('<p title="never ends>text<b>more</b>') == "textmore"
+    assert op.plain_text("a <b c") == "a" and op.plain_text("2 < 3 <!x> </> &lt;p&gt;") == "2 < 3 <p>"
+
+
+class Reader(html.parser.HTMLParser):
+    """Another reading of the same rule, by the parser of the standard library."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.silent = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.silent += tag in ("script", "style", "title", "template", "noscript")
+        self.out.append("\n" if tag in op._BREAKING else "")
+
+    def handle_endtag(self, tag):
+        self.silent -= tag in ("script", "style", "title", "template", "noscript")
+        self.out.append("\n" if tag in op._BREAKING else "")
+
+    def handle_data(self, data):
+        self.out.append(" " if self.silent else data.replace("\n", " "))
+
+
+def test_conversions_of_source_pages_equal_another_reading(spark):
+    for r in table_rows(spark, "pages"):
+        reader = Reader()
+        reader.feed(r.html)
+        reader.close()
+        lines = (" ".join(x.split()) for x in "".join(reader.out).split("\n"))
+        assert op.plain_text(r.html) == "\n".join(x for x in lines if x)
+
+
 def test_digests_are_preserved_and_compared():
     right = op.digest(b"x")
     for stated, verified in ((right, True), (right.lower(), True), ("sha1:AAAA", False), (None, None)):

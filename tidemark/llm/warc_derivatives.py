@@ -9,8 +9,13 @@ source's id and its kind, so a task that runs twice makes the same records.
 Digests are SHA-1 in base32, as usual in WARC files. A stated digest is kept as stated, and it is
 compared with the bytes: ``verified`` is true, false, or null where none is stated.
 
+The text's characters are read by a byte order mark, else the charset of the HTTP header, else the one
+that the page states in its first 1,024 bytes, else as UTF-8. A quoted attribute value may hold ``>``.
+
 Records of other types, and bytes that are no WARC record, give no derivative. A response that is
-neither text nor markup gives a metadata record alone. A null record gives nothing, an empty
+neither text nor markup gives a metadata record alone, and so does one whose body cannot be unpacked: an
+unknown coding, broken data, or more than ``MOST_BYTES``; the metadata record then says why. A body
+that is stated to be packed but does not begin like it is taken as it is. A null record gives nothing, an empty
 payload an empty text. Repeated records are derived each, with equal ids. Columns named in
 ``columns`` are carried along; others are ignored.
 
@@ -20,7 +25,6 @@ Each task reads and writes its own rows one by one; there is no shuffle.
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import re
 import uuid
@@ -36,18 +40,27 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_batches, slices
 
 SLICE_BYTES = 4 << 20
+MOST_BYTES = 1 << 28
+"""Of an unpacked body. A few bytes can unpack to more than a task can hold."""
 LINE = b"\r\n"
 
 _SILENT = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|title|template|noscript)\b.*?(?:</\1\s*>|\Z)", re.S | re.I
 )
-_BREAK = re.compile(
-    r"</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|header|footer|nav|aside|main|form|"
-    r"blockquote|pre|dl|dt|dd|figure|figcaption|body|html|head|hr)\b[^>]*>",
-    re.I,
+_BREAKING = frozenset(
+    "p div br li ul ol h1 h2 h3 h4 h5 h6 tr table section article header footer nav aside main form "
+    "blockquote pre dl dt dd figure figcaption body html head hr".split()
+)
+# A tag ends at the first > outside quotes; with a quote that never ends, at the first > at all.
+_TAG = re.compile(
+    r"<[!?][^>]*(?:>|\Z)"
+    r"|</?([a-zA-Z][^\s/>]*)(?>[^'\">]+|\"[^\"]*\"|'[^']*')*+(?:>|\Z)"
+    r"|</?([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
+    r"|</[^>]*(?:>|\Z)"
 )
-_TAG = re.compile(r"<[/!?a-zA-Z][^>]*(?:>|\Z)")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
+_ENCODING = re.compile(r"<\?xml[^>]*?encoding\s*=\s*[\"']([\w.:-]+)", re.I)
+_MARKS = ((b"\xef\xbb\xbf", "utf-8"), (b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be"))
 
 
 def digest(data: bytes) -> str:
@@ -128,28 +141,74 @@ def _unchunked(data: bytes) -> bytes:
     return b"".join(out)
 
 
+class Undecoded(Exception):
+    """A body that cannot be unpacked; says why."""
+
+
+def _unpacked(data: bytes, bits: int) -> bytes:
+    """Deflated data of any number of members, unpacked a part at a time."""
+    out, size = [], 0
+    while data:
+        unpack = zlib.decompressobj(bits)
+        while not unpack.eof:
+            part = unpack.decompress(data, 1 << 20)
+            size += len(part)
+            if size > MOST_BYTES:
+                raise Undecoded("too large")
+            if not part and not unpack.unconsumed_tail and not unpack.eof:
+                raise Undecoded("broken")
+            out.append(part)
+            data = unpack.unconsumed_tail or unpack.unused_data
+        if bits < 31 or not data.startswith(b"\x1f\x8b"):
+            break  # only gzip has members; what else follows is padding
+    return b"".join(out)
+
+
 def body_of(response: Response) -> bytes:
-    """The payload with transfer and content encodings undone; as it is where that fails."""
+    """The payload with transfer and content encodings undone."""
     data = response.payload
     if "chunked" in response.get("Transfer-Encoding").lower():
         data = _unchunked(data)
-    coding = response.get("Content-Encoding").lower()
-    try:
-        if "gzip" in coding:
-            return gzip.decompress(data)
-        if "deflate" in coding:
-            return zlib.decompress(data)
-    except (OSError, EOFError, zlib.error):
-        return response.payload
+    codings = [c.strip() for c in response.get("Content-Encoding").lower().split(",")]
+    for coding in reversed(codings):
+        try:
+            if coding in ("gzip", "x-gzip"):
+                data = _unpacked(data, 31) if data.startswith(b"\x1f\x8b") else data
+            elif coding == "deflate":
+                try:
+                    data = _unpacked(data, 15)
+                except zlib.error:
+                    data = _unpacked(data, -15)
+            elif coding not in ("", "identity"):
+                raise Undecoded(f"unknown coding {coding}")
+        except zlib.error as error:
+            raise Undecoded("broken") from error
     return data
 
 
+def decoded(body: bytes, kind: str) -> str:
+    """The characters of a body of content type ``kind``."""
+    for mark, charset in _MARKS:
+        if body.startswith(mark):
+            return body[len(mark) :].decode(charset, "replace")
+    stated = _CHARSET.search(kind)
+    if not stated and not re.match(r"text/plain", kind, re.I):
+        start = body[:1024].decode("latin-1")
+        stated = _ENCODING.search(start) or _CHARSET.search(start)
+    try:
+        return body.decode(stated[1] if stated else "utf-8", "replace")
+    except LookupError:
+        return body.decode("utf-8", "replace")
+
+
 def plain_text(markup: str) -> str:
     """All visible text; blanks made one, a line for each block."""
-    text = _SILENT.sub(" ", markup)
-    text = re.sub(r"\s+", " ", text)
-    text = _TAG.sub("", _BREAK.sub("\n", text))
-    lines = (" ".join(unescape(line).split()) for line in text.split("\n"))
+
+    def edge(tag: re.Match) -> str:
+        return "\n" if (tag[1] or tag[2] or "").lower() in _BREAKING else ""
+
+    text = re.sub(r"\s+", " ", _SILENT.sub(" ", markup))
+    lines = (" ".join(unescape(line).split()) for line in _TAG.sub(edge, text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
@@ -186,18 +245,18 @@ def derive(data: bytes | None) -> list[tuple]:
     fields += [(f"warc-header-{n.lower()}", v) for n, v in source.headers]
     fields += [(f"http-header-{n.lower()}", v) for n, v in response.headers]
     fields += [("payload-digest", found), ("payload-length", str(len(response.payload)))]
-    lines = "".join(f"{n}: {v}\r\n" for n, v in fields)
-    out = [record("metadata", "application/warc-fields", lines.encode())]
+    text = None
     if re.match(r"text/|application/(xhtml\+)?xml", kind, re.I):
-        charset = _CHARSET.search(kind)
-        body = body_of(response)
         try:
-            text = body.decode(charset[1] if charset else "utf-8", "replace")
-        except LookupError:
-            text = body.decode("utf-8", "replace")
+            text = decoded(body_of(response), kind)
+        except Undecoded as why:
+            fields.append(("body-not-decoded", str(why)))
+    lines = "".join(f"{n}: {v}\r\n" for n, v in fields)
+    out = [record("metadata", "application/warc-fields", lines.encode())]
+    if text is not None:
         if not re.match(r"text/plain", kind, re.I):
             text = plain_text(text)
-        out.append(record("conversion", "text/plain; charset=utf-8", text.encode()))
+        out.append(record("conversion", "text/plain; charset=utf-8", text.encode(errors="replace")))
     return out
 
 
