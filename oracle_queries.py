@@ -575,3 +575,12 @@ FROM paired WHERE nth > 1""",
 # The same questions, asked of the stored versions and of a stream.
 ORACLES["silver_version_diff"] = ORACLES["snapshot_diff"]
 ORACLES["stream_duplicates"] = ORACLES["ext_duplicates"]
+ORACLES["stream_customers_as_of"] = ORACLES["silver_customers_as_of"]
+
+# The feed of transactions ends with one message of its own.
+ORACLES["batch_log"] = f"""WITH {TX}, {CU}
+SELECT 'bronze-transactions' AS query, (SELECT count(*) + 1 FROM tx_sent) AS input_rows,
+  (SELECT count(*) + 1 FROM tx) AS observed_rows
+UNION ALL SELECT 'rejected-transactions', (SELECT count(*) + 1 FROM tx_sent), 0
+UNION ALL SELECT 'bronze-customers', (SELECT count(*) FROM cu), (SELECT count(*) FROM cu)
+UNION ALL SELECT 'rejected-customers', (SELECT count(*) FROM cu), 0"""

@@ -132,3 +132,26 @@ def test_violations_are_a_stream_of_their_own(spark, run_dir, layout):
     out = spark.read.parquet(layout.violations("transactions")).collect()
     assert sorted((x.key_value, x.broken) for x in out) == [
         ("T1", ["domain:status"]), ("T2", ["range:amount"])]
+
+
+def test_batches_are_kept_as_rows(spark, run_dir, layout):
+    topic = Topic(spark, f"{run_dir}/topic")
+    topic.send(at(1, 0), at(2, 0), None)
+    table = run.batch_table(spark, layout)
+    try:
+        for _ in range(2):
+            run.catch_up_bronze(lambda _: topic.stream(), layout, ["transactions"])
+            topic.send(at(3, 0))
+        spark._jsc.sc().listenerBus().waitUntilEmpty()
+        assert table.flush(spark) == 4 and table.flush(spark) == 0
+    finally:
+        spark.streams.removeListener(table)
+    rows = run.read_batch_log(spark, layout).orderBy("query", "batch_id").collect()
+    assert [(r.query, r.batch_id, r.input_rows, r.observed) for r in rows] == [
+        ("bronze-transactions", 0, 3, {"bronze_transactions.rows": 2}),
+        ("bronze-transactions", 1, 1, {"bronze_transactions.rows": 1}),
+        ("rejected-transactions", 0, 3, {}),
+        ("rejected-transactions", 1, 1, {}),
+    ]
+    assert all(r.duration_ms > 0 for r in rows)
+    assert run.read_batch_log(spark, Layout(run_dir + "/none")).count() == 0

@@ -73,5 +73,10 @@ class Layout:
     def repeated_payments(self) -> str:
         return self._at("gold", "repeated_payments")
 
+    @property
+    def batch_log(self) -> str:
+        """What each micro-batch of every query has read and observed."""
+        return self._at("monitoring", "batch_log")
+
     def checkpoint(self, query: str) -> str:
         return self._at("checkpoints", query)

@@ -493,6 +493,16 @@ def check_stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the batches of each Bronze query have read in all, and the rows they observed. (In the
+    Silver jobs Spark counts the rows of a batch as often as the batch is evaluated.)"""
+    log = Workspace.of(spark, sf_dir).batch_log().where(~F.startswith("query", F.lit("silver-")))
+    observed = F.aggregate(F.map_values("observed"), F.lit(0).cast("long"), lambda a, n: a + n)
+    return log.groupBy("query").agg(
+        F.sum("input_rows").alias("input_rows"), F.sum(observed).alias("observed_rows")
+    )
+
+
 def feed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace.of(spark, sf_dir)
     return _union(feed.feed_counts(space.feed(name)) for name in ENTITIES)
@@ -534,6 +544,13 @@ def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _version_rows(Workspace.of(spark, sf_dir).stream_customers())
 
 
+def stream_customers_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored history asked for an instant: a filter on its intervals."""
+    versions = Workspace.of(spark, sf_dir).stream_customers()
+    rows = customers.valid_at(versions, F.timestamp_millis(F.lit(AS_OF_MS)))
+    return rows.select(*_customer_columns("_source_ts_ms", "_source_offset"))
+
+
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _window_rows(Workspace.of(spark, sf_dir).stream_metrics())
 

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable, Iterable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.plans.layout import Layout
+from tidemark.sources import tables
+from tidemark.spec import ddl
 from tidemark.streaming import jobs
 
 LOG = logging.getLogger(__name__)
@@ -134,6 +139,75 @@ def log_batches(spark: SparkSession) -> BatchLog:
     return listener
 
 
+BATCH_LOG = (
+    "query string, batch_id long, started_at timestamp, input_rows long, observed map<string,long>, "
+    "duration_ms long"
+)
+
+
+class BatchTable(StreamingQueryListener):
+    """Keeps a row per micro-batch and writes the rows it has to the batch log when asked to.
+
+    ``flush`` appends one small file; call it now and then, and at the end. A batch that is
+    reported again, as after a restart, is there twice: readers take the last report.
+    """
+
+    def __init__(self, layout: Layout):
+        self.layout, self._rows, self._lock = layout, [], threading.Lock()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        observed = {
+            f"{name}.{key}": int(value)
+            for name, row in (p.observedMetrics or {}).items()
+            for key, value in row.asDict().items()
+            if value is not None
+        }
+        if not p.numInputRows and not observed:
+            return
+        job = (p.name or "").rsplit("@", 1)
+        if len(job) == 2 and job[1] != self.layout.root:
+            return  # a job of another installation in the same session
+        started = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00"))
+        took = sum((p.durationMs or {}).get(k, 0) for k in ("triggerExecution",))
+        with self._lock:
+            self._rows.append((job[0], p.batchId, started, p.numInputRows, observed, took))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def flush(self, spark: SparkSession) -> int:
+        """Writes the rows so far; returns how many."""
+        with self._lock:
+            rows, self._rows = self._rows, []
+        if rows:
+            frame = spark.createDataFrame(rows, BATCH_LOG).coalesce(1)
+            frame.write.mode("append").parquet(self.layout.batch_log)
+        return len(rows)
+
+
+def batch_table(spark: SparkSession, layout: Layout) -> BatchTable:
+    """Adds a :class:`BatchTable` to the session."""
+    listener = BatchTable(layout)
+    spark.streams.addListener(listener)
+    return listener
+
+
+def read_batch_log(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The last report of each batch."""
+    tables.create_if_missing(spark, layout.batch_log, ddl(BATCH_LOG))
+    rows = spark.read.schema(BATCH_LOG).parquet(layout.batch_log)
+    rest = [c for c in rows.columns if c not in ("query", "batch_id")]
+    last = F.max_by(F.struct(*rest), "started_at").alias("last")
+    return rows.groupBy("query", "batch_id").agg(last).select("query", "batch_id", "last.*")
+
+
 def progress_report(query: StreamingQuery) -> list[dict]:
     """Rows read and observed per micro-batch that Spark still remembers."""
     return [
