@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from rows import MINUTE_US, T0_US, customer, messages, transaction
 from test_streaming import Topic, at, beat, catch_up, gold
 
-from tidemark.operators import bronze, quality, transactions
+from tidemark.operators import bronze, metrics, quality, transactions
 from tidemark.plans import silver
 from tidemark.plans.layout import Layout
 from tidemark.sources import tables
@@ -59,9 +59,22 @@ def test_rows_without_a_time_are_not_late(spark, run_dir):
     rows = [at(2, 0), transaction(3, transaction_timestamp=None)]
     silver.apply_transactions(events(spark, rows, 5), 1, layout)
     assert [x.transaction_id for x in silver.late_inserts(spark, layout).collect()] == ["T2"]
+    logged = {x.transaction_id: x.is_late for x in silver.log_rows(spark, layout).collect()}
+    assert logged == {"T1": False, "T2": True, "T3": False}
     assert silver.log_rows(spark, Layout(run_dir + "/none")).count() == 0
 
 
+def test_windows_end_where_sparks_windows_end(spark):
+    edges = [-1, 0, 1, 60 * MINUTE_US - 1, 60 * MINUTE_US, T0_US, T0_US + 1, T0_US - 1]
+    rows = spark.createDataFrame([(x,) for x in edges], "us long").withColumn("t", F.timestamp_micros("us"))
+    end = F.unix_micros(F.window("t", metrics.WINDOW)["end"])
+    for wait in (0, 1):
+        # Late exactly from ten minutes after the window's end on.
+        newest = F.col("end") + 10 * MINUTE_US - wait
+        late = rows.withColumn("end", end).select(metrics.is_late("t", newest).alias("late"))
+        assert {r.late for r in late.collect()} == {wait == 0}
+
+
 def test_late_rows_leave_the_windows_alone(spark, run_dir, layout):
     topic = Topic(spark, f"{run_dir}/topic")
     topic.send(at(1, 0), beat(200))

@@ -27,11 +27,19 @@ def countable(rows: DataFrame, status: str = "COMPLETED") -> DataFrame:
     )
 
 
-def is_late(time: str, newest: Column, length: str = WINDOW, lateness: str = LATENESS) -> Column:
-    """Whether a row belongs to a window that ended ``lateness`` or more before ``newest``, the latest
-    time seen before the row came. Rows without a time, and rows before any, are not late."""
-    end = F.window(F.col(time), length)["end"]
-    return F.coalesce(end <= newest - F.expr(f"INTERVAL {lateness}"), F.lit(False))
+def _micros(interval: str) -> Column:
+    return F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {interval}"))
+
+
+def is_late(
+    time: str, newest_us: Column, length: str = WINDOW, lateness: str = LATENESS
+) -> Column:
+    """Whether a row belongs to a window that ended ``lateness`` or more before ``newest_us``, the
+    latest time seen before the row came, in microseconds. Rows without a time, and rows before any, are
+    not late. (Spark's own ``window`` would drop rows without a time.)"""
+    us = F.unix_micros(time)
+    end = us - F.pmod(us, _micros(length)) + _micros(length)
+    return F.coalesce(end <= newest_us - _micros(lateness), F.lit(False))
 
 
 def account_windows(rows: DataFrame, length: str = WINDOW) -> DataFrame:

@@ -96,7 +96,7 @@ def apply_transactions(
     try:
         new = _not_yet_inserted(state, batch_id, layout, kept)
         newest = _clock(state.sparkSession, layout, batch_id)
-        late = metrics.is_late("transaction_timestamp", F.timestamp_micros(F.lit(newest).cast("long")))
+        late = metrics.is_late("transaction_timestamp", F.lit(newest).cast("long"))
         tables.write_batch(new.withColumn(LATE, late), layout.inserts, batch_id, LATE)
         _set_clock(state.sparkSession, layout, batch_id, newest)
         return tables.write_batch(state, layout.transactions, batch_id)
