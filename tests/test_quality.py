@@ -73,6 +73,10 @@ def test_cascade(spark):
     lost = quality.cascade_accounts(gone, acc)
     assert sorted(r.account_id for r in lost.collect()) == ["A1", "A2"]
     assert quality.cascade_transactions(lost, txs).count() == 20
+    both = quality.cascade(gone, acc, txs)
+    want = [("accounts", r.account_id) for r in lost.collect()]
+    want += [("transactions", r.transaction_id) for r in quality.cascade_transactions(lost, txs).collect()]
+    assert sorted(tuple(r) for r in both.collect()) == sorted(want)
 
 
 def test_defaults(spark):

@@ -181,6 +181,26 @@ def cascade_transactions(deleted_accounts: DataFrame, transactions: DataFrame) -
     return filter_by_keys(transactions, gone, "account_id", "left_semi", ["transaction_id"])
 
 
+def cascade(deleted_customers: DataFrame, accounts: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Rows (entity, key_value) of all accounts and transactions that go with their customers.
+
+    Both are rows that hang on an account, its own row and the rows that name it, so the accounts that
+    go are found once and filter the two together.
+    """
+    lost = cascade_accounts(deleted_customers, accounts)
+    hanging = accounts.select(
+        "account_id", F.lit("accounts").alias("entity"), F.col("account_id").alias("key_value")
+    ).unionByName(
+        transactions.select(
+            "account_id", F.lit("transactions").alias("entity"), F.col("transaction_id").alias("key_value")
+        )
+    )
+    gone = filter_by_keys(
+        hanging, lost.select("account_id"), "account_id", "left_semi", ["entity", "key_value"]
+    )
+    return gone.select("entity", "key_value")
+
+
 def fill_defaults(rows: DataFrame, entity: str, written_at=None) -> DataFrame:
     return rows.withColumns(
         {

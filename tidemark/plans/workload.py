@@ -418,16 +418,8 @@ def dq_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
         _customer_events(spark, sf_dir), (customers.KEY, "cdc_operation")
     )
     gone = last.where(F.col("cdc_operation") == "d")
-    lost_accounts = quality.cascade_accounts(gone, _current_keys(spark, sf_dir, "accounts"))
-    lost = quality.cascade_transactions(
-        lost_accounts, _current_keys(spark, sf_dir, "transactions")
-    )
-    return lost_accounts.select(
-        F.lit("accounts").alias("entity"), F.col("account_id").alias("key_value")
-    ).unionByName(
-        lost.select(
-            F.lit("transactions").alias("entity"), F.col("transaction_id").alias("key_value")
-        )
+    return quality.cascade(
+        gone, _current_keys(spark, sf_dir, "accounts"), _current_keys(spark, sf_dir, "transactions")
     )
 
 
