@@ -63,3 +63,13 @@ def test_key_filters_are_the_plain_joins(spark, rows, how):
 def test_other_join_kinds_are_refused(spark, rows):
     with pytest.raises(ValueError):
         skew.filter_by_keys(rows, rows, "a", "inner", ["id"])
+
+
+@pytest.mark.parametrize("step", [1, -1])
+def test_neighbours_read_their_input_once_and_join_nothing(spark, rows, step):
+    plan = skew.with_neighbour(rows, KEYS, order(), "n", F.col("v"), step, F.col("t"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("InMemoryTableScan") == 1
+    assert text.count("Exchange hashpartitioning") == 2
+    counted = plan.agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in counted and "hashpartitioning" not in counted

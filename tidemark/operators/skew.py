@@ -2,8 +2,9 @@
 
 A window over a key puts the whole key in one task. Here every key is cut by a fixed stretch of
 time, ``STRETCH_MS`` of the order column. The window runs per (key, stretch), so a task holds what
-one key does in that time, however long its history. One summary row per (key, stretch) carries
-what the next stretch needs; the summaries are combined per key and joined back on (key, stretch).
+one key does in that time, however long its history. One row per (key, stretch) carries what the
+next stretch needs: for neighbours the row at its edge, in a second window over the edges of a key;
+for sums a summary, combined per key and joined back on (key, stretch).
 All data takes this one path. Keys must not be null.
 """
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 STRETCH_MS = 3_600_000
 SALTS = 16
 
-_STRETCH, _EDGE, _SALT = "_stretch", "_edge", "_salt"
+_STRETCH, _PART, _EDGE, _SALT = "_stretch", "_stretch_part", "_edge", "_salt"
 # Where the order column is null; sorts first, as nulls do.
 _BEFORE_ALL = -(1 << 62)
 
@@ -40,25 +41,25 @@ def with_neighbour(
 
     ``millis`` is the first order column in milliseconds.
     """
-    shift, at_edge = (F.lead, F.min_by) if step > 0 else (F.lag, F.max_by)
-    rows = _cut(df, millis)
+    shift, nearest = (F.lead, F.first_value) if step > 0 else (F.lag, F.last_value)
     # Wrapped in a struct, "no neighbour in this stretch" and "neighbour is null" stay apart.
     boxed = F.struct(value.alias("v"))
-    edges = (
-        rows.groupBy(*keys, _STRETCH)
-        .agg(at_edge(boxed, F.struct(*order)).alias("_row"))
-        .select(
-            *keys,
-            _STRETCH,
-            shift("_row").over(Window.partitionBy(*keys).orderBy(_STRETCH)).alias(_EDGE),
-        )
+    stretch = Window.partitionBy(*keys, _STRETCH).orderBy(*order)
+    whole = stretch.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    inside = _cut(df, millis).withColumns(
+        {"_inner": shift(boxed).over(stretch), _EDGE: nearest(boxed).over(whole)}
+    )
+    at_edge = F.col("_inner").isNull()
+    # One row per stretch is at its edge and shows the others what they find there; a key's edges
+    # meet, and all other rows stay where their stretch is.
+    rows = inside.withColumns(
+        {_EDGE: F.when(at_edge, F.col(_EDGE)), _PART: F.when(~at_edge, F.col(_STRETCH))}
     )
-    inner = shift(boxed).over(Window.partitionBy(*keys, _STRETCH).orderBy(*order))
+    beyond = shift(_EDGE).over(Window.partitionBy(*keys, _PART).orderBy(_STRETCH))
     return (
-        rows.withColumn("_inner", inner)
-        .join(edges, [*keys, _STRETCH])
-        .withColumn(name, F.coalesce("_inner", _EDGE)["v"])
-        .drop("_inner", _EDGE, _STRETCH)
+        rows.withColumn("_beyond", beyond)
+        .withColumn(name, F.coalesce("_inner", F.when(at_edge, F.col("_beyond")))["v"])
+        .drop("_inner", "_beyond", _EDGE, _STRETCH, _PART)
     )
 
 
