@@ -70,8 +70,9 @@ class Workspace:
         if topic not in self._feeds:
             slices = SLICES if topic in ("transactions", "customers") else 1
             files = derived.FILES_PER_SLICE
-            derived.write_slices(self._messages(topic), f"{path}/messages", slices, files)
-            self._feeds[topic] = files
+            self._feeds[topic] = derived.write_slices(
+                self._messages(topic), f"{path}/messages", slices, files
+            )
         return path
 
     def feed(self, topic: str) -> DataFrame:

@@ -11,7 +11,6 @@ them. A feed built and parsed in one lazy plan would have the optimizer reason t
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +25,7 @@ HEARTBEAT_ACCOUNT = "ACC_SENTINEL"
 HEARTBEAT_ID = "TXN_SENTINEL"
 TOPIC_PARTITIONS = 3
 FILES_PER_SLICE = 4
+MESSAGES_PER_FILE = 100_000
 
 
 def _pick(values: list[str], index: Column) -> Column:
@@ -319,22 +319,30 @@ def account_messages(customer: DataFrame) -> DataFrame:
     )
 
 
-def write_slices(messages: DataFrame, path: str, slices: int, files: int) -> int:
-    """Writes a feed as ``slices`` consecutive stretches of time, each of ``files`` files.
+def write_slices(
+    messages: DataFrame, path: str, slices: int, files: int, per_file: int = MESSAGES_PER_FILE
+) -> int:
+    """Writes a feed as ``slices`` consecutive stretches of time, each of the same number of files.
 
-    A file stream that takes ``files`` files per trigger then reads one slice per micro-batch.
-    Returns the number of slices written. The messages are made once and kept meanwhile.
+    That number is ``files``, or more, so that a file holds about ``per_file`` messages at most: the
+    number of tasks grows with the feed, and what one of them reads does not. A file stream that
+    takes so many files per trigger then reads one slice per micro-batch.
+
+    Returns the number of files in a slice. Nothing is kept meanwhile: the cuts need only the
+    times, and a slice makes only its own messages.
     """
-    messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
-    bounds: list[float] = []
-    if slices > 1:
-        times = messages.select(F.unix_millis("timestamp").cast("double").alias("t"))
-        first = times.agg(F.min("t")).first()[0]
-        cuts = times.approxQuantile("t", [i / slices for i in range(1, slices)], 0.01)
-        bounds = sorted({b for b in cuts if b > first})
     t = F.unix_millis("timestamp")
-    edges = [None, *[int(b) for b in bounds], None]
-    written = 0
+    bounds: list[int] = []
+    if slices > 1:
+        shares = [i / slices for i in range(1, slices)]
+        n, first, cuts = messages.agg(
+            F.count(F.lit(1)), F.min(t), F.percentile_approx(t, shares, 1000)
+        ).first()
+        bounds = sorted({b for b in cuts or [] if b > first})
+    else:
+        n = messages.count()
+    files = max(files, -(-n // (slices * per_file)))
+    edges = [None, *bounds, None]
     for low, high in zip(edges, edges[1:]):
         part = messages
         if low is not None:
@@ -344,6 +352,4 @@ def write_slices(messages: DataFrame, path: str, slices: int, files: int) -> int
         part.repartition(files).select(*ddl(KAFKA_RECORD).fieldNames()).write.mode(
             "append"
         ).parquet(path)
-        written += 1
-    messages.unpersist()
-    return written
+    return files
