@@ -88,18 +88,24 @@ def apply_transactions(
 
     What was inserted before is looked up in the batches not merged yet, and in the filters of the
     merged buckets; keys are read back only from buckets with a key that a filter lets through.
+
+    The state is folded once and written first; the log is made from what is stored, so nothing of
+    the batch has to be kept in memory.
     """
-    state = transactions.collapse(events, insert_ops=insert_ops).persist(
-        StorageLevel.MEMORY_AND_DISK
+    spark = events.sparkSession
+    written = tables.write_batch(
+        transactions.collapse(events, insert_ops=insert_ops), layout.transactions, batch_id
     )
-    kept = [state]
+    path = f"{layout.transactions}/batch_id={batch_id}"
+    state = tables.read_folders(spark, transaction_state_schema(), [path])
+    kept: list[DataFrame] = []
     try:
         new = _not_yet_inserted(state, batch_id, layout, kept)
-        newest = _clock(state.sparkSession, layout, batch_id)
+        newest = _clock(spark, layout, batch_id)
         late = metrics.is_late("transaction_timestamp", F.lit(newest).cast("long"))
         tables.write_batch(new.withColumn(LATE, late), layout.inserts, batch_id, LATE)
-        _set_clock(state.sparkSession, layout, batch_id, newest)
-        return tables.write_batch(state, layout.transactions, batch_id)
+        _set_clock(spark, layout, batch_id, newest)
+        return written
     finally:
         for df in kept:
             df.unpersist()
@@ -221,8 +227,9 @@ def compact_transactions(
     stored = {k: path for k, path in stored.items() if k in touched}
     old = buckets.read(spark, layout.transaction_rows, merged_schema(), stored)
     both = state.unionByName(old.select(*state.columns))
-    merged = transactions.merge_states(both, also=(buckets.BUCKET,))
-    buckets.write(_merged_rows(merged), layout.transaction_rows, waiting[-1])
+    gathered = buckets.gather(both, transactions.KEY)
+    merged = transactions.merge_states(gathered, also=(buckets.BUCKET, buckets.PIECE))
+    buckets.write(_merged_rows(merged), layout.transaction_rows, waiting[-1], gathered=True)
     _complete_filters(spark, layout)
     return waiting[-1]
 
@@ -373,6 +380,11 @@ def customer_closed_events(
     return closed.select(*schema.fieldNames())
 
 
+def _followed(timeline: DataFrame) -> DataFrame:
+    followed = customers.with_next(timeline)
+    return followed.withColumn("is_last", F.col("_next_ts_ms").isNull())
+
+
 def apply_customers(events: DataFrame, batch_id: int, layout: Layout) -> bool:
     """Adds cleaned events to the history as one batch, in one write.
 
@@ -381,13 +393,17 @@ def apply_customers(events: DataFrame, batch_id: int, layout: Layout) -> bool:
     replaced, so the history does not depend on how the feed was cut. A replay starts from the
     same rows as the first attempt.
 
-    The batch and the customers' last events are used several times, and kept for as long.
+    The batch and the customers' last events are used several times, and kept for as long. A batch
+    that finds nothing stored, like a backfill, is used once and not kept.
     """
     spark = events.sparkSession
     if tables.is_committed(spark, layout.customers, batch_id):
         return False
     key, columns = customers.KEY, customers.EVENT_COLUMNS
-    events = events.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    events = events.select(*columns)
+    if not any(n < batch_id for n in tables.committed_batches(spark, layout.customers)):
+        return tables.write_batch(_followed(events), layout.customers, batch_id, "is_last")
+    events = events.persist(StorageLevel.MEMORY_AND_DISK)
     known = customer_last_events(spark, layout, before=batch_id)
     known = known.join(events.select(key).distinct(), key, "left_semi")
     known = known.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
@@ -401,10 +417,7 @@ def apply_customers(events: DataFrame, batch_id: int, layout: Layout) -> bool:
             late = spark.read.schema(late.schema).parquet(path)
             again = filter_by_keys(closed, late, key, "left_semi", customers.POSITION)
             timeline = timeline.unionByName(again.select(*columns))
-        followed = customers.with_next(timeline).withColumn(
-            "is_last", F.col("_next_ts_ms").isNull()
-        )
-        return tables.write_batch(followed, layout.customers, batch_id, "is_last")
+        return tables.write_batch(_followed(timeline), layout.customers, batch_id, "is_last")
     finally:
         known.unpersist()
         events.unpersist()

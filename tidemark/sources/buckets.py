@@ -52,14 +52,29 @@ def read(
     return reader.parquet(*chosen.values()).drop(VERSION)
 
 
-def write(rows: DataFrame, path: str, version: int) -> None:
+PIECES = 4
+"""Parts of a bucket that tasks may take one by one."""
+PIECE = "_piece"
+
+
+def gather(rows: DataFrame, key: str) -> DataFrame:
+    """Rows (bucket, key, ...) brought together by bucket and ``PIECE``, a part of it by the key.
+
+    Aggregated by (bucket, piece, key) they need no other shuffle, and come out in the order in
+    which :func:`write` wants them.
+    """
+    piece = F.pmod(F.xxhash64(F.lit(211), key), F.lit(PIECES)).cast("int")
+    return rows.withColumn(PIECE, piece).repartition(BUCKET, PIECE)
+
+
+def write(rows: DataFrame, path: str, version: int, gathered: bool = False) -> None:
     """Writes a version from the new content of whole buckets, ``bucket`` among the columns.
 
-    Rows are brought together by bucket; adaptive execution cuts a large bucket into several files
-    and lets small ones share a task.
+    Unless :func:`gather` has done so before, rows are brought together by bucket; adaptive
+    execution cuts a large bucket into several files and lets small ones share a task.
     """
     (
-        rows.hint("rebalance", F.col(BUCKET))
+        (rows if gathered else rows.hint("rebalance", F.col(BUCKET)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(BUCKET)
