@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from brute import table_rows, words
 
 from tidemark.llm import bloom_lm as op
@@ -168,3 +169,47 @@ def test_probabilities_sum_to_at_most_one(spark):
             p1 = (op.LEVELS[op.level_of(np.array([counts[w]]))][0] + 1) / (n + v + 1)
             total += 0.3 * min(1, low / up) + 0.7 * p1
         assert total <= 1
+
+
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_noted_levels_stand_for_the_filters():
+    """One group: words and pairs are looked up once; fit and scores then need no filter."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{w}" for w in rng.zipf(1.5, n) % 300) for n in rng.integers(0, 60, 200)]
+    docs = pa.record_batch(
+        {
+            "doc_id": pa.array(range(200), pa.int64()),
+            "text": texts,
+            "held_out": [False] * 200,
+            "row": pa.array(range(200), pa.int64()),
+        }
+    )
+    tokens = op.tokens_of(docs.column("text"))
+
+    def made(grams):
+        keys, counts = np.unique(grams, return_counts=True)
+        shard = op._shard(keys, 3)
+        parts = {s: op._segment(keys[shard == s], counts[shard == s]).tobytes() for s in range(3)}
+        found = op.LogFrequencyFilter(3, parts)
+        assert (found.levels(keys) >= op.level_of(counts)).all()
+        assert (found.levels(keys) == op.level_of(counts)).mean() > 0.9
+        return found, keys, counts
+
+    words, keys, counts = made(tokens.hashes)
+    pair_filter, *_ = made(op.pairs(op.histories(tokens), tokens.hashes))
+    end = int(words.levels(np.array([op.END]))[0])
+    size = (end, int(counts.sum()), len(keys))
+    asked, noted = Sent(op._Model(words, *size)), Sent(op._Model(None, *size))
+    frequent, weights = Sent((keys, counts)), np.full(len(op.LEVELS), 0.3)
+    beside = list(op._note_both(asked, Sent(pair_filter))(iter([docs])))
+    fit = [list(op._gains(asked, Sent(pair_filter))(iter([docs]))), list(op._gains(noted, None)(iter(beside)))]
+    assert fit[0] == fit[1]
+    scores = [
+        list(op._scores(asked, frequent, Sent(pair_filter), weights, True)(iter([docs]))),
+        list(op._scores(noted, frequent, None, weights, True)(iter(beside))),
+    ]
+    assert scores[0] == scores[1]

@@ -15,6 +15,8 @@ The second has a fixed size. The first is measured: segments go out in groups of
 ``FILTER_BYTES``, one after the other, with a pass over the texts for each. Passes over the word
 filter, if it takes more than one, note the level of each token beside its text; passes over the
 pair filter add up, by row numbers that are stored with the texts before the first of several passes.
+If one group holds all pairs, the levels of words and pairs are noted beside the texts once, and
+the fit and the scores read them there.
 So the scores are the same however many groups there are. Counts of all other words, for the exact
 base score, are joined by word.
 
@@ -49,6 +51,7 @@ FILTER_BYTES = 128 << 20
 ENTRIES_PER_SHARD = 1_500_000
 BITS_PER_ENTRY = 10
 PROBES = 4
+SEGMENT_RUN = 1 << 18
 STEP = 1.25
 """Ratio of two count levels; small counts are exact."""
 
@@ -168,12 +171,16 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _places(keys: np.ndarray, levels: np.ndarray, bits: np.ndarray) -> list[np.ndarray]:
-    """Bit numbers, within its segment, of each n-gram at a level; one array per probe."""
+def _hashes(keys: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each n-gram at a level: where its probes begin, and the step from one to the next."""
     one = W.mix(keys + levels.astype(np.uint64) * W._GRAM)
-    two = W.mix(one) | np.uint64(1)
-    bits = bits.astype(np.uint64) if isinstance(bits, np.ndarray) else np.uint64(bits)
-    return [(one + np.uint64(k) * two) % bits for k in range(PROBES)]
+    return one, W.mix(one) | np.uint64(1)
+
+
+def _bit(number: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+    """A number's bit in a segment of ``size`` bits, below 2**32: by its upper half, with no division."""
+    half = np.uint64(32)
+    return (((number >> half) * np.uint64(size)) >> half).view(np.int64)
 
 
 def _segment(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -182,8 +189,12 @@ def _segment(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     number = np.arange(len(entry)) - np.repeat(np.cumsum(level) - level, level) + 1
     size = max(64, int(len(entry) * BITS_PER_ENTRY + 63) // 64 * 64)
     bits = np.zeros(size, np.uint8)
-    for place in _places(keys[entry], number, size):
-        bits[place.astype(np.int64)] = 1
+    for a in range(0, len(entry), SEGMENT_RUN):  # a run at a time, to need little memory
+        run = slice(a, a + SEGMENT_RUN)
+        one, two = _hashes(keys[entry[run]], number[run])
+        for _ in range(PROBES):
+            bits[_bit(one, size)] = 1
+            one += two
     return np.packbits(bits, bitorder="little")
 
 
@@ -238,6 +249,10 @@ class LogFrequencyFilter:
         self.begin[own] = 8 * (np.cumsum(sizes) - sizes)
         self.bits = np.frombuffer(b"".join(segments.values()), np.uint8)
 
+    def _set(self, number: np.ndarray, size: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        place = _bit(number, size) + begin
+        return (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The level of every n-gram by asking for one after another; 0 where it is absent."""
         distinct, where = np.unique(keys, return_inverse=True)
@@ -245,11 +260,15 @@ class LogFrequencyFilter:
         out = np.zeros(len(distinct), np.int64)
         live = np.flatnonzero(self.present[shard])
         while len(live):
-            own = shard[live]
-            yes = np.ones(len(live), bool)
-            for place in _places(distinct[live], out[live] + 1, self.size[own]):
-                place = place.astype(np.int64) + self.begin[own]
-                yes &= (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            one, two = _hashes(distinct[live], out[live] + 1)
+            size, begin = self.size[shard[live]].astype(np.uint64), self.begin[shard[live]]
+            yes = self._set(one, size, begin)
+            if 2 * np.count_nonzero(yes) < len(yes):  # what the first probe denies is not asked again
+                live, one, two, size, begin = (x[yes] for x in (live, one, two, size, begin))
+                yes = np.ones(len(live), bool)
+            for _ in range(PROBES - 1):
+                one = one + two
+                yes &= self._set(one, size, begin)
             live = live[yes]
             out[live] += 1
         return out[where]
@@ -287,6 +306,18 @@ def _load(table: DataFrame, shards: int, wanted: list[int]) -> LogFrequencyFilte
     return LogFrequencyFilter(shards, dict(zip(rows.column(0).to_pylist(), bits, strict=True)))
 
 
+def _noted(part: pa.RecordBatch, column: str) -> np.ndarray:
+    levels = b"".join(x.as_buffer() for x in part.column(column))
+    return np.frombuffer(levels, np.uint8).astype(np.int64)
+
+
+def _bytes_of(levels: np.ndarray, tokens: W.Words) -> pa.Array:
+    """One byte a token, a row per text."""
+    levels, first = levels.astype(np.uint8), tokens.first
+    rows = [levels[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+    return pa.array(rows, pa.binary())
+
+
 class _Model:
     """What scoring needs of the counts; every method works on arrays of tokens.
 
@@ -299,8 +330,7 @@ class _Model:
     def word_levels(self, part: pa.RecordBatch, tokens: W.Words) -> np.ndarray:
         if self.words is not None:
             return self.words.levels(tokens.hashes)
-        noted = b"".join(x.as_buffer() for x in part.column("levels"))
-        return np.frombuffer(noted, np.uint8).astype(np.int64)
+        return _noted(part, "levels")
 
     def alone(self, level: np.ndarray, own=0) -> np.ndarray:
         """Probability of each token by itself."""
@@ -326,13 +356,12 @@ def _note_levels(words_):
         words = words_.value
         for part in slices(batches, SLICE_BYTES, "text"):
             tokens = tokens_of(part.column("text"))
-            level = words.levels(tokens.hashes).astype(np.uint8)
-            noted = b"".join(x.as_buffer() for x in part.column("levels"))
-            if noted:
-                level = np.maximum(level, np.frombuffer(noted, np.uint8))
-            rows = [level[a:b].tobytes() for a, b in zip(tokens.first[:-1], tokens.first[1:], strict=True)]
+            level = words.levels(tokens.hashes)
+            noted = _noted(part, "levels")
+            if len(noted):
+                level = np.maximum(level, noted)
             place = part.schema.get_field_index("levels")
-            yield part.set_column(place, "levels", pa.array(rows, pa.binary()))
+            yield part.set_column(place, "levels", _bytes_of(level, tokens))
 
     return work
 
@@ -354,6 +383,27 @@ def _with_words(docs: DataFrame, table: DataFrame, shards: int, limit: int):
     return None, end, docs
 
 
+def _note_both(model_, filter_):
+    """Columns of the rows, ``levels`` and ``pair_levels``, where one group holds all pairs."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, pair_filter = model_.value, filter_.value
+        for part in slices(batches, SLICE_BYTES, "text"):
+            tokens = tokens_of(part.column("text"))
+            columns = {c: part.column(c) for c in ("doc_id", "text", "held_out", "row")}
+            columns["levels"] = _bytes_of(model.word_levels(part, tokens), tokens)
+            pair = pair_filter.levels(pairs(histories(tokens), tokens.hashes))
+            columns["pair_levels"] = _bytes_of(pair, tokens)
+            yield pa.record_batch(columns)
+
+    return work
+
+
+_NOTED_SCHEMA = (
+    "doc_id long, text string, held_out boolean, row long, levels binary, pair_levels binary"
+)
+
+
 def _own_counts(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """How often each key occurs in its text, given by ``rows``."""
     both = W.mix(keys + W.mix(rows.astype(np.uint64)))
@@ -367,10 +417,12 @@ UNIT = 1 << 20
 
 
 def _gains(model_, filter_):
-    """Per history level and weight of the grid: what mixing in the pairs of this group gains."""
+    """Per history level and weight of the grid: what mixing in the pairs of this group gains.
+
+    Without ``filter_`` the levels of all pairs stand beside the texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, pair_filter = model_.value, filter_.value
+        model, pair_filter = model_.value, filter_ and filter_.value
         gain = np.zeros((len(LEVELS), len(GRID)), np.int64)
         for part in slices(batches, SLICE_BYTES, "text"):
             tokens = tokens_of(part.column("text"))
@@ -380,10 +432,14 @@ def _gains(model_, filter_):
             own_past[1:] = own[:-1]
             own_past[tokens.first[:-1]] = 1  # the end, once in every text
             keys = pairs(histories(tokens), tokens.hashes)
-            mine = np.flatnonzero(pair_filter.present[_shard(keys, pair_filter.shards)])
+            if pair_filter:
+                mine = np.flatnonzero(pair_filter.present[_shard(keys, pair_filter.shards)])
+                pair_level = pair_filter.levels(keys[mine])
+            else:
+                mine, pair_level = np.arange(len(keys)), _noted(part, "pair_levels")
             keys, before = keys[mine], model.history_levels(level, tokens)[mine]
             ratio = model.ratio(
-                pair_filter.levels(keys), before, _own_counts(keys, tokens.rows()[mine]), own_past[mine]
+                pair_level, before, _own_counts(keys, tokens.rows()[mine]), own_past[mine]
             )
             seen = ratio > 0
             ratio = ratio[seen] / model.alone(level[mine[seen]], own[mine[seen]])
@@ -425,14 +481,18 @@ def _scores(model_, frequent_, filter_, weights: np.ndarray, lead: bool):
     ]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, (words, counts), pair_filter = model_.value, frequent_.value, filter_.value
+        model, (words, counts) = model_.value, frequent_.value
+        pair_filter = filter_ and filter_.value
         log_size = math.log10(model.total + model.distinct + 1)
         for part in slices(batches, SLICE_BYTES, "text"):
             tokens = tokens_of(part.column("text"))
             first = tokens.first[:-1]
             own = model.word_levels(part, tokens)
             alone, before = model.alone(own), model.history_levels(own, tokens)
-            level = pair_filter.levels(pairs(histories(tokens), tokens.hashes))
+            if pair_filter:
+                level = pair_filter.levels(pairs(histories(tokens), tokens.hashes))
+            else:
+                level = _noted(part, "pair_levels")
             weight = weights[before]
             unseen = np.log10(1 - weight) + np.log10(alone)
             seen = np.log10(weight * model.ratio(level, before) + (1 - weight) * alone)
@@ -524,14 +584,19 @@ def score_documents(
     groups = _groups(pair_bits, filter_bytes) or [[]]
     if len(groups) > 1 and words is not None:  # else the word filter's passes have stored the rows
         docs = stored(docs, "rows")
-    only = share(_load(pair_bits, shards, groups[0])) if len(groups) == 1 else None
+    if len(groups) == 1:  # both passes need the same answers: each filter is asked once
+        only = share(_load(pair_bits, shards, groups[0]))
+        docs = stored(map_batches(docs, _note_both(shared_model, only), _NOTED_SCHEMA), "noted")
+        only.destroy()
+        shared_model.destroy()
+        shared_model = share(_Model(None, end, total, distinct))
 
     def filters():
-        """The groups one after the other; a single one is sent once for all passes."""
+        """The groups one after the other; none if all levels are noted."""
         for group in groups:
-            shared = only or share(_load(pair_bits, shards, group))
+            shared = share(_load(pair_bits, shards, group)) if len(groups) > 1 else None
             yield shared
-            if not only:
+            if shared:
                 shared.destroy()
 
     weights = _fit_weights(docs.where("NOT held_out"), shared_model, filters)
