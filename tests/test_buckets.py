@@ -156,3 +156,20 @@ def test_filters_let_every_key_through_and_few_others(spark):
     others = spark.range(20_000).select(F.concat(F.lit("U"), "id").alias("key"))
     others = others.withColumn("bucket", buckets.bucket_of("key", 3))
     assert buckets.maybe_known(others, "key", filters).count() < 60
+
+
+def test_a_merge_shuffles_its_rows_once(spark, run_dir):
+    """Rows come together by bucket and piece; folded there, they are in the order of buckets."""
+    state = spark.range(100).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        buckets.bucket_of(F.col("id").cast("string"), 4).alias(buckets.BUCKET),
+        F.struct(F.col("id").cast("string").alias("v")).alias(transactions.FIRST),
+        F.struct(F.col("id").cast("string").alias("v")).alias(transactions.LAST),
+    )
+    gathered = buckets.gather(state, "transaction_id")
+    merged = transactions.merge_states(gathered, also=(buckets.BUCKET, buckets.PIECE))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    buckets.write(merged.drop(buckets.PIECE), run_dir, 0, gathered=True)
+    back = spark.read.parquet(f"{run_dir}/upto=0")
+    assert back.count() == 100 and back.select(buckets.BUCKET).distinct().count() == 4
