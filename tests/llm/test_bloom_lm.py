@@ -213,3 +213,15 @@ def test_noted_levels_stand_for_the_filters():
         list(op._scores(noted, frequent, None, weights, True)(iter(beside))),
     ]
     assert scores[0] == scores[1]
+
+
+def test_a_task_fills_one_shard(spark):
+    """Shards dealt by their hash met in tasks, five of 98, and were sorted and held together."""
+    rows = [(k, " ".join(f"w{k * j}" for j in range(30))) for k in range(150)]
+
+    def seen(batches):
+        shards = {s for batch in batches for s in batch.column("shard").to_pylist()}
+        yield pa.record_batch([pa.array(sorted(shards), pa.int32()), pa.array([len(shards)] * len(shards), pa.int32())], names=["shard", "n"])
+
+    found = op._gathered(spark.createDataFrame(rows, SCHEMA), 2, 40, seen, "shard int, n int").collect()
+    assert sorted(r.shard for r in found) == list(range(40)) and {r.n for r in found} == {1}

@@ -150,7 +150,7 @@ def _packed(order: int, shards: int):
 
 
 def _by_shard(batches: Iterator[pa.RecordBatch]):
-    """(shard, keys, counts) with the sums of every shard; rows come sorted by shard."""
+    """(shard, keys, counts) with the sums of every shard; a shard's rows come one after another."""
     current, keys, counts = None, [], []
     for batch in batches:
         for shard, key, count in zip(*batch.columns, strict=True):
@@ -278,13 +278,17 @@ def _shards_for(entries: int) -> int:
     return max(1, math.ceil(entries / ENTRIES_PER_SHARD))
 
 
+def _a_shard_a_task(rows: DataFrame, shards: int) -> DataFrame:
+    """Deals rows by ``shard`` itself: its hash would put up to five shards, or more, into one task,
+    which then has to hold and sort them together."""
+    return rows.repartitionById(shards, "shard")
+
+
 def _gathered(docs: DataFrame, order: int, shards: int, work, schema: str) -> DataFrame:
     packed = map_batches(
         docs.select("text"), _packed(order, shards), "shard int, keys binary, counts binary"
     )
-    return map_batches(
-        packed.repartition(shards, "shard").sortWithinPartitions("shard"), work, schema
-    )
+    return map_batches(_a_shard_a_task(packed, shards), work, schema)
 
 
 def _groups(table: DataFrame, limit: int) -> list[list[int]]:
@@ -564,9 +568,7 @@ def score_documents(
     shard = F.shiftrightunsigned(hashed, 32).cast("int")
     word_bits = stored(
         map_batches(
-            counts.select(shard.alias("shard"), "word", "n")
-            .repartition(word_shards, "shard")
-            .sortWithinPartitions("shard"),
+            _a_shard_a_task(counts.select(shard.alias("shard"), "word", "n"), word_shards),
             _word_segments(word_shards),
             "shard int, bits binary",
         ),
