@@ -51,3 +51,42 @@ def test_slices_follow_each_other_in_time(spark, messages, run_dir):
 def test_an_empty_feed_is_written(spark, messages, run_dir):
     assert derived.write_slices(messages.where("false"), run_dir, 3, 2) == 2
     assert feed.read_files(spark, run_dir).count() == 0
+
+
+def test_messages_are_made_once_and_where_they_are_written(spark, run_dir):
+    """A feed in three slices made the text of every message in every slice's shuffle."""
+    made = spark.sparkContext.accumulator(0)
+    rows = spark.range(3000).select(
+        "id", F.timestamp_millis(F.floor(F.col("id") / 2) * 1000).alias("timestamp")
+    )
+
+    @F.udf("string")
+    def text(n):
+        made.add(1)
+        return "x" * 1000
+
+    plans = []
+
+    def records(part):
+        n = F.col("id")
+        out = part.select(
+            n.cast("string").cast("binary").alias("key"),
+            text(n).cast("binary").alias("value"),
+            F.lit("t").alias("topic"),
+            (n % 3).cast("int").alias("partition"),
+            n.alias("offset"),
+            "timestamp",
+        )
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    derived.write_slices(rows, run_dir, 3, 4, records=records)
+    assert made.value == 3000
+    assert all(p.index("text(") < p.index("Repartition") for p in plans) and len(plans) == 3
+    assert feed.read_files(spark, run_dir).select("offset").distinct().count() == 3000
+
+
+def test_rows_without_a_time_are_in_the_first_slice(spark, messages, run_dir):
+    timeless = messages.limit(7).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    derived.write_slices(messages.unionByName(timeless), run_dir, 3, 2)
+    same_rows(feed.read_files(spark, run_dir), messages.unionByName(timeless))

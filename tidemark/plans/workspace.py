@@ -22,7 +22,6 @@ from tidemark.streaming import jobs, run
 
 SLICES = 3
 MERGE_EVERY = 2  # so that of the few batches some are merged and some are not
-SOURCE_PIECES = 32
 
 _OPEN: dict[tuple[str, str], "Workspace"] = {}
 
@@ -48,30 +47,25 @@ class Workspace:
 
     # --- topics ----------------------------------------------------------------------------
 
-    def _source_rows(self, name: str) -> DataFrame:
-        """A source table, spread out, as it may come as one piece."""
-        return self.table(name).repartition(SOURCE_PIECES)
-
-    def _messages(self, topic: str) -> DataFrame:
+    def _changes(self, topic: str):
+        """What a topic's messages are made of, and how."""
         if topic == "customers":
-            orders = self._source_rows("orders")
-            return derived.customer_messages(self.table("customer"), orders)
+            rows = derived.customer_changes(self.table("customer"), self.table("orders"))
+            return rows, derived.customer_records
         if topic == "accounts":
-            return derived.account_messages(self._source_rows("customer"))
-        make = (
-            derived.transaction_messages
-            if topic == "transactions"
-            else derived.transaction_envelopes
-        )
-        return make(self._source_rows("events"))
+            return derived.account_changes(self.table("customer")), derived.account_records
+        rows = derived.transaction_changes(self.table("events"))
+        if topic == "transactions":
+            return rows, derived.transaction_records
+        return rows, derived.envelope_records
 
     def _topic(self, topic: str) -> str:
         path = f"{self.root}/topics/{topic}"
         if topic not in self._feeds:
             slices = SLICES if topic in ("transactions", "customers") else 1
-            files = derived.FILES_PER_SLICE
+            rows, records = self._changes(topic)
             self._feeds[topic] = derived.write_slices(
-                self._messages(topic), f"{path}/messages", slices, files
+                rows, f"{path}/messages", slices, derived.FILES_PER_SLICE, records=records
             )
         return path
 

@@ -7,10 +7,16 @@ row, so a SQL engine can restate it exactly. All rows of the source tables are u
 
 The messages are written as files, slice by slice in time order, the way a topic would hold
 them. A feed built and parsed in one lazy plan would have the optimizer reason through both.
+
+A feed is made in two steps. ``*_changes`` says which messages there are: short rows of source
+columns with the message's time. ``*_records`` turns these into messages. Cutting and dealing out a
+feed needs only the first, so text is made once for each message, where it is written.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,23 +63,44 @@ def _markers(table: str, op: Column, ts_ms: Column) -> list[Column]:
     ]
 
 
-def _event(when: Column, n: int, op: Column, delay_ms: int, **changed: Column) -> Column:
-    return F.when(
-        when,
-        F.struct(
-            F.lit(n).alias("n"),
-            op.alias("op"),
-            F.lit(delay_ms).cast("bigint").alias("delay_ms"),
-            *[c.alias(name) for name, c in changed.items()],
+def transaction_changes(events: DataFrame) -> DataFrame:
+    """One row per message to send: the source columns, ``n`` (which message of its event it is),
+    ``ts_ms`` and ``timestamp``."""
+    e, n = F.col("event_id"), F.col("n")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    sent = [
+        F.lit(0),
+        F.when(e % 25 == 11, 1),
+        F.when(e % 10 == 3, 2),
+        F.when(e % 40 == 7, 3),
+        F.when(e % 40 == 7, 4),
+        F.when(e % 500 == 499, 5),
+    ]
+    delay_ms = F.when(n == 2, 60_000).when(n.isin(3, 4), 120_000).otherwise(0)
+    rows = events.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        "props",
+        (F.lit(T0) + F.floor((micros - F.lit(T0)) / SQUEEZE)).cast("bigint").alias(
+            "transaction_timestamp"
         ),
+        F.explode(F.array_compact(F.array(*sent))).alias("n"),
     )
+    ts_ms = F.floor(F.col("transaction_timestamp") / 1000).cast("bigint") + delay_ms
+    return rows.withColumn("ts_ms", ts_ms).withColumn("timestamp", F.timestamp_millis("ts_ms"))
 
 
-def transaction_events(events: DataFrame) -> DataFrame:
-    """One row per message to send: the payload columns, ``n``, ``op`` and ``ts_ms``."""
-    e = F.col("event_id")
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    rows = events.select(
+def transaction_events(changes: DataFrame) -> DataFrame:
+    """The payload columns and ``op`` of :func:`transaction_changes`, and ``event_id``, ``n``, ``ts_ms``."""
+    e, n = F.col("event_id"), F.col("n")
+    amount = F.when(e % 101 == 0, F.lit(None)).when(e % 103 == 0, F.lit(-1.0)).otherwise(
+        (F.round(F.col("value") * 100).cast("bigint") * 200 + e % 100).cast("double")
+        / F.lit(100.0)
+    )
+    status = F.when(F.col("event_type") == "error", "failed").otherwise("completed ")
+    return changes.select(
         e,
         _pad("TXN", "event_id", 12).alias("transaction_id"),
         _pad("ACC", "user_id", 10).alias("account_id"),
@@ -81,13 +108,7 @@ def transaction_events(events: DataFrame) -> DataFrame:
         .when(e % 2 == 0, " debit ")
         .otherwise("CREDIT")
         .alias("transaction_type"),
-        F.when(e % 101 == 0, F.lit(None))
-        .when(e % 103 == 0, F.lit(-1.0))
-        .otherwise(
-            (F.round(F.col("value") * 100).cast("bigint") * 200 + e % 100).cast("double")
-            / F.lit(100.0)
-        )
-        .alias("_amount"),
+        F.when(n == 2, amount + 1).otherwise(amount).alias("amount"),
         _pick(["aed", "USD ", "EUR", "GBP"], e % 4).alias("currency"),
         F.concat(F.lit(" Merchant "), F.get_json_object("props", "$.k"), F.lit(" ")).alias(
             "merchant_name"
@@ -98,58 +119,31 @@ def transaction_events(events: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "signup", "TRAVEL")
         .otherwise("GAMBLING")
         .alias("merchant_category"),
-        (F.lit(T0) + F.floor((micros - F.lit(T0)) / SQUEEZE)).cast("bigint").alias(
-            "transaction_timestamp"
-        ),
+        "transaction_timestamp",
         _pick(["ae", "US", "GB", "SA", "IN"], e % 5).alias("country"),
         (e % 3 == 0).alias("is_international"),
-        F.when(F.col("event_type") == "error", "failed").otherwise("completed ").alias("_status"),
-    ).withColumn("created_at", F.col("transaction_timestamp"))
-
-    amount, status = F.col("_amount"), F.col("_status")
-    first_op = F.when(e % 50 == 1, "r").otherwise("c")
-    none = F.lit(None).cast("string")
-    plan = [
-        _event(F.lit(True), 0, first_op, 0, amount=amount, status=status),
-        _event(e % 25 == 11, 1, first_op, 0, amount=amount, status=status),
-        _event(
-            e % 10 == 3,
-            2,
-            F.lit("u"),
-            60_000,
-            amount=amount + 1,
-            status=F.when(e % 20 == 3, "reversed").otherwise(status),
-        ),
-        _event(e % 40 == 7, 3, F.lit("d"), 120_000, amount=amount, status=status),
-        _event(e % 40 == 7, 4, none, 120_000, amount=amount, status=status),
-        _event(e % 500 == 499, 5, none, 120_000, amount=amount, status=status),
-    ]
-    return rows.select("*", F.inline(F.array_compact(F.array(*plan)))).withColumn(
-        "ts_ms", F.floor(F.col("transaction_timestamp") / 1000).cast("bigint") + F.col("delay_ms")
+        F.when((n == 2) & (e % 20 == 3), "reversed").otherwise(status).alias("status"),
+        F.col("transaction_timestamp").alias("created_at"),
+        n,
+        F.when(n <= 1, F.when(e % 50 == 1, "r").otherwise("c"))
+        .when(n == 2, "u")
+        .when(n == 3, "d")
+        .alias("op"),
+        "ts_ms",
     )
 
 
-def transaction_messages(events: DataFrame) -> DataFrame:
-    rows = transaction_events(events)
+def transaction_records(changes: DataFrame) -> DataFrame:
+    rows = transaction_events(changes)
     body = F.to_json(
         F.struct(*TRANSACTIONS.columns, *_markers("transactions", F.col("op"), F.col("ts_ms")))
     )
-    value = F.when(F.col("n") <= 3, body).when(F.col("n") == 5, "{bad")
-    return rows.select(
-        *_message(
-            TRANSACTIONS,
-            F.col("transaction_id"),
-            value,
-            F.col("event_id"),
-            F.col("event_id") * 10 + F.col("n"),
-            F.col("ts_ms"),
-        )
-    )
+    return _transaction_records(rows, body)
 
 
-def transaction_envelopes(events: DataFrame) -> DataFrame:
+def envelope_records(changes: DataFrame) -> DataFrame:
     """The same changes before unwrapping: images as objects or as text, bare or in ``payload``."""
-    rows = transaction_events(events)
+    rows = transaction_events(changes)
     image = F.to_json(F.struct(*TRANSACTIONS.columns))
     is_delete = F.col("op") == "d"
     source = F.to_json(
@@ -173,7 +167,11 @@ def transaction_envelopes(events: DataFrame) -> DataFrame:
     wrapped = F.when(
         F.col("event_id") % 3 == 2, F.concat(F.lit('{"payload":'), envelope, F.lit("}"))
     ).otherwise(envelope)
-    value = F.when(F.col("n") <= 3, wrapped).when(F.col("n") == 5, "{bad")
+    return _transaction_records(rows, wrapped)
+
+
+def _transaction_records(rows: DataFrame, body: Column) -> DataFrame:
+    value = F.when(F.col("n") <= 3, body).when(F.col("n") == 5, "{bad")
     return rows.select(
         *_message(
             TRANSACTIONS,
@@ -212,31 +210,14 @@ def heartbeat(spark: SparkSession, after_micros: Column | int, offset: int) -> D
     )
 
 
-def customer_messages(customer: DataFrame, orders: DataFrame) -> DataFrame:
+def customer_changes(customer: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per message to send: ``c_custkey``, what changes, ``offset``, ``ts_ms`` and
+    ``timestamp``. All else that a message says follows from the key."""
     k = F.col("c_custkey")
-    base = customer.select(
-        k,
-        _pad("CUST", "c_custkey", 10).alias("customer_id"),
-        F.concat(F.lit(" First"), k.cast("string"), F.lit(" ")).alias("first_name"),
-        F.concat(F.lit("Last"), k.cast("string")).alias("last_name"),
-        F.when(k % 37 == 0, F.lit(None))
-        .when(k % 41 == 0, "dup@example.org")
-        .otherwise(F.concat(F.lit("c"), k.cast("string"), F.lit("@example.org ")))
-        .alias("email"),
-        _pad(" +971", "c_custkey", 9).alias("phone"),
-        (k % 20000).cast("int").alias("date_of_birth"),
-        _pick([" ae", "IN", "PK", "US"], k % 4).alias("nationality"),
-        F.lit(ONBOARDED).alias("onboarding_date"),
-        F.when(k % 67 == 0, "VIP")
-        .otherwise(_pick(["retail", "corporate", "private_banking"], k % 3))
-        .alias("customer_segment"),
-        F.lit("ae").alias("country_residence"),
-        F.lit(ONBOARDED).alias("created_at"),
-        F.lit(ONBOARDED).alias("updated_at"),
-    )
 
     def event(op: str, ts_ms: Column, offset: Column, risk: Column, kyc: Column) -> list[Column]:
         return [
+            k,
             F.lit(op).alias("op"),
             ts_ms.alias("ts_ms"),
             offset.alias("offset"),
@@ -245,11 +226,10 @@ def customer_messages(customer: DataFrame, orders: DataFrame) -> DataFrame:
         ]
 
     own_risk = F.when(k % 59 == 0, F.lit(0)).otherwise(1 + k % 100)
-    snapshot = base.select(
-        "*", *event("r", F.lit(ONBOARDED // 1000), k, own_risk, F.lit("verified"))
+    snapshot = customer.select(
+        *event("r", F.lit(ONBOARDED // 1000), k, own_risk, F.lit("verified"))
     )
-    updates = base.join(orders, k == F.col("o_custkey")).select(
-        *base.columns,
+    updates = customer.select(k).join(orders, k == F.col("o_custkey")).select(
         *event(
             "u",
             F.unix_millis(F.col("o_orderdate").cast("timestamp")),
@@ -260,10 +240,35 @@ def customer_messages(customer: DataFrame, orders: DataFrame) -> DataFrame:
             .otherwise("REJECTED"),
         ),
     )
-    deletes = base.where(k % 61 == 5).select(
-        "*", *event("d", F.lit(CLOSED_MS), 100_000_000 + k, own_risk, F.lit("verified"))
+    deletes = customer.where(k % 61 == 5).select(
+        *event("d", F.lit(CLOSED_MS), 100_000_000 + k, own_risk, F.lit("verified"))
     )
     rows = snapshot.unionByName(updates).unionByName(deletes)
+    return rows.withColumn("timestamp", F.timestamp_millis("ts_ms"))
+
+
+def customer_records(changes: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    rows = changes.select(
+        "*",
+        _pad("CUST", "c_custkey", 10).alias("customer_id"),
+        F.concat(F.lit(" First"), k.cast("string"), F.lit(" ")).alias("first_name"),
+        F.concat(F.lit("Last"), k.cast("string")).alias("last_name"),
+        F.when(k % 37 == 0, F.lit(None))
+        .when(k % 41 == 0, "dup@example.org")
+        .otherwise(F.concat(F.lit("c"), k.cast("string"), F.lit("@example.org ")))
+        .alias("email"),
+        _pad(" +971", "c_custkey", 9).alias("phone"),
+        (k % 20000).cast("int").alias("date_of_birth"),
+        _pick([" ae", "IN", "PK", "US"], k % 4).alias("nationality"),
+        F.lit(ONBOARDED).alias("onboarding_date"),
+        F.when(k % 67 == 0, "VIP")
+        .otherwise(_pick(["retail", "corporate", "private_banking"], k % 3))
+        .alias("customer_segment"),
+        F.lit("ae").alias("country_residence"),
+        F.lit(ONBOARDED).alias("created_at"),
+        F.lit(ONBOARDED).alias("updated_at"),
+    )
     body = F.to_json(
         F.struct(*CUSTOMERS.columns, *_markers("customers", F.col("op"), F.col("ts_ms")))
     )
@@ -274,40 +279,38 @@ def customer_messages(customer: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def account_messages(customer: DataFrame) -> DataFrame:
+def account_changes(customer: DataFrame) -> DataFrame:
+    """One row per message to send: the source columns, ``n``, ``ts_ms`` and ``timestamp``."""
     k = F.col("c_custkey")
-    rows = (
-        customer.select(
-            k,
-            _pad("ACC", "c_custkey", 10).alias("account_id"),
-            F.when(k % 53 == 0, "CUST9999999999")
-            .otherwise(_pad("CUST", "c_custkey", 10))
-            .alias("customer_id"),
-            _pick(["SAVINGS", "checking ", "CREDIT_CARD", "LOAN"], k % 4).alias("account_type"),
-            _pick(["AED", "USD", "EUR", "GBP"], k % 4).alias("currency"),
-            F.when(k % 23 != 6, F.col("c_acctbal")).alias("_balance"),
-            F.when(k % 19 == 4, F.lit(None))
-            .when(k % 71 == 9, "dormant")
-            .otherwise("active")
-            .alias("status"),
-            F.lit(ONBOARDED).alias("opened_date"),
-            F.lit(ONBOARDED).alias("last_activity_date"),
-            F.lit(ONBOARDED).alias("created_at"),
-            F.lit(ONBOARDED).alias("updated_at"),
-        )
-        .withColumn(
-            "_event",
-            F.explode(
-                F.array_compact(
-                    F.array(
-                        _event(F.lit(True), 0, F.lit("r"), 0, balance=F.col("_balance")),
-                        _event(k % 5 == 2, 1, F.lit("u"), 60_000, balance=F.col("_balance") + 100),
-                    )
-                )
-            ),
-        )
-        .select("*", "_event.*")
-        .withColumn("ts_ms", F.lit(ONBOARDED // 1000) + F.col("delay_ms"))
+    sent = F.array_compact(F.array(F.lit(0), F.when(k % 5 == 2, 1)))
+    rows = customer.select("c_custkey", "c_acctbal", F.explode(sent).alias("n"))
+    ts_ms = (F.lit(ONBOARDED // 1000) + F.col("n") * 60_000).cast("bigint")
+    return rows.withColumn("ts_ms", ts_ms).withColumn("timestamp", F.timestamp_millis("ts_ms"))
+
+
+def account_records(changes: DataFrame) -> DataFrame:
+    k, n = F.col("c_custkey"), F.col("n")
+    balance = F.when(k % 23 != 6, F.col("c_acctbal"))
+    rows = changes.select(
+        k,
+        _pad("ACC", "c_custkey", 10).alias("account_id"),
+        F.when(k % 53 == 0, "CUST9999999999")
+        .otherwise(_pad("CUST", "c_custkey", 10))
+        .alias("customer_id"),
+        _pick(["SAVINGS", "checking ", "CREDIT_CARD", "LOAN"], k % 4).alias("account_type"),
+        _pick(["AED", "USD", "EUR", "GBP"], k % 4).alias("currency"),
+        F.when(n == 1, balance + 100).otherwise(balance).alias("balance"),
+        F.when(k % 19 == 4, F.lit(None))
+        .when(k % 71 == 9, "dormant")
+        .otherwise("active")
+        .alias("status"),
+        F.lit(ONBOARDED).alias("opened_date"),
+        F.lit(ONBOARDED).alias("last_activity_date"),
+        F.lit(ONBOARDED).alias("created_at"),
+        F.lit(ONBOARDED).alias("updated_at"),
+        n,
+        F.when(n == 1, "u").otherwise("r").alias("op"),
+        "ts_ms",
     )
     body = F.to_json(
         F.struct(*ACCOUNTS.columns, *_markers("accounts", F.col("op"), F.col("ts_ms")))
@@ -320,7 +323,12 @@ def account_messages(customer: DataFrame) -> DataFrame:
 
 
 def write_slices(
-    messages: DataFrame, path: str, slices: int, files: int, per_file: int = MESSAGES_PER_FILE
+    messages: DataFrame,
+    path: str,
+    slices: int,
+    files: int,
+    per_file: int = MESSAGES_PER_FILE,
+    records: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> int:
     """Writes a feed as ``slices`` consecutive stretches of time, each of the same number of files.
 
@@ -328,8 +336,11 @@ def write_slices(
     number of tasks grows with the feed, and what one of them reads does not. A file stream that
     takes so many files per trigger then reads one slice per micro-batch.
 
-    Returns the number of files in a slice. Nothing is kept meanwhile: the cuts need only the
-    times, and a slice makes only its own messages.
+    ``messages`` holds a row per message with its ``timestamp``; ``records`` makes the messages of
+    such rows. It comes last, after a slice's rows are dealt out to files: the cuts need only the
+    times, and no text is moved or made twice.
+
+    Returns the number of files in a slice.
     """
     t = F.unix_millis("timestamp")
     bounds: list[int] = []
@@ -348,8 +359,7 @@ def write_slices(
         if low is not None:
             part = part.where(t >= low)
         if high is not None:
-            part = part.where(t < high)
-        part.repartition(files).select(*ddl(KAFKA_RECORD).fieldNames()).write.mode(
-            "append"
-        ).parquet(path)
+            part = part.where((t < high) if low is not None else (t < high) | t.isNull())
+        part = records(part.repartition(files))
+        part.select(*ddl(KAFKA_RECORD).fieldNames()).write.mode("append").parquet(path)
     return files
