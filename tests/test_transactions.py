@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rows import parsed, same_rows, transaction
 
 from tidemark.operators import transactions as tx
+from tidemark.spec import entity
 
 
 def cleaned(spark, rows):
@@ -209,3 +210,13 @@ def test_live_at_two_times_equals_two_upserts(spark):
     want = snapshot.snapshot_diff(old, new, tx.KEY, columns)
     assert {x.op for x in want.collect()} == {"c", "u", "d"}
     same_rows(got, want)
+
+
+def test_states_are_sorted_by_a_number_before_the_key(spark):
+    """Keys begin alike, so a sort by key alone compared whole texts."""
+    bronze = spark.createDataFrame([], entity("transactions").bronze_schema)
+    state = tx.collapse(tx.clean_transactions(bronze))
+    assert state.columns == [tx.KEY, tx.FIRST, tx.LAST]
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and all("Sort [_key_hash#" in line for line in sorts)
