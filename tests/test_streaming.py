@@ -7,7 +7,8 @@ from rows import MINUTE_US, T0_US, customer, messages, same_rows, transaction
 
 from tidemark.operators import bronze, customers, metrics, transactions
 from tidemark.plans import silver
-from tidemark.sources import feed
+from tidemark.plans.workspace import Workspace
+from tidemark.sources import feed, tables
 from tidemark.spec import ACCOUNTS, CUSTOMERS, GOLD_METRICS, TRANSACTIONS, ddl
 from tidemark.streaming import jobs, run
 
@@ -316,3 +317,24 @@ def test_envelopes_go_to_the_tables_or_are_put_aside(spark, topic, layout):
     aside = spark.read.parquet(layout.quarantine("transactions")).collect()
     assert sorted((r.offset, r.reason) for r in aside) == [(2, "NO_KEY"), (3, "TOMBSTONE"), (4, "MALFORMED")]
     assert next(r.message for r in aside if r.offset == 2) == json.dumps({"op": "t", "source": source})
+
+
+def test_a_single_batch_is_read_without_a_fold(spark, layout):
+    """Its state has one row per key; it was shuffled and folded again."""
+    rows = [transaction(1), transaction(1, "u", amount=2.0), transaction(2), transaction(3, "u")]
+    events = transactions.clean_transactions(bronze.parse_events(messages(spark, rows), TRANSACTIONS))
+    silver.apply_transactions(events, 0, layout)
+    stored = silver.read_transactions(spark, layout)
+    assert "Exchange" not in stored._jdf.queryExecution().executedPlan().toString()
+    found = {r.transaction_id: float(r.amount) for r in stored.collect()}
+    assert found == {"T1": 2.0, "T2": 10.0}
+
+
+def test_messages_put_aside_are_read_only_when_asked_for(spark):
+    """Each entity's Bronze step parsed its topic twice, also where only Bronze was wanted."""
+    space = Workspace(spark, "/root/testdata/sf0.001")
+    for name in ("accounts", "transactions"):
+        space.stream_bronze(name)
+        assert not tables.exists(spark, space.streamed.quarantine(name))
+    want = bronze.rejected_messages(space.feed("transactions"), "transactions")
+    same_rows(space.stream_quarantine("transactions"), want)

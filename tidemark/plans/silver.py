@@ -265,7 +265,7 @@ def read_transactions(
     """The current rows, or the table's version before a batch.
 
     Merged rows are a plain scan of the typed columns asked for. Only keys that a waiting batch
-    touches are folded with it.
+    touches are folded with it. A batch holds one row per key, so one alone needs no fold.
     """
     key, n = transactions.KEY, layout.buckets
     columns = row_schema().fieldNames()
@@ -277,7 +277,8 @@ def read_transactions(
         return plain
     recent = _waiting_state(spark, layout, waiting).drop(buckets.BUCKET)
     if not folders:
-        return transactions.current_rows(transactions.merge_states(recent)).select(*columns)
+        state = recent if len(waiting) == 1 else transactions.merge_states(recent)
+        return transactions.current_rows(state).select(*columns)
     touched = recent.select(key).distinct()
     old = merged.join(touched, key, "left_semi").select(*recent.columns)
     changed = transactions.current_rows(transactions.merge_states(old, recent))

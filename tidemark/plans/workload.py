@@ -475,6 +475,7 @@ def check_min_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def check_stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same of the tables as the streams have stored them."""
     space = Workspace.of(spark, sf_dir)
+    space.catch_up_silver("transactions", "customers")
     return checks.min_records(
         {
             "bronze_transactions": _without_heartbeat(space.stream_bronze("transactions")),

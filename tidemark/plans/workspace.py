@@ -7,10 +7,12 @@ would be.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import bronze
 from tidemark.plans import silver
@@ -127,39 +129,63 @@ class Workspace:
             action()
             self._streamed.add(step)
 
+    def _together(self, starts: dict[str, Callable[[], StreamingQuery]]) -> None:
+        """Runs those of the steps, named queries that end by themselves, that have not been run."""
+        new = {step: start for step, start in starts.items() if step not in self._streamed}
+        run.await_all([start() for start in new.values()])
+        self._streamed.update(new)
+
+    def catch_up_bronze(self, *names: str) -> None:
+        """Bronze of some entities at once. Messages put aside are a query of their own, which
+        :meth:`stream_quarantine` runs; Bronze rows do not need it."""
+
+        def start(name: str) -> StreamingQuery:
+            return jobs.start_bronze(self.feed_stream(name), name, self.streamed, jobs.CATCH_UP)
+
+        self._together({f"bronze-{name}": lambda name=name: start(name) for name in names})
+
     def stream_bronze(self, name: str) -> DataFrame:
-        self._once(
-            f"bronze-{name}",
-            lambda: run.catch_up_bronze(self.feed_stream, self.streamed, [name]),
-        )
+        self.catch_up_bronze(name)
         return tables.read_folders(
             self.spark, entity(name).bronze_schema, [self.streamed.bronze(name)]
         )
 
     def stream_envelopes(self) -> DataFrame:
         layout = Layout(f"{self.root}/enveloped")
-        self._once(
-            "bronze-envelopes",
-            lambda: run.catch_up_bronze(
-                lambda _: self.feed_stream("envelopes"), layout, ["transactions"], envelopes=True
-            ),
+        self._together(
+            {
+                "bronze-envelopes": lambda: jobs.start_bronze(
+                    self.feed_stream("envelopes"),
+                    "transactions",
+                    layout,
+                    jobs.CATCH_UP,
+                    envelopes=True,
+                )
+            }
         )
         schema = entity("transactions").bronze_schema
         return tables.read_folders(self.spark, schema, [layout.bronze("transactions")])
 
     def stream_quarantine(self, name: str) -> DataFrame:
-        """What the Bronze run of an entity has put aside."""
-        self.stream_bronze(name)
+        """What Bronze leaves out of an entity's topic."""
+        self._together(
+            {
+                f"quarantine-{name}": lambda: jobs.start_quarantine(
+                    self.feed_stream(name), name, self.streamed, jobs.CATCH_UP
+                )
+            }
+        )
         schema = bronze.rejected_messages(self.feed(name), name).schema
         return self.spark.read.schema(schema).parquet(self.streamed.quarantine(name))
 
     def stream_violations(self, name: str) -> DataFrame:
         self.stream_bronze(name)
-        self._once(
-            f"violations-{name}",
-            lambda: run.await_all(
-                [jobs.start_violations(self.spark, name, self.streamed, jobs.CATCH_UP)]
-            ),
+        self._together(
+            {
+                f"violations-{name}": lambda: jobs.start_violations(
+                    self.spark, name, self.streamed, jobs.CATCH_UP
+                )
+            }
         )
         return self.spark.read.parquet(self.streamed.violations(name))
 
@@ -196,28 +222,25 @@ class Workspace:
         early = (F.col("cdc_timestamp_ms") <= until_ms) & ~delayed
         return silver.late_inserts(self.spark, self._in_portions("delayed", early, ~early))
 
-    def stream_transactions(self) -> DataFrame:
-        self.stream_bronze("transactions")
-        self._once(
-            "silver-transactions",
-            lambda: run.await_all(
-                [
-                    jobs.start_silver_transactions(
-                        self.spark, self.streamed, jobs.CATCH_UP, merge_every=MERGE_EVERY
-                    )
-                ]
+    def catch_up_silver(self, *names: str) -> None:
+        """Bronze, then Silver of transactions, customers or both at once."""
+        self.catch_up_bronze(*names)
+        starts = {
+            "transactions": lambda: jobs.start_silver_transactions(
+                self.spark, self.streamed, jobs.CATCH_UP, merge_every=MERGE_EVERY
             ),
-        )
+            "customers": lambda: jobs.start_silver_customers(
+                self.spark, self.streamed, jobs.CATCH_UP
+            ),
+        }
+        self._together({f"silver-{name}": starts[name] for name in names})
+
+    def stream_transactions(self) -> DataFrame:
+        self.catch_up_silver("transactions")
         return silver.read_transactions(self.spark, self.streamed)
 
     def stream_customers(self) -> DataFrame:
-        self.stream_bronze("customers")
-        self._once(
-            "silver-customers",
-            lambda: run.await_all(
-                [jobs.start_silver_customers(self.spark, self.streamed, jobs.CATCH_UP)]
-            ),
-        )
+        self.catch_up_silver("customers")
         return silver.read_customers(self.spark, self.streamed)
 
     def stream_metrics(self) -> DataFrame:
