@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from rows import MINUTE_US, T0_US, customer, messages, same_rows, transaction
 
 from tidemark.operators import bronze, customers, metrics, transactions
-from tidemark.plans import silver
+from tidemark.plans import silver, workload
 from tidemark.plans.workspace import Workspace
-from tidemark.sources import feed, tables
+from tidemark.sources import derived, feed, tables
 from tidemark.spec import ACCOUNTS, CUSTOMERS, GOLD_METRICS, TRANSACTIONS, ddl
 from tidemark.streaming import jobs, run
 
@@ -338,3 +338,15 @@ def test_messages_put_aside_are_read_only_when_asked_for(spark):
         assert not tables.exists(spark, space.streamed.quarantine(name))
     want = bronze.rejected_messages(space.feed("transactions"), "transactions")
     same_rows(space.stream_quarantine("transactions"), want)
+
+
+def test_violations_of_all_entities_run_together(spark, monkeypatch):
+    """They ran one after the other, each after its own Bronze."""
+    space, together = Workspace(spark, "/root/testdata/sf0.001"), []
+    await_all = run.await_all
+    monkeypatch.setattr(run, "await_all", lambda qs: (together.append(len(qs)), await_all(qs)))
+    monkeypatch.setattr(Workspace, "of", lambda *_: space)
+    got = workload.stream_violations(spark, space.source)
+    assert [n for n in together if n] == [3, 3]
+    beat = F.col("key_value").eqNullSafe(derived.HEARTBEAT_ID)
+    same_rows(got.where(~beat), workload.dq_violation_rows(spark, space.source))

@@ -554,6 +554,7 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace.of(spark, sf_dir)
+    space.catch_up_violations(*ENTITIES)
     return _union(
         _violation_rows(
             space.stream_violations(name).where(

@@ -178,15 +178,17 @@ class Workspace:
         schema = bronze.rejected_messages(self.feed(name), name).schema
         return self.spark.read.schema(schema).parquet(self.streamed.quarantine(name))
 
+    def catch_up_violations(self, *names: str) -> None:
+        """Bronze of some entities, then the rows of each that break a rule."""
+        self.catch_up_bronze(*names)
+
+        def start(name: str) -> StreamingQuery:
+            return jobs.start_violations(self.spark, name, self.streamed, jobs.CATCH_UP)
+
+        self._together({f"violations-{name}": lambda name=name: start(name) for name in names})
+
     def stream_violations(self, name: str) -> DataFrame:
-        self.stream_bronze(name)
-        self._together(
-            {
-                f"violations-{name}": lambda: jobs.start_violations(
-                    self.spark, name, self.streamed, jobs.CATCH_UP
-                )
-            }
-        )
+        self.catch_up_violations(name)
         return self.spark.read.parquet(self.streamed.violations(name))
 
     def _in_portions(self, name: str, *portions) -> Layout:
