@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from rows import same_rows
 
+from tidemark.plans.workspace import Workspace
 from tidemark.sources import derived, feed
 from tidemark.spec import KAFKA_RECORD, ddl
 
@@ -86,6 +87,27 @@ def test_messages_are_made_once_and_where_they_are_written(spark, run_dir):
     assert feed.read_files(spark, run_dir).select("offset").distinct().count() == 3000
 
 
+def test_rows_are_dealt_out_without_a_sort(spark, messages, run_dir):
+    """Dealt out in turn, a slice's rows were sorted before they were sent."""
+    plans = []
+
+    def records(part):
+        plans.append(part._jdf.queryExecution().executedPlan().toString())
+        return part
+
+    derived.write_slices(messages, run_dir, 3, 4, records=records)
+    assert len(plans) == 3
+    assert all("hashpartitioning" in p and "RoundRobin" not in p for p in plans)
+
+
+def test_changes_of_customers_are_joined_once(spark):
+    space = Workspace(spark, "/root/testdata/sf0.001")
+    rows, _ = space._changes("customers")
+    assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    made = derived.customer_changes(space.table("customer"), space.table("orders"))
+    same_rows(rows, made)
+
+
 def test_rows_without_a_time_are_in_the_first_slice(spark, messages, run_dir):
     timeless = messages.limit(7).withColumn("timestamp", F.lit(None).cast("timestamp"))
     derived.write_slices(messages.unionByName(timeless), run_dir, 3, 2)

@@ -220,3 +220,32 @@ def test_states_are_sorted_by_a_number_before_the_key(spark):
     plan = state._jdf.queryExecution().executedPlan().toString()
     sorts = [line for line in plan.splitlines() if "Sort [" in line]
     assert sorts and not any(f"Sort [{tx.KEY}#" in line for line in sorts)
+
+
+def test_inserted_keys_are_those_of_the_current_rows(spark):
+    rows = [
+        transaction(1),
+        transaction(1, ts_ms=9),
+        transaction(1, "d"),
+        transaction(2, "r"),
+        transaction(3, "u"),
+        transaction(4, amount=-1.0),
+        transaction(4, "u"),
+        transaction(5, amount=None),
+        transaction(5, "c", ts_ms=9),
+    ]
+    keys = tx.inserted_keys(cleaned(spark, rows))
+    same_rows(keys, tx.upsert(parsed(spark, rows)).select("transaction_id"))
+    assert sorted(r[0] for r in keys.collect()) == ["T1", "T2", "T5"]
+    assert "SortAggregate" not in keys._jdf.queryExecution().executedPlan().toString()
+    keys = tx.inserted_keys(cleaned(spark, rows), ("c",))
+    assert sorted(r[0] for r in keys.collect()) == ["T1", "T5"]
+
+
+def test_the_check_of_counts_folds_once(spark):
+    """It folded the table twice, once only to count it."""
+    import __spark_entry__ as entry
+
+    check = entry.queries()["check_min_records"](spark, "/root/testdata/sf0.001")
+    plan = check._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("AS first_insert") == 1

@@ -180,6 +180,12 @@ def current_rows(
     return rows.drop(FIRST, LAST)
 
 
+def inserted_keys(events: DataFrame, insert_ops: Sequence[str] = INSERT_OPS) -> DataFrame:
+    """The keys of the current-state table, each once, without the work for its columns: a key has a
+    row in it if it has a valid insert."""
+    return events.where(F.col("cdc_operation").isin(*insert_ops)).select(KEY).distinct()
+
+
 def orphan_changes(state: DataFrame) -> DataFrame:
     """Keys that were changed but never validly inserted."""
     return state.where(F.col(FIRST).isNull()).select(KEY, f"{LAST}.*")

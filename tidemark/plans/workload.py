@@ -465,7 +465,7 @@ def check_min_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.min_records(
         {
             "bronze_transactions": Workspace.of(spark, sf_dir).bronze("transactions"),
-            "silver_transactions": _current(spark, sf_dir, "account_id"),
+            "silver_transactions": transactions.inserted_keys(_events(spark, sf_dir)),
             "silver_customers": customers.close_intervals(_customer_events(spark, sf_dir)),
             "gold_aml_alerts": metrics.alerts(_windows(spark, sf_dir)),
         }

@@ -360,6 +360,7 @@ def write_slices(
             part = part.where(t >= low)
         if high is not None:
             part = part.where((t < high) if low is not None else (t < high) | t.isNull())
-        part = records(part.repartition(files))
+        # By the rows' hash: dealt out in turn they would have to be sorted first.
+        part = records(part.repartition(files, *part.columns))
         part.select(*ddl(KAFKA_RECORD).fieldNames()).write.mode("append").parquet(path)
     return files
