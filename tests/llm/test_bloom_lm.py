@@ -225,3 +225,88 @@ def test_a_task_fills_one_shard(spark):
 
     found = op._gathered(spark.createDataFrame(rows, SCHEMA), 2, 40, seen, "shard int, n int").collect()
     assert sorted(r.shard for r in found) == list(range(40)) and {r.n for r in found} == {1}
+
+
+def test_texts_are_read_once_for_all_groups(spark, monkeypatch):
+    """There was a pass for the fit and one for the scores for each group of the filter."""
+    monkeypatch.setattr(op, "ENTRIES_PER_SHARD", 40)
+    rows = [(k, " ".join(f"w{(k * j) % 97}" for j in range(30))) for k in range(150)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    passes, loads = [], []
+    monkeypatch.setattr(op, "map_batches", lambda *a, f=op.map_batches: passes.append(a[2]) or f(*a))
+    monkeypatch.setattr(op, "_load", lambda *a, f=op._load: loads.append(a[2]) or f(*a))
+    one = {r.doc_id: r.score for r in op.score_documents(frame).collect()}
+    count = len(passes)
+    assert len(loads) == 2
+    more = {r.doc_id: r.score for r in op.score_documents(frame, filter_bytes=300).collect()}
+    assert len(loads) > 12 and len(passes) == 2 * count
+    assert one == more
+
+
+def test_parts_of_a_filter_answer_as_the_whole():
+    r = np.random.default_rng(6)
+    keys = np.unique(r.integers(0, 2**64 - 1, 90_000, dtype=np.uint64))
+    counts = r.zipf(1.4, len(keys)).clip(1, 10**9)
+    shard = op._shard(keys, 7)
+    parts = {s: op._segment(keys[shard == s], counts[shard == s]).tobytes() for s in (0, 1, 2, 4, 6)}
+    whole = op.LogFrequencyFilter(7, parts)
+    asked = np.concatenate([keys[::2], keys[::3], r.integers(0, 2**64 - 1, 50_000, dtype=np.uint64)])
+    r.shuffle(asked)
+    level = whole.levels(asked)
+    known = np.searchsorted(keys, asked).clip(0, len(keys) - 1)
+    held = (keys[known] == asked) & ~np.isin(op._shard(asked, 7), [3, 5])
+    assert (level[held] >= op.level_of(counts)[known[held]]).all()
+    assert not level[np.isin(op._shard(asked, 7), [3, 5])].any()
+    alone = [int(whole.levels(asked[k : k + 1])[0]) for k in range(300)]
+    assert level[:300].tolist() == alone
+    groups = [Sent(op.LogFrequencyFilter(7, {s: parts[s] for s in own})) for own in ([0, 1], [2, 4], [6], [])]
+    assert op.levels_from(asked, op._in_turn(groups[:2]) + [lambda g=g: g.value for g in groups[2:]]).tolist() == level.tolist()
+    assert not len(op.levels_from(asked[:0], [lambda: whole]))
+
+
+def test_a_task_holds_one_group_at_a_time():
+    class Group:
+        """As a broadcast in a worker: read when asked for, and kept."""
+
+        @property
+        def value(self):
+            if not hasattr(self, "_value"):
+                self._value = object()
+            return self._value
+
+    groups = [Group() for _ in range(5)]
+    for fetch in op._in_turn(groups) * 2:
+        fetch()
+        assert sum(hasattr(g, "_value") for g in groups) == 1
+    (fetch,) = op._in_turn(groups[:1])
+    assert fetch() is fetch()  # a single one is kept
+
+
+def test_runs_of_texts_lose_no_row(monkeypatch):
+    """Runs of one slice and of many; null, empty and long texts at their edges."""
+    texts = [None, "", "a b", "x " * 90, None, "c", " ", "b a " * 40, "", None]
+    docs = pa.record_batch(
+        {
+            "doc_id": pa.array(range(10), pa.int64()),
+            "text": pa.array(texts, pa.string()),
+            "held_out": [False] * 10,
+            "row": pa.array(range(10), pa.int64()),
+        }
+    )
+    tokens = op.tokens_of(docs.column("text"))
+    made = []
+    for grams in (tokens.hashes, op.pairs(op.histories(tokens), tokens.hashes)):
+        keys, counts = np.unique(grams, return_counts=True)
+        made.append(op.LogFrequencyFilter(1, {0: op._segment(keys, counts).tobytes()}))
+    model, group = Sent(op._Model(made[0], 0, 1, 1)), Sent(made[1])
+    monkeypatch.setattr(op, "SLICE_BYTES", 100)
+    out = []
+    for size in (1, 150, 1 << 20):
+        monkeypatch.setattr(op, "RUN_BYTES", size)
+        batches = [docs.slice(0, 4), docs.slice(4, 0), docs.slice(4)]
+        found = pa.Table.from_batches(list(op._note_both(model, group)(iter(batches)))).to_pydict()
+        assert found["text"] == texts and found["row"] == list(range(10))
+        assert [len(x) for x in found["levels"]] == [len(x) for x in found["pair_levels"]] == tokens.counts.tolist()
+        out.append(found)
+    assert out[0] == out[1] == out[2]
+    assert list(b"".join(out[0]["levels"])) == made[0].levels(tokens.hashes).tolist()

@@ -12,17 +12,15 @@ Training, over all training texts:
 
 Scoring: the filter and the exact counts of the ``FREQUENT`` most frequent words are broadcast.
 The second has a fixed size. The first is measured: segments go out in groups of at most
-``FILTER_BYTES``, one after the other, with a pass over the texts for each. Passes over the word
-filter, if it takes more than one, note the level of each token beside its text; passes over the
-pair filter add up, by row numbers that are stored with the texts before the first of several passes.
-If one group holds all pairs, the levels of words and pairs are noted beside the texts once, and
-the fit and the scores read them there.
-So the scores are the same however many groups there are. Counts of all other words, for the exact
-base score, are joined by word.
+``FILTER_BYTES``. One pass over the texts asks all groups: a task gathers the n-grams of a run of
+texts, takes one group after the other into memory, asks it for the n-grams of its shards, and
+notes the levels of words and pairs beside the texts. The fit and the scores read them there, so
+they are the same, and take the same two passes, however many groups there are. Counts of all
+other words, for the exact base score, are joined by word.
 
 The model: p(w | h) = k(h) min(1, c(h w) / c(h)) + (1 - k(h)) p(w), with p(w) the add-one estimate
 and k(h) one weight per level of c(h), fitted on all training texts, each scored with its own
-counts taken out, in a pass for each group of the pair filter before the scoring.
+counts taken out, in a pass before the scoring.
 Counts in numerators are rounded down and those below up. The end of a text is a token, and the
 history of its first word.
 
@@ -35,10 +33,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +50,11 @@ ENTRIES_PER_SHARD = 1_500_000
 BITS_PER_ENTRY = 10
 PROBES = 4
 SEGMENT_RUN = 1 << 18
+RUN_BYTES = 8 << 20
+RUN_BYTES_OF_GROUPS = 32 << 20
+"""Texts asked about together; more where groups have to be taken into memory again for each run."""
+ASKED = 1 << 15
+"""N-grams asked about at once: with the segment they fall into, they stay in a processor's cache."""
 STEP = 1.25
 """Ratio of two count levels; small counts are exact."""
 
@@ -87,6 +90,11 @@ def tokens_of(texts: pa.Array) -> W.Words:
     return W.Words(out, first)
 
 
+def _joined(parts: list[W.Words]) -> W.Words:
+    first = np.cumsum(np.concatenate([[0], *(part.counts for part in parts)]))
+    return W.Words(np.concatenate([part.hashes for part in parts]), first)
+
+
 def histories(tokens: W.Words) -> np.ndarray:
     """The token before each; the end token stands before the first of a text."""
     before = np.empty_like(tokens.hashes)
@@ -255,9 +263,22 @@ class LogFrequencyFilter:
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The level of every n-gram by asking for one after another; 0 where it is absent."""
-        distinct, where = np.unique(keys, return_inverse=True)
+        return levels_from(keys, [lambda: self]).astype(np.int64)
+
+    def note(self, distinct: np.ndarray, out: np.ndarray) -> None:
+        """Puts the levels of sorted n-grams into ``out``, where these segments hold them."""
+        own = np.flatnonzero(self.present)
+        if len(own):
+            first, last = (-(-(int(s) << 32) // self.shards) << 32 for s in (own[0], own[-1] + 1))
+            begin = np.searchsorted(distinct, np.uint64(first))
+            end = np.searchsorted(distinct, np.uint64(last)) if last < 1 << 64 else len(distinct)
+            for a in range(begin, end, ASKED):
+                some = slice(a, min(end, a + ASKED))
+                np.maximum(out[some], self._levels(distinct[some]), out=out[some])
+
+    def _levels(self, distinct: np.ndarray) -> np.ndarray:
         shard = _shard(distinct, self.shards)
-        out = np.zeros(len(distinct), np.int64)
+        out = np.zeros(len(distinct), np.uint8)
         live = np.flatnonzero(self.present[shard])
         while len(live):
             one, two = _hashes(distinct[live], out[live] + 1)
@@ -271,7 +292,39 @@ class LogFrequencyFilter:
                 yes &= self._set(one, size, begin)
             live = live[yes]
             out[live] += 1
-        return out[where]
+        return out
+
+
+def levels_from(keys: np.ndarray, filters) -> np.ndarray:
+    """The levels, below 256, of n-grams by parts of a filter that are fetched one after the other.
+
+    N-grams are asked about in the order of their shards.
+    """
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    distinct = keys[new]
+    del keys  # of a run of texts, as much as all the rest
+    level = np.zeros(len(distinct), np.uint8)
+    for fetch in filters:
+        fetch().note(distinct, level)
+    out = np.empty(len(order), np.uint8)
+    out[order] = np.repeat(level, np.diff(np.append(np.flatnonzero(new), len(new))))
+    return out
+
+
+def _in_turn(shared: list) -> list:
+    """Fetches each broadcast group for its use; if there are several, the one before is dropped."""
+    if len(shared) < 2:
+        return [lambda group=group: group.value for group in shared]
+
+    def fetch(group):
+        for other in shared:
+            vars(other).pop("_value", None)  # a worker keeps what it has read; it reads it again
+        return group.value
+
+    return [lambda group=group: fetch(group) for group in shared]
 
 
 def _shards_for(entries: int) -> int:
@@ -315,11 +368,11 @@ def _noted(part: pa.RecordBatch, column: str) -> np.ndarray:
     return np.frombuffer(levels, np.uint8).astype(np.int64)
 
 
-def _bytes_of(levels: np.ndarray, tokens: W.Words) -> pa.Array:
+def _bytes_of(levels: np.ndarray, first: np.ndarray) -> pa.Array:
     """One byte a token, a row per text."""
-    levels, first = levels.astype(np.uint8), tokens.first
-    rows = [levels[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-    return pa.array(rows, pa.binary())
+    edges = pa.py_buffer((first - first[0]).astype(np.int32))
+    data = pa.py_buffer(levels[first[0] : first[-1]])
+    return pa.BinaryArray.from_buffers(pa.binary(), len(first) - 1, [None, edges, data])
 
 
 class _Model:
@@ -353,52 +406,48 @@ class _Model:
         return before
 
 
-def _note_levels(words_):
-    """Adds to ``levels``, one byte a token, what this group of the word filter knows."""
+def _filters(table: DataFrame, shards: int, limit: int) -> Iterator[LogFrequencyFilter]:
+    for group in _groups(table, limit) or [[]]:
+        yield _load(table, shards, group)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = words_.value
-        for part in slices(batches, SLICE_BYTES, "text"):
-            tokens = tokens_of(part.column("text"))
-            level = words.levels(tokens.hashes)
-            noted = _noted(part, "levels")
-            if len(noted):
-                level = np.maximum(level, noted)
-            place = part.schema.get_field_index("levels")
-            yield part.set_column(place, "levels", _bytes_of(level, tokens))
-
-    return work
 
+def _runs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Slices of about ``limit`` bytes of text together."""
+    run, size = [], 0
+    for part in slices(batches, SLICE_BYTES, "text"):
+        more = pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+        if run and size + more > limit:
+            yield run
+            run, size = [], 0
+        run.append(part)
+        size += more
+    if run:
+        yield run
 
-def _with_words(docs: DataFrame, table: DataFrame, shards: int, limit: int):
-    """The word filter, the level of the end token, and ``docs``: with a column ``levels`` in place
-    of the filter if that takes more than one group."""
-    groups, end = _groups(table, limit) or [[]], 0
-    for group in groups:
-        words = _load(table, shards, group)
-        end = max(end, int(words.levels(np.array([END], np.uint64))[0]))
-        if len(groups) == 1:
-            return words, end, docs
-        if "levels" not in docs.columns:
-            docs = docs.withColumn("levels", F.lit(b"").cast("binary"))
-        shared = docs.sparkSession.sparkContext.broadcast(words)
-        docs = stored(map_batches(docs, _note_levels(shared), docs.schema), "levels")
-        shared.destroy()
-    return None, end, docs
 
+def _note_both(model_, *pair_groups, word_groups=()):
+    """Columns of the rows, ``levels`` and ``pair_levels``, by all groups of the filters.
 
-def _note_both(model_, filter_):
-    """Columns of the rows, ``levels`` and ``pair_levels``, where one group holds all pairs."""
+    ``word_groups`` are those of the words where the model does not hold them.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, pair_filter = model_.value, filter_.value
-        for part in slices(batches, SLICE_BYTES, "text"):
-            tokens = tokens_of(part.column("text"))
-            columns = {c: part.column(c) for c in ("doc_id", "text", "held_out", "row")}
-            columns["levels"] = _bytes_of(model.word_levels(part, tokens), tokens)
-            pair = pair_filter.levels(pairs(histories(tokens), tokens.hashes))
-            columns["pair_levels"] = _bytes_of(pair, tokens)
-            yield pa.record_batch(columns)
+        words = model_.value.words
+        word_filters = _in_turn(list(word_groups)) if words is None else [lambda: words]
+        pair_filters = _in_turn(list(pair_groups))
+        several = max(len(word_filters), len(pair_filters)) > 1
+        for run in _runs(batches, RUN_BYTES_OF_GROUPS if several else RUN_BYTES):
+            tokens = _joined([tokens_of(part.column("text")) for part in run])
+            level = levels_from(tokens.hashes, word_filters)
+            pair = levels_from(pairs(histories(tokens), tokens.hashes), pair_filters)
+            row = 0
+            for part in run:
+                first = tokens.first[row : row + part.num_rows + 1]
+                row += part.num_rows
+                columns = {c: part.column(c) for c in ("doc_id", "text", "held_out", "row")}
+                columns["levels"] = _bytes_of(level, first)
+                columns["pair_levels"] = _bytes_of(pair, first)
+                yield pa.record_batch(columns)
 
     return work
 
@@ -461,16 +510,12 @@ def _gains(model_, filter_):
     return work
 
 
-def _fit_weights(train: DataFrame, model_, filters) -> np.ndarray:
-    """One weight per history level: the best of a grid over all groups of pair segments.
-
-    Every pair of a training text has its segment in exactly one group, so the gains add up.
-    """
+def _fit_weights(train: DataFrame, model_) -> np.ndarray:
+    """One weight per history level: the best of a grid over all pairs of the texts."""
     gain = np.zeros((len(LEVELS), len(GRID)), np.int64)
-    for shared in filters():
-        parts = map_batches(train, _gains(model_, shared), "level long, k long, gain long")
-        for row in parts.groupBy("level", "k").agg(F.sum("gain").alias("gain")).collect():
-            gain[row.level, row.k] += row.gain  # some hundred levels with ten weights each
+    parts = map_batches(train, _gains(model_, None), "level long, k long, gain long")
+    for row in parts.groupBy("level", "k").agg(F.sum("gain").alias("gain")).collect():
+        gain[row.level, row.k] += row.gain  # some hundred levels with ten weights each
     weights = GRID[gain.argmax(axis=1)]
     weights[0] = 0  # an unknown history says nothing
     return weights
@@ -580,37 +625,20 @@ def score_documents(
     )
     share = spark.sparkContext.broadcast
     docs = docs.withColumn("row", F.monotonically_increasing_id())
-    words, end, docs = _with_words(docs, word_bits, word_shards, filter_bytes)
-    model = _Model(words, end, total, distinct)
-    shared_model, shared_words = share(model), share(frequent)
-    groups = _groups(pair_bits, filter_bytes) or [[]]
-    if len(groups) > 1 and words is not None:  # else the word filter's passes have stored the rows
-        docs = stored(docs, "rows")
-    if len(groups) == 1:  # both passes need the same answers: each filter is asked once
-        only = share(_load(pair_bits, shards, groups[0]))
-        docs = stored(map_batches(docs, _note_both(shared_model, only), _NOTED_SCHEMA), "noted")
-        only.destroy()
-        shared_model.destroy()
-        shared_model = share(_Model(None, end, total, distinct))
-
-    def filters():
-        """The groups one after the other; none if all levels are noted."""
-        for group in groups:
-            shared = share(_load(pair_bits, shards, group)) if len(groups) > 1 else None
-            yield shared
-            if shared:
-                shared.destroy()
-
-    weights = _fit_weights(docs.where("NOT held_out"), shared_model, filters)
-    results = []
-    for number, shared in enumerate(filters()):
-        work = _scores(shared_model, shared_words, shared, weights, number == 0)
-        results.append(stored(map_batches(docs, work, _SCORE_SCHEMA), "scores"))
-    lead = results[0]
-    if len(results) > 1:
-        more = reduce(DataFrame.unionByName, (r.select("row", "score") for r in results[1:]))
-        more = more.groupBy("row").agg(F.sum("score").alias("more"))
-        lead = lead.join(more, "row", "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0)))
+    word_groups, end = [], 0
+    for part in _filters(word_bits, word_shards, filter_bytes):
+        end = max(end, int(part.levels(np.array([END], np.uint64))[0]))
+        word_groups.append(share(part))
+    pair_groups = [share(part) for part in _filters(pair_bits, shards, filter_bytes)]
+    shared_model, shared_words = share(_Model(None, end, total, distinct)), share(frequent)
+    note = _note_both(shared_model, *pair_groups, word_groups=word_groups)
+    docs = stored(map_batches(docs, note, _NOTED_SCHEMA), "noted")
+    for group in word_groups + pair_groups:
+        group.destroy()
+
+    weights = _fit_weights(docs.where("NOT held_out"), shared_model)
+    scores = _scores(shared_model, shared_words, None, weights, True)
+    lead = stored(map_batches(docs, scores, _SCORE_SCHEMA), "scores")
     rare = lead.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "row", F.col("x.rare").alias("word"), F.col("x.times").alias("times")
     )
